@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 # They decide which characters survive and which words are upper-cased.
 MIN_CLEAN_LENGTH = 50
-STRIPPED = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+STRIPPED = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 NON_PRINTABLE = r"[^\x20-\x7E\n\t]"
 HEADERS = [
     (r"\bCLINICAL\s+INDICATION\b", "CLINICAL INDICATION"),
@@ -39,8 +43,11 @@ def collapse_empty_lines(text: Column) -> Column:
 
 
 def strip_unicode(text: Column) -> Column:
-    """Strip every kind of Unicode white space, not only U+0020."""
-    return F.regexp_replace(text, rf"^{STRIPPED}+|{STRIPPED}+\z", "")
+    """Strip every kind of Unicode white space, not only U+0020.
+
+    A trim looks at the two ends only; a regular expression would scan the whole text.
+    """
+    return F.btrim(text, F.lit(STRIPPED))
 
 
 def keep_printable_ascii(text: Column) -> Column:

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Vector lengths and texts per model call.
 TEXT_DIM = 768
@@ -134,6 +135,24 @@ def chunk_words(
     )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dicts; list-of-number cells stay numpy slices instead of Python lists."""
+    readers = {}
+    for name, column in zip(batch.schema.names, batch.columns, strict=True):
+        kind = column.type
+        if pa.types.is_list(kind) and pa.types.is_floating(kind.value_type):
+            values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            valid = column.is_valid().to_numpy(zero_copy_only=False)
+            readers[name] = lambda i, v=values, o=offsets, ok=valid: (
+                v[o[i] : o[i + 1]] if ok[i] else None
+            )
+        else:
+            cells = column.to_pylist()
+            readers[name] = cells.__getitem__
+    for i in range(batch.num_rows):
+        yield {name: read(i) for name, read in readers.items()}
+
+
 def safe_map(
     df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, source: Column
 ) -> DataFrame:
@@ -150,14 +169,12 @@ def safe_map(
         ]
     )
     names = [f.name for f in schema.fields]
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 path = row.pop("__source")
                 try:
                     got = fn(row)
@@ -166,6 +183,8 @@ def safe_map(
                     out = dict.fromkeys(names) | {"status": "error", "error": str(problem)}
                 rows.append(out | {"source_path": path})
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[f.name] for r in rows], f.type) for f in arrow], schema=arrow
+                )
 
     return df.withColumn("__source", source).mapInArrow(run, out_schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medlake.functions.pixels import SIDE, normalise, pool_grid, preview
-from medlake.operators.embedding import IMAGE_DIM, EmbedFn, hashed_words
+from medlake.operators.embedding import IMAGE_DIM, EmbedFn, hashed_words, safe_map
 from medlake.sources.lake import IMAGE_EXTENSIONS, stem, suffix
 from medlake.operators.summaries import first_failures
 
@@ -139,7 +139,10 @@ def silver_images(tensors: DataFrame) -> DataFrame:
 
 
 def image_summary(tensors: DataFrame) -> DataFrame:
-    """One row: totals, average original size over *all* images, time per good image."""
+    """One row: totals, average original size over *all* images, time per good image.
+
+    ``tensors`` should be a written table: it is read twice, without its tensor column.
+    """
     total = F.count(F.lit(1))
     good = F.count_if("is_valid")
     summary = tensors.agg(
@@ -179,8 +182,6 @@ def embed_images(
     A text vector appears only where the row has context text. A failing row reports
     ``status='error'`` with its message and the rest of the batch goes on.
     """
-    from medlake.operators.embedding import safe_map
-
     image_model = image_fn or pooled_image_model(dim)
     text_model = text_fn or hashed_words(dim)
 
@@ -190,7 +191,7 @@ def embed_images(
         out = {"image_embedding": image_model(np.asarray(row["tensor"], dtype=np.float32))}
         if row["context"]:
             out["text_embedding"] = text_model([row["context"]])[0]
-        return {name: np.asarray(v, dtype=np.float32).tolist() for name, v in out.items()}
+        return {name: np.asarray(v, dtype=np.float32) for name, v in out.items()}
 
     schema = T.StructType(
         [
@@ -205,8 +206,6 @@ def embed_images(
 
 def embed_image_bytes(files: DataFrame, bytes_fn: Callable[[str], list[float]]) -> DataFrame:
     """Image vector of raw file contents; the hook receives them base64-encoded."""
-    from medlake.operators.embedding import safe_map
-
     schema = T.StructType([T.StructField("image_embedding", T.ArrayType(T.FloatType()))])
     encoded = files.select("path", F.base64("content").alias("encoded"))
     return safe_map(

@@ -158,16 +158,13 @@ def outlier_examples(
     Distinct values are merged before the shuffle and only the leading ones leave a task.
     """
     entries = [
-        F.when(
-            _outlier(r),
-            F.struct(F.lit(r.column).alias("column"), _value(r.column).alias("value")),
+        F.struct(
+            F.lit(r.column).alias("column"), F.when(_outlier(r), _value(r.column)).alias("value")
         )
         for r in _present(df, ranges)
     ]
     distinct = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .select("e.column", "e.value")
-        .distinct()
+        df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull()).distinct()
     )
     order = Window.partitionBy("column").orderBy("value")
     return distinct.withColumn("example", F.row_number().over(order)).where(

@@ -131,8 +131,13 @@ def validate_reports(df: DataFrame) -> DataFrame:
 
 
 def clean_reports(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
-    """Append ``clean_text`` and ``accepted`` (long enough after cleaning, text present)."""
-    return df.withColumn("clean_text", clean_text(F.col(text_col))).withColumn(
+    """Append ``clean_text`` and ``accepted`` (long enough after cleaning, text present).
+
+    The cleaned text comes out of a one-row generator: filters on it stay above, whereas
+    a plain projection would have them pushed below and the whole chain evaluated twice.
+    """
+    cleaned = df.select("*", F.explode(F.array(clean_text(F.col(text_col)))).alias("clean_text"))
+    return cleaned.withColumn(
         "accepted", F.col(text_col).isNotNull() & long_enough(F.col("clean_text"))
     )
 
@@ -153,9 +158,12 @@ def structure_reports(cleaned: DataFrame, stamp: bool = True) -> DataFrame:
     return out.withColumn("processing_timestamp", F.current_timestamp()) if stamp else out
 
 
-def report_summary(cleaned: DataFrame, structured: DataFrame) -> DataFrame:
-    """One row over the run: totals, per-field counts, average confidence over *all* reports."""
-    totals = cleaned.agg(F.count(F.lit(1)).alias("total_reports"))
+def report_summary(raw: DataFrame, structured: DataFrame) -> DataFrame:
+    """One row over the run: totals, per-field counts, average confidence over *all* reports.
+
+    ``raw`` holds every report, rejected ones included; only its rows are counted.
+    """
+    totals = raw.agg(F.count(F.lit(1)).alias("total_reports"))
     done = structured.agg(
         F.count(F.lit(1)).alias("processed_successfully"),
         F.coalesce(F.sum("extraction_confidence"), F.lit(0.0)).alias("confidence_sum"),

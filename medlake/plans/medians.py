@@ -66,21 +66,20 @@ def _narrow(df: DataFrame, brackets: list[dict], buckets: int) -> None:
         else:  # halved, the width of a range near the largest double stays finite
             position = (value / 2 - lo / 2) / (hi / 2 - lo / 2) * buckets
         bucket = F.least(F.floor(position), F.lit(buckets - 1)).cast("int")
+        inside = value.between(lo, hi)
         entries.append(
-            F.when(
-                value.between(lo, hi),
-                F.struct(
-                    F.lit(slot).alias("slot"), bucket.alias("bucket"), value.alias("value")
-                ),
+            F.struct(
+                F.when(inside, F.lit(slot)).alias("slot"),
+                F.when(inside, bucket).alias("bucket"),
+                value.alias("value"),
             )
         )
     histogram = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.slot", "e.bucket")
+        df.select(F.inline(F.array(*entries)))
+        .where(F.col("slot").isNotNull())
+        .groupBy("slot", "bucket")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("e.value").alias("lo"),
-            F.max("e.value").alias("hi"),
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
     )
     by_bucket = Window.partitionBy("slot").orderBy("bucket")

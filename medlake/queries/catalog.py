@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medlake.plans.bounded import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -24,5 +26,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Tables whose rows are long texts or vectors: worth dealing over the cores when small.
+HEAVY_TABLES = {"documents", "pages", "embeddings"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A test table; heavy ones with only the ``columns`` asked for are dealt over the cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if columns is None:
+        return df
+    df = df.select(*columns)
+    return spread(df) if name in HEAVY_TABLES else df

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlake.operators import images, quality, registry, reports, summaries
+from medlake.plans.durable import cut
 from medlake.queries.catalog import query, table
 from medlake.queries.quality import RANGES
 from medlake.queries.reports import clean_sql
@@ -174,8 +175,9 @@ def log_feedback(spark, sf):
 
 @query(
     "q_calculators",
-    """SELECT p_partkey, round((40.0 + p_size) / ((1.2 + p_size / 100.0) * (1.2 + p_size / 100.0)), 6) AS bmi,
-              round(0.5 * (40.0 + p_size), 6) AS dose_mg FROM part""",
+    """SELECT p_partkey, round(w / (h * h), 6) AS bmi, round(CAST(0.5 AS DOUBLE) * w, 6) AS dose_mg
+       FROM (SELECT p_partkey, p_size + CAST(40 AS DOUBLE) AS w, p_size / CAST(100 AS DOUBLE) + CAST(1.2 AS DOUBLE) AS h
+             FROM part)""",
 )
 def calculators(spark, sf):
     weight, height = F.col("p_size") + 40.0, F.col("p_size") / 100.0 + 1.2
@@ -194,7 +196,7 @@ def derived_images(spark: SparkSession, sf: str) -> DataFrame:
     The side is 64 for most vectors; every fifth one is cut to 40 rows (too small) and
     every seventh has its pixels lost (undecodable).
     """
-    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    vectors = table(spark, sf, "embeddings", ["vec_id", "embedding"])
     rows = F.when(F.col("vec_id") % 5 == 0, F.lit(40)).otherwise(F.lit(64))
     level = lambda x, y: F.hex(
         F.greatest(F.lit(0), F.least(F.lit(255), F.round(128 + 400 * x * y))).cast("bigint")
@@ -263,7 +265,8 @@ def image_tensors(spark, sf):
         FROM img""",
 )
 def image_summary(spark, sf):
-    return images.image_summary(_tensors(spark, sf)).select(
+    tensors = cut(_tensors(spark, sf).drop("tensor", "preview"))
+    return images.image_summary(tensors).select(
         "total_images",
         "processed_successfully",
         "failed",
@@ -301,7 +304,7 @@ def _stage_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.count_if("is_valid").alias("processed"),
         F.count_if(~F.col("is_valid")).alias("failed"),
     )
-    docs = table(spark, sf, "documents").select(F.col("text").alias("raw_text"))
+    docs = table(spark, sf, "documents", ["text"]).withColumnRenamed("text", "raw_text")
     report_row = reports.clean_reports(docs).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("accepted").alias("processed"),

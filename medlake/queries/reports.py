@@ -63,7 +63,7 @@ DECORATED = "concat('“', text, '”', chr(13), chr(10), '   no significant fin
 )
 def clean_documents(spark, sf):
     return (
-        table(spark, sf, "documents")
+        table(spark, sf, "documents", ["doc_id", "text"])
         .select("doc_id", clean_text(F.expr(DECORATED)).alias("c"))
         .select("doc_id", F.md5("c").alias("clean_md5"), F.length("c").alias("n"))
     )
@@ -76,7 +76,7 @@ def clean_documents(spark, sf):
 )
 def clean_pages(spark, sf):
     return (
-        table(spark, sf, "pages")
+        table(spark, sf, "pages", ["page_id", "html"])
         .select("page_id", clean_text(F.col("html")).alias("c"))
         .select("page_id", F.md5("c").alias("clean_md5"), F.length("c").alias("n"))
     )
@@ -89,7 +89,7 @@ def clean_pages(spark, sf):
         FROM documents)""",
 )
 def clean_preserve(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", ["doc_id", "text"]).select(
         "doc_id", F.md5(clean_text(F.expr(DECORATED), punctuation="preserve")).alias("clean_md5")
     )
 
@@ -100,7 +100,7 @@ def clean_preserve(spark, sf):
         FROM (SELECT doc_id, {clean_sql('text')} AS c FROM documents) WHERE length(c) < 50""",
 )
 def short_rejects(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("raw_text"))
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).withColumnRenamed("text", "raw_text")
     _, rejected = reports.split_rejects(reports.clean_reports(docs))
     return rejected.select("doc_id", F.length("clean_text").alias("clean_length"))
 
@@ -121,12 +121,13 @@ def decode_fallback(spark, sf):
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.expr(RAW_REPORT).alias("raw_text"))
+    docs = table(spark, sf, "documents", ["doc_id", "text", "lang", "source"])
+    return docs.select("doc_id", F.expr(RAW_REPORT).alias("raw_text"))
 
 
 def _structured(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    cleaned = reports.clean_reports(_raw(spark, sf))
-    return cleaned, reports.structure_reports(cleaned, stamp=False)
+    raw = _raw(spark, sf)
+    return raw, reports.structure_reports(reports.clean_reports(raw), stamp=False)
 
 
 def _squeeze(expr: str) -> str:
@@ -261,7 +262,7 @@ def field_rates(spark, sf):
 def failed_reports(spark, sf):
     from medlake.operators.summaries import first_failures
 
-    docs = table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).select(
         F.concat(F.lit("bronze/reports/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
         F.col("text").alias("raw_text"),
     )

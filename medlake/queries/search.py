@@ -16,7 +16,8 @@ TEXT_MIN_SCORE = 0.3
 
 
 def _corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    vectors = table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    return vectors.withColumnRenamed("vec_id", "id")
 
 
 def _mean_vector(df: DataFrame, key) -> DataFrame:
@@ -280,7 +281,7 @@ _ITEM_WORDS = _WORDS.format(name="item", id="item_id", table="benchmark", where=
 
 
 def _embedded_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf, "documents", ["doc_id", "text"]).withColumnRenamed("doc_id", "id")
     return embedding.embed_texts(docs, dim=TEXT_DIM).select("id", "embedding")
 
 
@@ -501,7 +502,7 @@ def generate_hook(spark, sf):
            md5(array_to_string(words[chunk_no * 180 + 1 : chunk_no * 180 + 200], ' ')) AS chunk_md5 FROM c""",
 )
 def chunks(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents", ["doc_id", "text"])
     return embedding.chunk_words(docs, size=200, overlap=20, keep=("doc_id",)).select(
         "doc_id", "chunk_no", "n_words", F.md5("chunk").alias("chunk_md5")
     )

@@ -319,11 +319,14 @@ def apply_retention(
 
 
 def format_size(size: Column) -> Column:
-    """Bytes in the first unit below 1024, one decimal; terabytes have no upper end."""
+    """Bytes in the first unit below 1024, one decimal; terabytes have no upper end.
+
+    Exact halves go to the even digit.
+    """
     value = size.cast("double")
     out = F.when(F.lit(False), F.lit(""))
     for power, unit in enumerate(SIZE_UNITS):
-        scaled = F.format_string(f"%.1f {unit}", value / F.lit(float(1024**power)))
+        scaled = F.format_string(f"%.1f {unit}", F.bround(value / F.lit(float(1024**power)), 1))
         if unit == SIZE_UNITS[-1]:
             return out.otherwise(scaled)
         out = out.when(value < float(1024 ** (power + 1)), scaled)
