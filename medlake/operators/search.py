@@ -7,7 +7,6 @@ checked bound; above it, corpus and queries meet in a grid of bounded cells.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -149,10 +148,10 @@ def grid_top_k(
     block_rows = vector_rows_limit(dim, cell_bytes)
     blocks = (
         corpus.groupBy("leaf")
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("corpus_blocks"))
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("corpus_blocks"))
         .join(
             queries.groupBy("leaf").agg(
-                F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("query_blocks")
+                F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("query_blocks")
             ),
             "leaf",
         )
@@ -166,7 +165,7 @@ def grid_top_k(
             .withColumn(f"{own}_block", F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")))
             .withColumn(
                 f"{other}_block",
-                F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).cast("bigint"),
+                F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_blocks") - 1)),
             )
             .select("leaf", "corpus_block", "query_block", key, "embedding")
         )
@@ -243,7 +242,3 @@ def hits_bound(queries: DataFrame, dim: int, k: int) -> int | None:
     limit = vector_rows_limit(dim)
     n = queries.limit(limit + 1).count()
     return n * k if n <= limit else None
-
-
-def blocks_needed(rows: int, dim: int, cell_bytes: int = CELL_BYTES) -> int:
-    return math.ceil(rows / vector_rows_limit(dim, cell_bytes))
