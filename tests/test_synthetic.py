@@ -1,0 +1,71 @@
+from pyspark.sql import functions as F
+
+from medlake.operators import reports
+from medlake.sources import synthetic
+
+def today():
+    return F.lit("2024-01-15").cast("date")
+
+
+def test_cases_have_exact_ratio_and_ranges(spark):
+    rows = synthetic.generate_cases(spark, 250, 0.6, seed=7).collect()
+    sick = [r for r in rows if r.diagnosis == "pneumonia"]
+    assert len(rows) == 250 and len(sick) == 150
+    assert rows[0].patient_id.startswith("patient_") and {r.sex for r in rows} == {"M", "F"}
+    for r in rows:
+        spans = synthetic.VITAL_SPANS[r.diagnosis]
+        for name in ("temperature", "heart_rate", "respiratory_rate", "oxygen_saturation", "wbc", "crp"):
+            low, high, _ = spans[name]
+            assert low <= r[name] <= high
+        upper, lower = map(int, r.blood_pressure.split("/"))
+        assert spans["systolic_bp"][0] <= upper <= spans["systolic_bp"][1]
+        assert spans["diastolic_bp"][0] <= lower <= spans["diastolic_bp"][1]
+        assert 25 <= r.age <= 85
+
+
+def test_partitioning_does_not_change_rows(spark):
+    one = spark.range(1, 101, 1, 1).withColumnRenamed("id", "case_no")
+    many = spark.range(1, 101, 1, 9).withColumnRenamed("id", "case_no")
+    a, b = (sorted(synthetic.generate_cases(spark, ids=i).collect()) for i in (one, many))
+    assert a == b
+    assert a != sorted(synthetic.generate_cases(spark, ids=one, seed=1).collect())
+
+
+def test_ratio_edges_and_deep_cut(spark, monkeypatch):
+    ids = spark.range(3000)
+    for ratio, want in ((0.0, 0), (1.0, 3000), (0.3337, 1001)):
+        for rows in (100_000, 1):  # rank the first prefix found, or descend to single rows
+            monkeypatch.setattr(synthetic, "RANKED_ROWS", rows)
+            out = synthetic.assign_diagnosis(ids, "id", ratio)
+            assert out.where("diagnosis = 'pneumonia'").count() == want
+
+
+def test_full_report_can_be_extracted(spark):
+    cases = synthetic.generate_cases(spark, 40)
+    raw = cases.select("patient_id", "age", "sex", synthetic.report_text(today()).alias("raw_text"))
+    renamed = raw.select(
+        F.col("patient_id").alias("p"), F.col("age").alias("a"), F.col("sex").alias("s"), "raw_text"
+    )
+    rows = reports.structure_reports(reports.clean_reports(renamed)).collect()
+    assert all(r.patient_id == r.p and r.age == r.a and r.sex == r.s for r in rows)
+    assert all(r.is_valid and r.findings.startswith("---") and r.impression for r in rows)
+
+
+def test_short_reports(spark):
+    rows = synthetic.generate_short_reports(spark.range(200), today()).collect()
+    assert len({r.report_id for r in rows}) == 200 and all(len(r.report_id) == 8 for r in rows)
+    assert all(r.is_synthetic for r in rows)
+    assert all("2023-01-15" <= r.study_date <= "2024-01-15" for r in rows)
+    assert all(r.metadata.patient_id.startswith("SYNTH-") and len(r.metadata.patient_id) == 11 for r in rows)
+    assert {r.metadata.modality for r in rows} == {"CR"} and {r.metadata.body_part for r in rows} == {"CHEST"}
+    bare = synthetic.generate_short_reports(spark.range(3), today(), include_metadata=False)
+    assert all(r.metadata is None for r in bare.collect())
+
+
+def test_documents_and_manifest(spark, tmp_path):
+    from medlake.sources.tables import save_synthetic_reports
+
+    save_synthetic_reports(synthetic.generate_short_reports(spark.range(5), today()), str(tmp_path))
+    docs = spark.read.json(f"{tmp_path}/reports")
+    row = spark.read.json(f"{tmp_path}/manifest").first()
+    assert row.num_reports == 5 and row.report_ids == sorted(r.report_id for r in docs.collect())
