@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medlake.operators.search import MIN_SCORE, TOP_K, above_threshold, attach_sources, hits_bound, top_k
+from medlake.operators.search import (
+    MIN_SCORE,
+    TOP_K,
+    above_threshold,
+    attach_sources,
+    hits_bound,
+    top_k,
+)
+from medlake.plans.durable import cut
 
 # Context length in characters, hits in the confidence, block header.
 MAX_CONTEXT = 8000
@@ -144,7 +152,9 @@ def answer_queries(
     """``queries(query_id, query, embedding)`` -> answer records, one per query.
 
     Retrieval, threshold, texts, context, answer, confidence; queries without hits stay.
+    The embedded queries are stored once, since several steps read them.
     """
+    queries = cut(queries.select("query_id", "query", "embedding"))
     hits = above_threshold(top_k(queries, corpus, dim, k, **search_options), min_score)
     return answer_hits(
         queries.select("query_id", "query"),
@@ -158,6 +168,15 @@ def answer_queries(
     )
 
 
+def answer_text(
+    query: str, context: str, generate_fn: GenerateFn, template: str = PROMPT
+) -> str:
+    """One question with a given context, outside any job."""
+    prompt = template.replace("{context}", context, 1)
+    at = prompt.rindex("{query}")
+    return generate_fn([prompt[:at] + query + prompt[at + len("{query}") :]])[0]
+
+
 def answer_hits(
     queries: DataFrame,
     hits: DataFrame,

@@ -58,6 +58,11 @@ def _lower(text: str) -> str:
 _ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
+def embed_text(text: str, embed_fn: EmbedFn | None = None, dim: int = TEXT_DIM) -> list[float]:
+    """The vector of one text, outside any job."""
+    return [float(x) for x in (embed_fn or hashed_words(dim))([text])[0]]
+
+
 def embed_texts(
     df: DataFrame,
     text_field: str = "text",

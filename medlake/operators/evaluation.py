@@ -5,20 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medlake.operators.search import attach_sources
+
 
 def precision_recall_at_k(
-    hits: DataFrame, query_labels: DataFrame, item_labels: DataFrame, skip_self: bool = False
+    hits: DataFrame,
+    query_labels: DataFrame,
+    item_labels: DataFrame,
+    skip_self: bool = False,
+    max_hits: int | None = None,
 ) -> DataFrame:
     """Per query: hits, relevant hits, precision@k and recall@k.
 
     ``query_labels(query_id, label)``, ``item_labels(id, label)``. A hit is relevant when
     its label equals the query's. Relevant totals come from label counts, not from pairs.
+    ``max_hits`` (queries x k), when known, lets the label table be reduced to the hits by a
+    broadcast of their ids.
     """
     totals = item_labels.groupBy("label").agg(F.count(F.lit(1)).alias("relevant_total"))
     if skip_self:
         hits = hits.where(F.col("id") != F.col("query_id"))
     judged = (
-        hits.join(item_labels.withColumnRenamed("label", "item_label"), "id", "left")
+        attach_sources(
+            hits, item_labels.withColumnRenamed("label", "item_label"), max_hits, ("item_label",)
+        )
         .join(query_labels, "query_id")
         .groupBy("query_id", "label")
         .agg(

@@ -134,7 +134,10 @@ def normalise_images(validated: DataFrame, denoise: bool = True, side: int = SID
 
 
 def silver_images(tensors: DataFrame) -> DataFrame:
-    """Rows of the silver image table: valid images keyed by file stem."""
+    """Rows of the silver image table: valid images keyed by file stem.
+
+    On a stored table the filter selects one partition.
+    """
     return tensors.where("is_valid").withColumn("image_key", stem(F.col("path"))).drop("elapsed_ms")
 
 

@@ -54,6 +54,11 @@ def success_rate(total: Column, ok: Column, digits: int = 2) -> Column:
     return F.round(F.coalesce(F.try_divide(ok * 100.0, total), F.lit(0.0)), digits)
 
 
+def round_columns(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
+    """Columns rounded for display."""
+    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
 def run_report(
     images: DataFrame | None,
     reports: DataFrame | None,

@@ -40,7 +40,7 @@ PROBE_SHARE = 0.1
 TRAIN_ROWS = 1_000_000
 FILE_ROWS = 250_000
 # Longest list of leaves written into a scan filter.
-MAX_LEAF_FILTER = 1000
+MAX_LEAF_FILTER = 20_000
 
 
 def upsert_latest(
@@ -220,7 +220,7 @@ def _shipped_leaves(
             interested.setdefault(leaf, []).append(row)
     rows_of = {leaf: np.array(rows) for leaf, rows in interested.items()}
     if len(rows_of) <= MAX_LEAF_FILTER:  # prunes partitions of a written index
-        index = index.where(F.col("leaf").isin(list(rows_of)))
+        index = index.where(f"leaf IN ({', '.join(map(str, sorted(rows_of)))})")
     shipped = index.sparkSession.sparkContext.broadcast(
         (
             packed.column("query_id").combine_chunks(),

@@ -11,7 +11,6 @@ from medlake.operators.images import (
     image_summary,
     normalise_images,
     read_images,
-    silver_images,
     validate_images,
 )
 from medlake.operators.quality import (
@@ -28,11 +27,12 @@ from medlake.operators.quality import (
     split_ratio,
 )
 from medlake.operators.reports import clean_reports, report_summary, structure_reports
-from medlake.operators.summaries import first_failures, run_report
+from medlake.operators.summaries import first_failures, round_columns, run_report
 from medlake.plans.durable import work_path
-from medlake.sources.lake import layer_structure, read_reports
+from medlake.sources.lake import layer_structure, read_reports, stem
 from medlake.sources.tables import (
     load_table,
+    read_table,
     read_vitals,
     save_csv,
     save_reports_json,
@@ -54,7 +54,7 @@ def reports_job(raw: DataFrame, silver: str) -> DataFrame:
     save_reports_json(structured, silver)
     # Everything that is not in the silver layer failed: the anti-join is on unique paths.
     failed = raw.select("path").join(structured.select("path"), "path", "left_anti")
-    summary = report_summary(raw, structured)
+    summary = round_columns(report_summary(raw, structured), {"average_confidence": 3})
     return summary.withColumn("failed_reports", first_failures(failed).scalar())
 
 
@@ -68,11 +68,14 @@ def vitals_job(
 ) -> DataFrame:
     """Parse, range-check, impute, flag and save one vitals table; returns the summary row.
 
-    The parsed table is read by the counts, by the median passes and by the write. Medians
-    are a handful of numbers, so the write is one narrow pass.
+    The parsed rows are written once as a columnar working table: the counts and the median
+    passes then read only the columns they need. Medians are a handful of numbers, so the
+    final write is one narrow pass.
     """
     parsed = split_ratio(raw) if "blood_pressure" in raw.columns else raw
-    parsed = coerce_numeric(parsed, [r.column for r in ranges])
+    work = work_path(raw.sparkSession, "vitals")
+    coerce_numeric(parsed, [r.column for r in ranges]).write.parquet(work)
+    parsed = raw.sparkSession.read.parquet(work)
     counts = quality_counts(parsed, ranges).first()
     ranged = null_out_of_range(parsed, ranges)
     imputed = MedianImputer.fit(ranged, [r.column for r in ranges]).transform(ranged)
@@ -81,7 +84,7 @@ def vitals_job(
         imputed = drop_unused_flags(imputed, missing)
     enriched, added = add_flags(imputed, rules, stamp=True)
     rows = load_table(enriched, table)
-    saved = save_csv(raw.sparkSession.read.parquet(table) if rows else enriched, csv)
+    saved = save_csv(read_table(raw.sparkSession, table) if rows else enriched, csv)
     return raw.sparkSession.range(1).select(
         F.lit(counts["total_rows"]).alias("total_records"),
         F.lit(counts["total_rows"]).alias("records_processed"),
@@ -114,12 +117,26 @@ def no_vitals(spark: SparkSession) -> DataFrame:
 
 
 def images_job(spark: SparkSession, bronze: str, silver: str, denoise: bool = True) -> DataFrame:
-    """Image files -> tensor table under ``silver``; returns the summary row."""
-    work = work_path(spark, "images")
-    normalise_images(validate_images(read_images(spark, bronze)), denoise).write.parquet(work)
-    tensors = spark.read.parquet(work)
-    silver_images(tensors).write.mode("overwrite").parquet(silver)
-    return image_summary(tensors)
+    """Image files -> tensor table under ``silver``; returns the summary row.
+
+    Tensors are heavy and written once: rows of failed images go to the partition
+    ``is_valid=false`` of the same table, without a tensor. The summary reads small columns.
+    """
+    tensors = normalise_images(validate_images(read_images(spark, bronze)), denoise)
+    (
+        tensors.withColumn("image_key", stem(F.col("path")))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("is_valid")
+        .parquet(silver)
+    )
+    stored = spark.read.schema(
+        "path string, file_size bigint, error_message string, elapsed_ms double, is_valid boolean"
+    ).parquet(silver)
+    return round_columns(
+        image_summary(stored),
+        {"average_original_size_kb": 2, "average_processing_time_ms": 2},
+    )
 
 
 def run_all(

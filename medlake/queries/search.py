@@ -171,7 +171,10 @@ def eval_precision(spark, sf):
     queries = _label_queries(spark, sf)
     hits = search.top_k(queries, corpus, DIM, K, digits=DIGITS)
     out = evaluation.precision_recall_at_k(
-        hits, queries.select("query_id", F.col("query_id").alias("label")), corpus.select("id", "label")
+        hits,
+        queries.select("query_id", F.col("query_id").alias("label")),
+        corpus.select("id", "label"),
+        max_hits=search.hits_bound(queries, DIM, K),
     )
     return out.withColumns(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ MISSING_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-RATIO_COLUMNS = ["blood_pressure"]
+# Ids listed in one manifest row.
+MANIFEST_IDS = 100_000
 
 
 def read_vitals(spark: SparkSession, path: str) -> DataFrame | None:
@@ -53,14 +56,27 @@ def read_vitals(spark: SparkSession, path: str) -> DataFrame | None:
     return raw.select(*columns)
 
 
-def load_table(df: DataFrame, path: str) -> int:
-    """Truncate-and-replace a table and return its row count, 0 if the load failed."""
+def load_table(df: DataFrame, target: str) -> int:
+    """Truncate-and-replace a table and return its row count, 0 if the load failed.
+
+    ``target`` is a path (it has a slash) or the name of a catalogue table.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    spark = df.sparkSession
     try:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        if "/" in target:
+            writer.parquet(target)
+            return spark.read.parquet(target).count()
+        writer.saveAsTable(target)
+        return spark.table(target).count()
     except Exception as problem:
         print(f"table load failed: {problem}")
         return 0
-    return df.sparkSession.read.parquet(path).count()
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    """A table written by :func:`load_table`."""
+    return spark.read.parquet(target) if "/" in target else spark.table(target)
 
 
 def save_csv(df: DataFrame, path: str) -> bool:
@@ -95,12 +111,17 @@ def manifest(
     shard: Column | None = None,
     generated_at: Column | None = None,
 ) -> DataFrame:
-    """Manifest rows: shard, num_reports, sorted report ids.
+    """Manifest rows: shard, generated_at, num_reports, sorted report ids.
 
-    One row for a small set; for a large one ``shard`` (for example a prefix of the id's
-    hash) keeps every list short while all shards together still list every id.
+    One row for a small set. Beyond ``MANIFEST_IDS`` ids a prefix of the id's hash deals them
+    over rows of about that many, so no list grows with the table; all rows together
+    still list every id. ``shard`` overrides the choice.
     """
-    return ids.groupBy((F.lit(0) if shard is None else shard).alias("shard")).agg(
+    if shard is None:
+        rows = ids.count()
+        digits = 0 if rows <= MANIFEST_IDS else math.ceil(math.log(rows / MANIFEST_IDS, 16))
+        shard = hash_shard(id_col, digits)
+    return ids.groupBy(shard.alias("shard")).agg(
         F.first(F.current_timestamp() if generated_at is None else generated_at).alias(
             "generated_at"
         ),
@@ -114,10 +135,7 @@ def hash_shard(id_col: str, digits: int) -> Column:
     return F.substring(F.md5(F.col(id_col).cast("string")), 1, digits)
 
 
-def save_synthetic_reports(reports: DataFrame, path: str, shard_digits: int = 0) -> None:
+def save_synthetic_reports(reports: DataFrame, path: str) -> None:
     """JSON documents and their manifest."""
     reports.write.mode("overwrite").json(f"{path}/reports")
-    shard = hash_shard("report_id", shard_digits) if shard_digits else None
-    manifest(reports.select("report_id"), shard=shard).write.mode("overwrite").json(
-        f"{path}/manifest"
-    )
+    manifest(reports.select("report_id")).write.mode("overwrite").json(f"{path}/manifest")

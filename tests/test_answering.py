@@ -90,3 +90,19 @@ def test_empty_corpus_gives_zero_confidence(spark):
     none = corpus(spark).where("id > 10")
     rows = answering.answer_queries(questions(spark), none, registry(spark), 2).collect()
     assert [r.confidence for r in rows] == [0.0, 0.0]
+
+
+def test_single_questions(spark):
+    from medlake.operators.embedding import embed_text, embed_texts
+    from medlake.plans.ask import ask, search_similar
+
+    docs = spark.createDataFrame(
+        [(1, "opacity in the left lung", "a"), (2, "broken wrist", "b")], "id int, text string, source string"
+    )
+    stored = embed_texts(docs, dim=64).select("id", "embedding")
+    assert [r.id for r in search_similar("left lung opacity", stored, 1, dim=64)] == [1]
+    record = ask("left lung opacity", stored, docs, dim=64, min_score=0.4)
+    assert record.answer == "opacity in the left lung [Source 1]" and [s.id for s in record.sources] == [1]
+    assert len(embed_text("lung")) == 768
+    said = answering.answer_text("why?", "because {query}", lambda p: [p[0].split("Context:\n")[1]])
+    assert said == "because {query}\n\nQuestion: why?\nAnswer:"

@@ -152,3 +152,17 @@ def test_manifest_shards_hold_every_id_once(spark):
     shards = tables.manifest(ids, shard=tables.hash_shard("report_id", 1)).collect()
     assert len(shards) == 16
     assert sorted(i for s in shards for i in s.report_ids) == whole.report_ids
+
+
+def test_large_manifest_is_dealt_over_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "MANIFEST_IDS", 20)
+    ids = spark.range(300).selectExpr("concat('r', id) AS report_id")
+    rows = tables.manifest(ids).collect()
+    assert len(rows) > 10 and max(r.num_reports for r in rows) < 60
+    assert len({i for r in rows for i in r.report_ids}) == 300
+
+
+def test_catalogue_table(spark):
+    df = spark.range(3).toDF("x")
+    assert tables.load_table(df, "medlake_test_table") == 3
+    assert tables.read_table(spark, "medlake_test_table").count() == 3
