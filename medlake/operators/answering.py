@@ -154,7 +154,7 @@ def answer_queries(
     Retrieval, threshold, texts, context, answer, confidence; queries without hits stay.
     The embedded queries are stored once, since several steps read them.
     """
-    queries = cut(queries.select("query_id", "query", "embedding"))
+    queries = cut(queries.select("query_id", "query", "embedding"), "queries")
     hits = above_threshold(top_k(queries, corpus, dim, k, **search_options), min_score)
     return answer_hits(
         queries.select("query_id", "query"),

@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, matrix, object_ids, unit_rows
 from medlake.plans.bounded import fetch_if_small, vector_rows_limit
+from medlake.plans.durable import cut
 from medlake.plans.skew import skew_safe_join
 
 # Retrieval defaults.
@@ -225,10 +226,13 @@ def attach_sources(
 ) -> DataFrame:
     """Left-join the texts of hits from ``registry(id, ...)``; hits without a row stay.
 
-    The registry is first reduced to the ids that were hit. ``max_hits`` (queries x k) is
-    the caller's bound on the number of hits: within ``MAX_BROADCAST_HITS`` the id list
-    goes to the registry scan and the registry is not shuffled at all.
+    The hits are stored first: their ids and the hits themselves are read separately, and the
+    scoring behind them must not run twice. The registry is then reduced to the ids that were
+    hit. ``max_hits`` (queries x k) is the caller's bound on the number of hits: within
+    ``MAX_BROADCAST_HITS`` the id list goes to the registry scan and the registry is not
+    shuffled at all.
     """
+    hits = cut(hits, "hits")
     ids = hits.select("id").distinct()
     wanted = registry.select("id", *columns)
     if max_hits is not None and max_hits <= MAX_BROADCAST_HITS:

@@ -1,4 +1,4 @@
-"""Lineage cuts that survive lost executors: reliable checkpoints in the shared folder."""
+"""Lineage cuts that survive lost executors: tables written to the shared folder."""
 
 from __future__ import annotations
 
@@ -29,12 +29,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder and return it without its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a working table in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/medlake-{label}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write ``df`` once as a columnar table in the shared folder and return that table.
+
+    For results that several later steps read: none of them computes it again, and a lost
+    executor costs no more than re-reading a file.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

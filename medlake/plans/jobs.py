@@ -28,7 +28,7 @@ from medlake.operators.quality import (
 )
 from medlake.operators.reports import clean_reports, report_summary, structure_reports
 from medlake.operators.summaries import first_failures, round_columns, run_report
-from medlake.plans.durable import work_path
+from medlake.plans.durable import cut
 from medlake.sources.lake import layer_structure, read_reports, stem
 from medlake.sources.tables import (
     load_table,
@@ -46,11 +46,8 @@ def reports_job(raw: DataFrame, silver: str) -> DataFrame:
     The structured rows are written once as a working table and everything after that
     reads it, so cleaning and extraction run once.
     """
-    spark = raw.sparkSession
     cleaned = clean_reports(raw)
-    work = work_path(spark, "reports")
-    structure_reports(cleaned).write.parquet(work)
-    structured = spark.read.parquet(work)
+    structured = cut(structure_reports(cleaned), "reports")
     save_reports_json(structured, silver)
     # Everything that is not in the silver layer failed: the anti-join is on unique paths.
     failed = raw.select("path").join(structured.select("path"), "path", "left_anti")
@@ -73,9 +70,7 @@ def vitals_job(
     final write is one narrow pass.
     """
     parsed = split_ratio(raw) if "blood_pressure" in raw.columns else raw
-    work = work_path(raw.sparkSession, "vitals")
-    coerce_numeric(parsed, [r.column for r in ranges]).write.parquet(work)
-    parsed = raw.sparkSession.read.parquet(work)
+    parsed = cut(coerce_numeric(parsed, [r.column for r in ranges]), "vitals")
     counts = quality_counts(parsed, ranges).first()
     ranged = null_out_of_range(parsed, ranges)
     imputed = MedianImputer.fit(ranged, [r.column for r in ranges]).transform(ranged)

@@ -26,14 +26,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-# Tables whose rows are long texts or vectors: worth dealing over the cores when small.
-HEAVY_TABLES = {"documents", "pages", "embeddings"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A test table; heavy ones with only the ``columns`` asked for are dealt over the cores."""
+    """A test table, as stored; with ``columns``, just those, dealt over the cores when small.
+
+    The second form is for processor-heavy work on rows that arrive in a single split.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if columns is None:
-        return df
-    df = df.select(*columns)
-    return spread(df) if name in HEAVY_TABLES else df
+    return df if columns is None else spread(df.select(*columns))
