@@ -86,7 +86,7 @@ def top_k(
         partial_hits = shipped_top_k(packed, corpus, queries, dim, k, measure, digits)
     else:
         partial_hits = grid_top_k(
-            queries.withColumn("leaf", F.lit(0)),
+            cut(queries, "queries").withColumn("leaf", F.lit(0)),
             corpus.withColumn("leaf", F.lit(0)),
             dim,
             k,

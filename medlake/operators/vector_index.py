@@ -31,6 +31,7 @@ from medlake.operators.search import (
     grid_top_k,
 )
 from medlake.plans.bounded import fetch_if_small, vector_rows_limit
+from medlake.plans.durable import cut
 
 # Index settings.
 VECTORS_PER_LEAF = 1000
@@ -199,7 +200,9 @@ def approx_top_k(
     limit = vector_rows_limit(dim) if max_queries is None else max_queries
     packed = fetch_if_small(queries, limit)
     if packed is None:
-        spread = queries.select("query_id", "embedding", F.explode("leaves").alias("leaf"))
+        spread = cut(queries, "queries").select(
+            "query_id", "embedding", F.explode("leaves").alias("leaf")
+        )
         return best_k(grid_top_k(spread, index, dim, k, measure, digits, cell_bytes), k)
     return best_k(_shipped_leaves(packed, index, queries, dim, k, measure, digits), k)
 

@@ -12,11 +12,10 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def fetch_if_small(df: DataFrame, max_rows: int) -> pa.Table | None:
     """The rows of ``df`` as Arrow if there are at most ``max_rows``, else ``None``.
 
-    At most ``max_rows + 1`` rows ever reach the driver; the caller must have an exact
-    distributed way for ``None``.
+    The rows are counted up to the bound first, so a large input moves no values at all; the
+    caller must have an exact distributed way for ``None``.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    return table if table.num_rows <= max_rows else None
+    return df.toArrow() if df.limit(max_rows + 1).count() <= max_rows else None
 
 
 def vector_rows_limit(dim: int, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
