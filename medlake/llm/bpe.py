@@ -26,9 +26,9 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import cut, text_of
+from medlake.llm.common import bounded_hint, cut, text_of
 
-CHUNK = 16_384
+CHUNK = 32_768
 OVERLAP = 1_024
 #: A split may look this many characters past its end.
 MARGIN = 4
@@ -167,28 +167,32 @@ def _join_ids(table: pa.Table) -> pa.Table:
 
 
 def _encode_long(texts: DataFrame, shared: Broadcast, pattern: str) -> DataFrame:
-    """``(key, text)`` of distinct long texts -> ``(key, ids)``."""
-    chunks = texts.mapInArrow(_chunks, "key string, i int, chunk string, last boolean")
-    parts = chunks.repartition("key", "i").mapInArrow(
+    """``(key, text)`` of long texts, copies among them -> ``(key, ids)``, each key once."""
+    chunks = texts.mapInArrow(_chunks, "key string, i int, chunk string, last boolean").dropDuplicates(["key", "i"])
+    parts = chunks.mapInArrow(
         _split_chunks(pattern), "key string, i int, chunk string, last boolean, head array<int>, tail array<int>"
     )
+    parts = cut(parts, "chunks")
+    # Only boundaries are brought together by text; the chunks stay where they are.
     order = Window.partitionBy("key").orderBy("i")
     meet = F.array_min(F.array_intersect("tail", F.lead("head").over(order)))
-    parts = cut(parts.withColumn("meet", meet).withColumn("from", F.lag("meet").over(order)), "chunks")
-    apart = parts.where("meet is null and not last").select("key").distinct()
+    stitches = parts.select("key", "i", "last", "head", "tail").withColumn("meet", meet).withColumn("from", F.lag("meet").over(order))
+    stitches = cut(stitches.select("key", "i", "last", "meet", "from"), "stitches")
+    apart = cut(stitches.where("meet is null and not last").select("key").distinct(), "apart")
+    stitches = stitches.drop("last").join(bounded_hint(apart, 128), "key", "left_anti")
     begin = F.when(F.col("i") == 0, F.lit(0)).otherwise(F.col("from"))
     stretch = F.substring("chunk", begin + 1, F.when(F.col("last"), F.length("chunk")).otherwise(CHUNK + F.col("meet")) - begin)
     encode = _encode_column(shared, pattern)
-    pieces = parts.join(apart, "key", "left_anti").select(F.struct("key", "i").alias("at"), stretch.alias("text"))
+    pieces = parts.select("key", "i", "chunk", "last").join(bounded_hint(cut(stitches, "stitched"), 128), ["key", "i"])
     stitched = (
-        pieces.repartition("at")
+        pieces.select(F.struct("key", "i").alias("at"), stretch.alias("text"))
         .mapInArrow(encode, "at struct<key:string,i:int>, ids binary")
         .select("at.key", "at.i", "ids")
         .groupBy("key")
         .applyInArrow(_join_ids, "key string, ids binary")
     )
-    whole = texts.join(apart, "key", "left_semi").mapInArrow(encode, "key string, ids binary")
-    return stitched.unionByName(whole)
+    unstitched = texts.join(bounded_hint(apart, 128), "key", "left_semi").dropDuplicates(["key"])
+    return stitched.unionByName(unstitched.mapInArrow(encode, "key string, ids binary"))
 
 
 def encode(
@@ -205,7 +209,7 @@ def encode(
     is_long = F.octet_length("text") > CHUNK
     short = rows.where(~is_long).mapInArrow(_encode_column(ranks, pattern), f"doc_id {kind}, ids binary")
     long_rows = rows.where(is_long).withColumn("key", F.sha2("text", 256))
-    done = _encode_long(long_rows.select("key", "text").dropDuplicates(["key"]), ranks, pattern)
+    done = _encode_long(long_rows.select("key", "text"), ranks, pattern)
     joined = long_rows.select("doc_id", "key").join(done, "key").select("doc_id", "ids")
     return short.unionByName(joined).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
