@@ -26,14 +26,14 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import bounded_hint, cut, text_of
+from medlake.llm.common import bounded_hint, cut, slices, text_of
 
 CHUNK = 32_768
 OVERLAP = 1_024
 #: A split may look this many characters past its end.
 MARGIN = 4
 #: Pre-tokens remembered by a task.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 LONG_PIECE = 64
 
 
@@ -117,7 +117,7 @@ def _encoder(shared: Broadcast, pattern: str):
 def _encode_column(shared: Broadcast, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(shared, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = pa.array([encode(t.as_py() or "") for t in batch.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [batch.schema.names[0], "ids"])
 
@@ -227,7 +227,8 @@ def decode(encoded: DataFrame, ranks: Broadcast, ids_col: str = "ids") -> DataFr
         vocabulary = [b""] * (max(content.values(), default=-1) + 1)
         for token, rank in content.items():
             vocabulary[rank] = token
-        for batch in batches:
+        del content
+        for batch in slices(batches):
             out = [
                 None if (v := x.as_py()) is None else b"".join([vocabulary[i] for i in np.frombuffer(v, "<u4").tolist()])
                 for x in batch.column(ids_col)

@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medlake.plans.bounded import MAX_BROADCAST_BYTES
 from medlake.plans.durable import cut
 
-__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "text_of"]
+__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "slices", "text_of"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch that a task works on at once.
+SLICE = 512
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task makes of them stays small."""
+    for batch in batches:
+        for i in range(0, len(batch), SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def text_of(column: str | Column) -> Column:
     """A text with null read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import replace, text_of
+from medlake.llm.common import replace, slices, text_of
 
 #: Bytes per n-gram.
 SIZES = (3, 5)
@@ -27,8 +27,8 @@ KEPT = 6_000
 MIN_SEEN = 2
 HASHES = 3
 SLOT_BITS = 18
-#: Characters judged in one go.
-STEP = 1 << 20
+#: n-grams judged in one go.
+STEP = 1 << 18
 UNKNOWN = "und"
 
 
@@ -38,22 +38,30 @@ def letters_only(text_col: str) -> Column:
     return F.when(words.rlike(r"\p{L}"), F.concat(F.lit(" "), words, F.lit(" "))).otherwise(F.lit(""))
 
 
-def _codes(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams of all texts of a batch as integers, and where each text's begin (n + 1 places)."""
+def _codes(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """n-grams of all texts of a batch as integers, at most ``STEP`` at a time.
+
+    With each piece come the number of its first text and where each text's n-grams begin in it.
+    """
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    codes = np.zeros(max(0, len(data) - size + 1), dtype=np.uint64)
-    for k in range(size):
-        codes = codes << np.uint64(8) | data[k : k + len(codes)].astype(np.uint64)
-    # n-grams that would run into the next text are left out.
-    keep = np.ones(len(codes), dtype=bool)
-    for k in range(1, size):
-        inner = offsets[1:-1] - k
-        keep[inner[(inner >= 0) & (inner < len(codes))]] = False
-    short = np.maximum(np.diff(offsets) - size + 1, 0)
-    return (codes[keep] | np.uint64(size) << np.uint64(56)), np.r_[0, np.cumsum(short)]
+    for begin in range(0, len(data), STEP):
+        part = data[begin : begin + STEP + size - 1]
+        count = max(0, len(part) - size + 1)
+        codes = np.full(count, size, dtype=np.uint64)
+        for k in range(size):
+            codes = codes << np.uint64(8) | part[k : k + count].astype(np.uint64)
+        # n-grams that would run into the next text are left out.
+        keep = np.ones(count, dtype=bool)
+        first = int(np.searchsorted(offsets, begin, "right")) - 1
+        last = int(np.searchsorted(offsets, begin + count + size, "left"))
+        for k in range(1, size):
+            inner = offsets[first + 1 : last] - begin - k
+            keep[inner[(inner >= 0) & (inner < count)]] = False
+        edges = np.clip(offsets[first : last + 1] - begin, 0, count)
+        yield codes[keep], first, np.r_[0, np.cumsum(keep)][edges]
 
 
 def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,11 +70,10 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for lang in sorted(set(langs)):
             texts = batch.column("text").filter(pa.array(langs == lang))
             for size in SIZES:
-                codes, seen = np.unique(_codes(texts, size)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(seen, pa.int64())],
-                    ["lang", "code", "n"],
-                )
+                for found, _, _ in _codes(texts, size):
+                    codes, seen = np.unique(found, return_counts=True)
+                    columns = [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(seen, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "code", "n"])
 
 
 @dataclass
@@ -102,18 +109,13 @@ class LanguageFilter:
         """Per text: n-grams found in each language, and all n-grams."""
         found, total = np.zeros((len(column), len(self.langs))), np.zeros(len(column))
         for size in SIZES:
-            codes, starts = _codes(column, size)
-            total += np.diff(starts)
-            for begin in range(0, len(codes), STEP):
-                part = codes[begin : begin + STEP]
-                masks = self.masks(part)
-                first = int(np.searchsorted(starts, begin, "right")) - 1
-                last = int(np.searchsorted(starts, begin + len(part), "left"))
-                edges = np.clip(starts[first : last + 1] - begin, 0, len(part))
+            for codes, first, edges in _codes(column, size):
+                texts = slice(first, first + len(edges) - 1)
+                total[texts] += np.diff(edges)
+                masks = self.masks(codes)
                 for n in range(len(self.langs)):
                     bit = (masks[:, n // 64] >> np.uint64(n % 64)) & np.uint64(1)
-                    upto = np.r_[0, np.cumsum(bit, dtype=np.int64)]
-                    found[first:last, n] += upto[edges[1:]] - upto[edges[:-1]]
+                    found[texts, n] += np.diff(np.r_[0, np.cumsum(bit, dtype=np.int64)][edges])
         return found, total
 
     def judge(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -180,7 +182,7 @@ def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text") ->
     clean, given = "__llm_letters", docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = shared.value.judge(batch.column(clean))
             kept = [batch.column(c) for c in given]
             yield pa.RecordBatch.from_arrays(

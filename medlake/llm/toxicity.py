@@ -22,7 +22,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlake.llm.common import cut, replace
+from medlake.llm.common import cut, replace, slices
 
 #: Labelled documents learned from, at most about (drawn by hash), and stems kept.
 TRAIN_DOCS = 16_000
@@ -255,7 +255,7 @@ def _with_features(docs: DataFrame, model: ToxicityModel, text_col: str, kept: l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, tables = shared.value.reader(), grammar()
-        for batch in batches:
+        for batch in slices(batches):
             rows = [features(t.as_py(), memo, tables) for t in batch.column(text_col)]
             columns = [batch.column(c) for c in kept] + [pa.array(rows, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "__llm_features"])
