@@ -50,9 +50,10 @@ def _codes(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, int, np.nd
     for begin in range(0, len(data), STEP):
         part = data[begin : begin + STEP + size - 1]
         count = max(0, len(part) - size + 1)
-        codes = np.full(count, size, dtype=np.uint64)
+        codes = np.zeros(count, dtype=np.uint64)
         for k in range(size):
             codes = codes << np.uint64(8) | part[k : k + count].astype(np.uint64)
+        codes |= np.uint64(size) << np.uint64(56)
         # n-grams that would run into the next text are left out.
         keep = np.ones(count, dtype=bool)
         first = int(np.searchsorted(offsets, begin, "right")) - 1
