@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlake.llm import bpe, exact, langid, mixing, simhash
-from medlake.llm.common import cut
+from medlake.llm.common import bounded_hint, cut, row_key
 from medlake.llm.queries import PATTERN, RANKS
 
 # Functions sent to Python workers travel by value, wherever the driver was started.
@@ -27,9 +27,12 @@ LEAST_SCORE = 0.25
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, and texts that fit none of the languages in ``lang``."""
     model = langid.learn(docs)
-    judged = langid.identify(docs.select(F.struct("*").alias("row"), "text"), model)
-    kept = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("row.*")
+    judged = langid.identify(docs.select(row_key("doc_id", "text").alias("key"), "text"), model, keep=["key"])
+    rejected = judged.where((F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < LEAST_SCORE))
+    verdicts = cut(rejected.select("key").distinct(), "rejected")
+    marked = docs.withColumn("__llm_key", row_key("doc_id", "text"))
+    dropped = bounded_hint(verdicts.withColumnRenamed("key", "__llm_key"), 64)
+    return marked.join(dropped, "__llm_key", "left_anti").drop("__llm_key")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ its slice makes likely, and the language with the largest corrected share wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -170,17 +170,21 @@ def learn(
     return LanguageFilter.build(langs, [codes[names == lang] for lang in langs])
 
 
-def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
+def identify(
+    docs: DataFrame, model: LanguageFilter, text_col: str = "text", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ``lang_pred`` and ``score``; columns of these names are replaced.
 
     A text that is null, empty or has no letter is ``und`` with score 0; one too short for
     an n-gram that any language contains gets score 0 and the first language. Whole texts are read,
     repeated rows get the same answer, an empty table gives an empty one.
     """
-    docs = replace(docs, ["lang_pred", "score"])
+    clean = "__llm_letters"
+    docs = replace(docs.withColumn(clean, letters_only(text_col)), ["lang_pred", "score"])
+    given = [c for c in docs.columns if c != clean and (keep is None or c in keep)]
+    docs = docs.select(*[f"`{c}`" for c in given], clean)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    clean, given = "__llm_letters", docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != clean)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -190,4 +194,4 @@ def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text") ->
                 [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*given, "lang_pred", "score"]
             )
 
-    return docs.withColumn(clean, letters_only(text_col)).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
