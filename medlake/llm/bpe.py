@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import bounded_hint, cut, slices, text_of
+from medlake.llm.common import bounded_hint, cut, slices, text_of, tidy
 
 CHUNK = 32_768
 OVERLAP = 1_024
@@ -168,9 +168,9 @@ def _join_ids(table: pa.Table) -> pa.Table:
 
 def _encode_long(texts: DataFrame, shared: Broadcast, pattern: str) -> DataFrame:
     """``(key, text)`` of long texts, copies among them -> ``(key, ids)``, each key once."""
-    chunks = texts.mapInArrow(_chunks, "key string, i int, chunk string, last boolean").dropDuplicates(["key", "i"])
+    chunks = texts.mapInArrow(tidy(_chunks), "key string, i int, chunk string, last boolean").dropDuplicates(["key", "i"])
     parts = chunks.mapInArrow(
-        _split_chunks(pattern), "key string, i int, chunk string, last boolean, head array<int>, tail array<int>"
+        tidy(_split_chunks(pattern)), "key string, i int, chunk string, last boolean, head array<int>, tail array<int>"
     )
     parts = cut(parts, "chunks")
     # Only boundaries are brought together by text; the chunks stay where they are.
@@ -182,7 +182,7 @@ def _encode_long(texts: DataFrame, shared: Broadcast, pattern: str) -> DataFrame
     stitches = stitches.drop("last").join(bounded_hint(apart, 128), "key", "left_anti")
     begin = F.when(F.col("i") == 0, F.lit(0)).otherwise(F.col("from"))
     stretch = F.substring("chunk", begin + 1, F.when(F.col("last"), F.length("chunk")).otherwise(CHUNK + F.col("meet")) - begin)
-    encode = _encode_column(shared, pattern)
+    encode = tidy(_encode_column(shared, pattern))
     pieces = parts.select("key", "i", "chunk", "last").join(bounded_hint(cut(stitches, "stitched"), 128), ["key", "i"])
     stitched = (
         pieces.select(F.struct("key", "i").alias("at"), stretch.alias("text"))
@@ -207,7 +207,7 @@ def encode(
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     is_long = F.octet_length("text") > CHUNK
-    short = rows.where(~is_long).mapInArrow(_encode_column(ranks, pattern), f"doc_id {kind}, ids binary")
+    short = rows.where(~is_long).mapInArrow(tidy(_encode_column(ranks, pattern)), f"doc_id {kind}, ids binary")
     long_rows = rows.where(is_long).withColumn("key", F.sha2("text", 256))
     done = _encode_long(long_rows.select("key", "text"), ranks, pattern)
     joined = long_rows.select("doc_id", "key").join(done, "key").select("doc_id", "ids")
@@ -235,4 +235,4 @@ def decode(encoded: DataFrame, ranks: Broadcast, ids_col: str = "ids") -> DataFr
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, f"{schema}, decoded binary")
+    return encoded.mapInArrow(tidy(run), f"{schema}, decoded binary")

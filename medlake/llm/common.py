@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from medlake.plans.bounded import MAX_BROADCAST_BYTES
 from medlake.plans.durable import cut
 
-__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "slices", "text_of"]
+__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "slices", "text_of", "tidy"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,6 +30,27 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(i, SLICE)
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Batches) -> Batches:
+    """``run``, and then the memory that it has freed goes back to the machine.
+
+    Python workers outlive their task; without this, each keeps the largest batch that it ever saw.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # not every C library has it
+
+    return tidied
+
+
 def text_of(column: str | Column) -> Column:
     """A text with null read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

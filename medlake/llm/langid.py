@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import replace, slices, text_of
+from medlake.llm.common import replace, slices, text_of, tidy
 
 #: Bytes per n-gram.
 SIZES = (3, 5)
@@ -157,7 +157,7 @@ def learn(
     share = F.broadcast(sizes.select("lang", (F.lit(float(per_language)) / F.col("n")).alias("share")))
     sample = rows.join(share, "lang").where(draw < F.col("share")).select("lang", letters_only("text").alias("text"))
     grams = (
-        sample.mapInArrow(_count_ngrams, "lang string, code long, n long")
+        sample.mapInArrow(tidy(_count_ngrams), "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= MIN_SEEN)
@@ -194,4 +194,4 @@ def identify(
                 [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*given, "lang_pred", "score"]
             )
 
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(tidy(run), f"{schema}, lang_pred string, score double")

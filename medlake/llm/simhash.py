@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlake.llm.common import bounded_hint, cut, keep_one, row_key
+from medlake.llm.common import bounded_hint, cut, keep_one, row_key, slices, tidy
 from medlake.llm.components import components
 
 WORDS = 4
@@ -69,7 +69,7 @@ def fingerprint(text: str | None) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         prints = np.fromiter((fingerprint(t.as_py()) for t in batch.column("text")), np.uint64, len(batch))
         kept = [batch.column(c) for c in ("doc_id", "key")]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(prints.view(np.int64))], ["doc_id", "key", "fp"])
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col(text_col).alias("text"),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_fingerprints, f"doc_id {kind}, key binary, fp long")
+    return rows.mapInArrow(tidy(_fingerprints), f"doc_id {kind}, key binary, fp long")
 
 
 def _postings(prints: DataFrame) -> DataFrame:
@@ -178,7 +178,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(prints: DataFrame) -> DataFrame:
     """``prints(fp)`` distinct -> ``(u, v)``: enough links to connect all that are within ``MAX_BITS``."""
     units = _work_units(_postings(prints)).repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
-    return units.mapInArrow(_links, "u long, v long").distinct()
+    return units.mapInArrow(tidy(_links), "u long, v long").distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

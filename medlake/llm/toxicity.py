@@ -22,7 +22,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlake.llm.common import cut, replace, slices
+from medlake.llm.common import cut, replace, slices, tidy
 
 #: Labelled documents learned from, at most about (drawn by hash), and stems kept.
 TRAIN_DOCS = 16_000
@@ -226,7 +226,7 @@ def learn(labelled: DataFrame, text_col: str = "text", toxic_col: str = "toxic",
     shape = "stem string, n long"
 
     def counted(label: int, wanted: Broadcast | None = None) -> DataFrame:
-        stems = rows.where(F.col("toxic") == label).mapInArrow(_stem_counts(wanted), shape)
+        stems = rows.where(F.col("toxic") == label).mapInArrow(tidy(_stem_counts(wanted)), shape)
         return stems.groupBy("stem").agg(F.sum("n").alias("n"))
 
     usual = counted(1).where(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "stem").limit(CANDIDATES)
@@ -260,7 +260,7 @@ def _with_features(docs: DataFrame, model: ToxicityModel, text_col: str, kept: l
             columns = [batch.column(c) for c in kept] + [pa.array(rows, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "__llm_features"])
 
-    return docs.mapInArrow(run, f"{schema}, __llm_features array<double>")
+    return docs.mapInArrow(tidy(run), f"{schema}, __llm_features array<double>")
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
