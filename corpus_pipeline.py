@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlake.llm import bpe, exact, langid, mixing, simhash
-from medlake.llm.common import bounded_hint, cut, row_key
+from medlake.llm.common import bounded_hint, cut, row_key, small_batches
 from medlake.llm.queries import PATTERN, RANKS
 
 # Functions sent to Python workers travel by value, wherever the driver was started.
@@ -26,6 +26,7 @@ LEAST_SCORE = 0.25
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, and texts that fit none of the languages in ``lang``."""
+    small_batches(spark)
     model = langid.learn(docs)
     judged = langid.identify(docs.select(row_key("doc_id", "text").alias("key"), "text"), model, keep=["key"])
     rejected = judged.where((F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < LEAST_SCORE))
@@ -42,6 +43,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts linked by SimHash, the row with the smallest id stays."""
+    small_batches(spark)
     return simhash.drop_near_copies(docs)
 
 
@@ -52,6 +54,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text (packed, with their number), and whether they decode to its bytes."""
+    small_batches(spark)
     ranks = bpe.share_ranks(spark, RANKS)
     both = bpe.decode(bpe.encode(docs, ranks, PATTERN), ranks)
     return both.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -33,7 +33,7 @@ OVERLAP = 1_024
 #: A split may look this many characters past its end.
 MARGIN = 4
 #: Pre-tokens remembered by a task.
-REMEMBERED = 150_000
+REMEMBERED = 80_000
 LONG_PIECE = 64
 
 

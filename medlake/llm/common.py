@@ -8,13 +8,13 @@ import string
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlake.plans.bounded import MAX_BROADCAST_BYTES
 from medlake.plans.durable import cut
 
-__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "slices", "text_of", "tidy"]
+__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "slices", "small_batches", "text_of", "tidy"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,6 +30,21 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(i, SLICE)
 
 
+#: Rows of a batch between Spark and its Python workers, where texts may be long.
+BATCH_ROWS = 1_024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session exchanges batches of at most ``BATCH_ROWS`` rows with Python workers.
+
+    Every running task holds such a batch on both sides; Spark's default is 10,000 texts of any length.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
