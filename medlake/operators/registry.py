@@ -45,32 +45,42 @@ def metadata_field(name: str) -> Column:
 
 
 def drop_copies(df: DataFrame, key: Sequence[str], keep_first_by: str) -> DataFrame:
-    """One row per key, the one with the smallest ``keep_first_by``.
+    """One row per key, the one with the smallest ``keep_first_by``; null comes last, ties go by the row's hash.
 
     ``min_by`` reduces each task's copies before the shuffle: a group holding a third of
     the table never gathers in one place.
     """
     others = [c for c in df.columns if c not in key]
+    rank = F.struct(F.col(keep_first_by).isNull(), keep_first_by, F.xxhash64(*others))
     return (
         df.groupBy(*key)
-        .agg(F.min_by(F.struct(*others), keep_first_by).alias("__row"))
+        .agg(F.min_by(F.struct(*others), rank).alias("__row"))
         .select(*key, *[F.col(f"__row.{c}").alias(c) for c in others])
         .select(*df.columns)
     )
 
 
 def drop_content_copies(df: DataFrame, content: str, keep_first_by: str) -> DataFrame:
-    """Exact content copies removed, grouped by fingerprint; the bodies do not shuffle.
+    """One row of each content, the one with the smallest ``keep_first_by`` (null last).
 
-    Only (fingerprint, id) pairs are grouped; the survivors' ids then select whole rows.
+    Ids need not be unique. (fingerprint, id) pairs are counted and grouped first; whole rows are then
+    chosen by both, and they move unless the list of survivors can be broadcast. Of rows that repeat
+    the surviving pair, which only a second pass over these few can tell apart, one stays.
     """
-    keep = (
-        df.select(F.sha2(F.col(content), 256).alias("__print"), F.col(keep_first_by))
+    marked = df.withColumn("__print", F.sha2(F.coalesce(F.concat(F.lit("="), content), F.lit("~")), 256))
+    rank = F.struct(F.col(keep_first_by).isNull(), keep_first_by, "__n")
+    first = (
+        marked.groupBy("__print", keep_first_by)
+        .agg(F.count(F.lit(1)).alias("__n"))
         .groupBy("__print")
-        .agg(F.min(keep_first_by).alias(keep_first_by))
-        .select(keep_first_by)
+        .agg(F.min(rank).alias("__first"))
+        .select(F.col("__print").alias("__of"), f"__first.{keep_first_by}", "__first.__n")
+        .withColumnRenamed(keep_first_by, "__id")
     )
-    return df.join(keep, keep_first_by, "left_semi")
+    same = (F.col("__print") == F.col("__of")) & F.col(keep_first_by).eqNullSafe(F.col("__id"))
+    once = marked.join(first.where("__n = 1"), same, "left_semi")
+    several = marked.join(first.where("__n > 1"), same, "left_semi")
+    return once.unionByName(several.dropDuplicates(["__print"])).drop("__print")
 
 
 def patient_view(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,19 +49,28 @@ MAX_LEAF_FILTER = 20_000
 def upsert_latest(
     current: DataFrame, changes: DataFrame, key: str = "id", version: str = "version"
 ) -> DataFrame:
-    """Union of both tables with the highest version of each key.
+    """Union of both tables with the highest version of each key; changes win ties.
 
     ``max_by`` keeps one row per key and task before the shuffle, so a key rewritten in a
     third of all rows costs no more than any other.
     """
-    return latest(current.unionByName(changes), key, version)
+    sides = [df.withColumn("__side", F.lit(n)) for n, df in enumerate((current, changes))]
+    return latest(sides[0].unionByName(sides[1]), key, version, ["__side"]).drop("__side")
+
 
+def latest(
+    rows: DataFrame, key: str = "id", version: str = "version", ties: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key: the highest version, null the lowest of all.
 
-def latest(rows: DataFrame, key: str = "id", version: str = "version") -> DataFrame:
+    Of equal versions the one with the highest ``ties`` columns wins, then the highest hash of the
+    row, so that no partitioning or retry changes the winner.
+    """
     others = [c for c in rows.columns if c != key]
+    rank = F.struct(F.col(version).isNotNull(), version, *ties, F.xxhash64(*others))
     return (
         rows.groupBy(key)
-        .agg(F.max_by(F.struct(*others), version).alias("__row"))
+        .agg(F.max_by(F.struct(*others), rank).alias("__row"))
         .select(key, *[F.col(f"__row.{c}").alias(c) for c in others])
         .select(*rows.columns)
     )

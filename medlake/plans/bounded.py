@@ -1,4 +1,4 @@
-"""Size checks in front of broadcasts and driver-side values, and small-input spreading."""
+"""Size checks in front of broadcasts and driver-side values."""
 
 from __future__ import annotations
 
@@ -21,12 +21,3 @@ def fetch_if_small(df: DataFrame, max_rows: int) -> pa.Table | None:
 def vector_rows_limit(dim: int, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
     """How many float64 vectors of ``dim`` values fit in ``max_bytes``."""
     return max(1, max_bytes // (8 * max(1, dim)))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input over all cores before processor-heavy work.
-
-    A scan with at least one split per core, which is every large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

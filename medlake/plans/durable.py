@@ -2,31 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else one in the warehouse.
 
-    A temporary folder stands in only where the setting is absent *and* the master is
-    local, where driver and executors are the same machine.
+    The warehouse is where the session keeps its tables, so every executor reaches it as well.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
-    if configured:
-        if current is None:
-            context.setCheckpointDir(configured)
-        return configured
-    if current is not None:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="medlake-checkpoint-"))
-    return context.getCheckpointDir()
+    if current is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(configured or f"{warehouse}/medlake-work")
+        current = context.getCheckpointDir()
+    return configured or current
 
 
 def work_path(spark: SparkSession, label: str) -> str:

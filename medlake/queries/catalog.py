@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medlake.plans.bounded import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,9 +25,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A test table, as stored; with ``columns``, just those, dealt over the cores when small.
+    """A test table, as stored; with ``columns``, just those, dealt over the cores if in one split.
 
-    The second form is for processor-heavy work on rows that arrive in a single split.
+    A split is at most ``spark.sql.files.maxPartitionBytes``, so only such little is ever moved.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df if columns is None else spread(df.select(*columns))
+    if columns is None:
+        return df
+    df = df.select(*columns)
+    return df.repartition(spark.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df

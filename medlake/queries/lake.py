@@ -214,7 +214,7 @@ def retention(spark, sf):
 def manifest(spark, sf):
     """Sharded by two hash digits here; every id appears in exactly one shard."""
     docs = table(spark, sf, "documents").select("doc_id")
-    rows = tables.manifest(docs, "doc_id", tables.hash_shard("doc_id", 2))
+    rows = tables.manifest(docs, "doc_id", 2)
     ids = F.array_join(F.transform("report_ids", lambda x: x.cast("string")), ",")
     return rows.select("shard", "num_reports", ids.alias("report_ids"))
 

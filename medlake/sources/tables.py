@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +29,6 @@ MISSING_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Ids listed in one manifest row.
-MANIFEST_IDS = 100_000
-
 
 def read_vitals(spark: SparkSession, path: str) -> DataFrame | None:
     """The vitals CSV with fixed types, or ``None`` if there is no such file.
@@ -108,20 +103,15 @@ def save_run_report(report: DataFrame, path: str) -> None:
 def manifest(
     ids: DataFrame,
     id_col: str = "report_id",
-    shard: Column | None = None,
+    digits: int = 2,
     generated_at: Column | None = None,
 ) -> DataFrame:
     """Manifest rows: shard, generated_at, num_reports, sorted report ids.
 
-    One row for a small set. Beyond ``MANIFEST_IDS`` ids a prefix of the id's hash deals them
-    over rows of about that many, so no list grows with the table; all rows together
-    still list every id. ``shard`` overrides the choice.
+    One form at every size: ``16**digits`` shards by the first digits of the id's hash, and one
+    row for each that holds an id. The caller sets ``digits`` by the length of list wanted.
     """
-    if shard is None:
-        rows = ids.count()
-        digits = 0 if rows <= MANIFEST_IDS else math.ceil(math.log(rows / MANIFEST_IDS, 16))
-        shard = hash_shard(id_col, digits)
-    return ids.groupBy(shard.alias("shard")).agg(
+    return ids.groupBy(hash_shard(id_col, digits).alias("shard")).agg(
         F.first(F.current_timestamp() if generated_at is None else generated_at).alias(
             "generated_at"
         ),
@@ -133,9 +123,3 @@ def manifest(
 def hash_shard(id_col: str, digits: int) -> Column:
     """16**digits shards of equal expected size."""
     return F.substring(F.md5(F.col(id_col).cast("string")), 1, digits)
-
-
-def save_synthetic_reports(reports: DataFrame, path: str) -> None:
-    """JSON documents and their manifest."""
-    reports.write.mode("overwrite").json(f"{path}/reports")
-    manifest(reports.select("report_id")).write.mode("overwrite").json(f"{path}/manifest")

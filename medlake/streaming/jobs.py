@@ -81,8 +81,9 @@ def upsert_stream(
 
 
 def read_latest(spark: SparkSession, log: str) -> DataFrame:
-    """Current vectors: the highest version of each id over all batches."""
-    return latest(spark.read.option("basePath", log).parquet(log).drop("batch"))
+    """Current vectors: the highest version of each id over all batches, of equal ones the later batch's."""
+    batches = spark.read.option("basePath", log).parquet(log)
+    return latest(batches.withColumn("batch", F.col("batch").cast("long")), ties=["batch"]).drop("batch")
 
 
 def compact(spark: SparkSession, log: str, target: str) -> None:

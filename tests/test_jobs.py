@@ -3,25 +3,22 @@ import json
 from png import png
 
 from medlake.plans import jobs
-from medlake.sources import synthetic
+from medlake.sources.tables import VITALS_COLUMNS
 from medlake.streaming import jobs as streaming
 from pyspark.sql import functions as F
 
-def today():
-    return F.lit("2024-01-15").cast("date")
-
-
 def build_lake(spark, root, n=6, images=True):
-    cases = synthetic.generate_cases(spark, n)
-    rows = cases.select("*", synthetic.report_text(today()).alias("text")).collect()
-    (root / "reports").mkdir(parents=True)
-    (root / "structured").mkdir()
-    (root / "images").mkdir()
-    for r in rows:
-        (root / "reports" / r.report_file).write_text(r.text, encoding="utf-8")
-        (root / "images" / r.image_file.replace(".jpg", ".png")).write_bytes(png([bytes([90]) * 64] * 64, 64))
-    header = [c for c in rows[0].asDict() if c != "text"]
-    lines = [",".join(header)] + [",".join(str(r[c]) for c in header) for r in rows]
+    for folder in ("reports", "structured", "images"):
+        (root / folder).mkdir(parents=True)
+    lines = [",".join(VITALS_COLUMNS)]
+    for i in range(n):
+        text = (
+            f"Patient ID: PAT{i:05d}\nAge: {40 + i}\nSex: Female\nSymptoms: cough and fever for three days\n"
+            "Findings: clear lungs and a heart of usual size\nImpression: nothing that needs treatment now\n"
+        )
+        (root / "reports" / f"case_{i}_report.txt").write_text(text, encoding="utf-8")
+        (root / "images" / f"case_{i}.png").write_bytes(png([bytes([90]) * 64] * 64, 64))
+        lines.append(f"PAT{i:05d},{40 + i},Female,98.{i},80,16,120/80,97,7.5,4.0,none,case_{i}.png,case_{i}_report.txt")
     (root / "structured" / "patient_vitals.csv").write_text("\n".join(lines))
 
 

@@ -145,21 +145,12 @@ def test_sinks(spark, tmp_path):
     assert tables.load_table(df.withColumn("bad", F.raise_error(F.lit("no"))), str(tmp_path / "u")) == 0
 
 
-def test_manifest_shards_hold_every_id_once(spark):
-    ids = spark.range(500).selectExpr("concat('r', id) AS report_id")
-    whole = tables.manifest(ids).first()
-    assert whole.num_reports == 500 and whole.report_ids == sorted(whole.report_ids)
-    shards = tables.manifest(ids, shard=tables.hash_shard("report_id", 1)).collect()
-    assert len(shards) == 16
-    assert sorted(i for s in shards for i in s.report_ids) == whole.report_ids
-
-
-def test_large_manifest_is_dealt_over_rows(spark, monkeypatch):
-    monkeypatch.setattr(tables, "MANIFEST_IDS", 20)
-    ids = spark.range(300).selectExpr("concat('r', id) AS report_id")
-    rows = tables.manifest(ids).collect()
-    assert len(rows) > 10 and max(r.num_reports for r in rows) < 60
-    assert len({i for r in rows for i in r.report_ids}) == 300
+def test_manifest_has_one_form_at_every_size(spark):
+    for n in (1, 500):
+        rows = tables.manifest(spark.range(n).selectExpr("concat('r', id) AS report_id"), digits=1).collect()
+        assert all(len(r.shard) == 1 and r.num_reports == len(r.report_ids) for r in rows)
+        assert sorted(i for r in rows for i in r.report_ids) == sorted(f"r{i}" for i in range(n))
+    assert len(rows) == 16
 
 
 def test_catalogue_table(spark):

@@ -35,11 +35,6 @@ def test_fetch_if_small(spark):
     assert bounded.vector_rows_limit(768) * 768 * 8 <= bounded.MAX_BROADCAST_BYTES
 
 
-def test_spread_leaves_wide_inputs_alone(spark):
-    assert bounded.spread(spark.range(0, 100, 1, 16)).rdd.getNumPartitions() == 16
-    assert bounded.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
-
-
 def test_checkpoint_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert durable.shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
@@ -130,3 +125,17 @@ def test_summaries(spark):
     assert summaries.first_failures(failed).first()[0] == [f"{i:02d}" for i in range(10)]
     rate = spark.range(1).select(summaries.success_rate(F.lit(3), F.lit(2)), summaries.success_rate(F.lit(0), F.lit(0)))
     assert tuple(rate.first()) == (66.67, 0.0)
+
+
+def test_drop_copies_keeps_rows_with_null_order(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 2, "z"), ("c", 1, "q"), ("c", 1, "p")], "k string, id int, v string")
+    got = {r.k: (r.id, r.v) for r in registry.drop_copies(df, ["k"], "id").collect()}
+    assert got["a"] == (None, "x") and got["b"] == (2, "z") and got["c"][0] == 1
+    again = {r.k: (r.id, r.v) for r in registry.drop_copies(df.orderBy("v").repartition(3), ["k"], "id").collect()}
+    assert again == got
+
+
+def test_content_copies_with_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (2, "y"), (None, "z"), (None, None), (3, None)], "id int, t string")
+    got = sorted(map(tuple, registry.drop_content_copies(df, "t", "id").collect()), key=str)
+    assert got == [(1, "x"), (2, "y"), (3, None), (None, "z")]

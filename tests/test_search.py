@@ -218,3 +218,12 @@ def test_chunks(spark):
     assert [(r.i, r.chunk) for r in rows] == [(1, "0 1 2 3"), (1, "3 4 5 6"), (1, "6 7 8 9"), (2, "one")]
     with pytest.raises(ValueError):
         embedding.chunk_words(df, size=2, overlap=2)
+
+
+def test_upsert_ties_and_null_versions(spark):
+    shape = "id int, embedding array<double>, version int"
+    current = spark.createDataFrame([(1, [1.0], 5), (2, [2.0], None), (3, [3.0], None)], shape)
+    changes = spark.createDataFrame([(1, [9.0], 5), (3, [8.0], 1)], shape)
+    for parts in (1, 4):
+        got = vector_index.upsert_latest(current.repartition(parts), changes.repartition(parts)).collect()
+        assert {r.id: (r.embedding, r.version) for r in got} == {1: ([9.0], 5), 2: ([2.0], None), 3: ([8.0], 1)}
