@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: failures shown in a report.
@@ -66,13 +66,17 @@ def run_report(
     structure: DataFrame | None = None,
     started: Column | None = None,
     ended: Column | None = None,
+    crashes: Mapping[str, str] | None = None,
+    stage_seconds: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """One row: the three one-row summaries as structs, error messages, overall success.
 
-    Vitals fail when neither the table nor the CSV was saved.
+    Vitals fail when neither the table nor the CSV was saved. ``crashes`` are the messages of stages
+    that broke off and have no summary; ``stage_seconds`` tells how long each stage took.
     """
     given = {"images": images, "reports": reports, "vitals": vitals}
-    spark = next(d.sparkSession for d in given.values() if d is not None)
+    spark = next((d.sparkSession for d in given.values() if d is not None), None)
+    spark = spark or SparkSession.getActiveSession()
     columns = {
         f"{name}_summary": df.select(F.struct("*").alias("s")).scalar()
         for name, df in given.items()
@@ -89,6 +93,11 @@ def run_report(
             "vitals_summary.silver_csv_uploaded"
         )
         messages.append(F.when(unsaved, F.lit("Vitals processing: Failed to save output")))
+    messages += [F.lit(f"{stage} processing: {message}") for stage, message in (crashes or {}).items()]
+    messages = messages or [F.lit(None).cast("string")]
+    if stage_seconds:
+        entries = [x for stage, took in stage_seconds.items() for x in (F.lit(stage), F.lit(float(took)))]
+        row = row.withColumn("stage_seconds", F.create_map(*entries))
     row = row.withColumn("errors", F.array_compact(F.array(*messages))).withColumn(
         "overall_success", F.size("errors") == 0
     )

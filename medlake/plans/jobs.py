@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,30 +147,45 @@ def run_all(
 ) -> DataFrame:
     """All selected jobs one after the other, and the combined report row.
 
+    A stage that breaks off leaves an error line and no summary; the others still run.
     ``silver_keys(path)`` lists object keys for the layer structure.
     """
     started = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
-    image_row = report_row = vitals_row = None
-    if images:
-        image_row = images_job(spark, f"{bronze}/images", f"{silver}/images")
-    if reports:
-        raw = read_reports(spark, f"{bronze}/reports")
-        report_row = reports_job(raw, f"{silver}/reports")
-    if vitals:
+
+    def vitals_stage() -> DataFrame:
         table = read_vitals(spark, f"{bronze}/structured/patient_vitals.csv")
-        vitals_row = (
-            no_vitals(spark)
-            if table is None
-            else vitals_job(
-                table,
-                f"{silver}/structured/vitals",
-                f"{silver}/structured/vitals_csv",
-            )
-        )
+        if table is None:
+            return no_vitals(spark)
+        return vitals_job(table, f"{silver}/structured/vitals", f"{silver}/structured/vitals_csv")
+
+    stages = {
+        "Image": images and (lambda: images_job(spark, f"{bronze}/images", f"{silver}/images")),
+        "Report": reports and (lambda: reports_job(read_reports(spark, f"{bronze}/reports"), f"{silver}/reports")),
+        "Vitals": vitals and vitals_stage,
+    }
+    rows, crashes, seconds = dict.fromkeys(stages), {}, {}
+    for name, stage in stages.items():
+        if not stage:
+            continue
+        begun = time.monotonic()
+        try:
+            # The summary is made here: what fails while it runs belongs to its stage.
+            rows[name] = cut(stage(), "summary")
+        except Exception as error:  # noqa: BLE001  (one stage must not end the others)
+            crashes[name] = (str(error).strip().splitlines() or [type(error).__name__])[0][:300]
+        seconds[name.lower()] = time.monotonic() - begun
+    image_row, report_row, vitals_row = rows.values()
     structure = None if silver_keys is None else layer_structure(silver_keys)
     report = run_report(
-        image_row, report_row, vitals_row, structure, F.lit(started), F.current_timestamp()
+        image_row,
+        report_row,
+        vitals_row,
+        structure,
+        F.lit(started),
+        F.current_timestamp(),
+        crashes,
+        seconds,
     )
     if report_dir:
         save_run_report(report, report_dir)

@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1 / 64
-SALTS = 32
+# Rows of one key that a task is meant to join.
+ROWS_PER_TASK = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys owning more than ``share`` of the rows: by construction fewer than ``1/share``."""
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and the number of tasks that their rows fill."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)).alias("__total")).scalar()
-    return counts.where(F.col("__n") > total * F.lit(share)).select(key)
+    hot = counts.where(F.col("__n") > rows_per_task)
+    return hot.select(key, F.ceil(F.col("__n") / rows_per_task).cast("int").alias("__salts"))
 
 
 def skew_safe_join(
@@ -24,31 +24,26 @@ def skew_safe_join(
     key: str,
     how: str = "left",
     spread_by: Sequence[str | Column] | None = None,
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join ``left`` (the side with repeated keys) to ``right`` on ``key``.
 
-    Rows of hot keys are dealt over ``salts`` sub-keys on the left, by a hash of
+    A hot key's rows are dealt over as many sub-keys as they fill tasks on the left, by a hash of
     ``spread_by`` (default: the whole row), and the few matching right rows are repeated
     once per sub-key. Other keys keep the single sub-key 0, so nothing else grows. The hot
-    list is broadcast because its length is bounded by ``1/share``.
+    list has one row per ``rows_per_task`` rows at most; how it is joined is left to Spark.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_safe_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(left, key, share).select(F.col(key), F.lit(True).alias("__hot")))
-    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
-    dealt = left.join(hot, key, "left").withColumn(
+    hot = hot_keys(left, key, rows_per_task)
+    salts = F.coalesce(
         # Null keys never match, so they may go anywhere: deal them out as well.
-        "__salt", F.when(F.col("__hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
+        F.when(F.col(key).isNull(), F.lit(1024)).otherwise(F.col("__salts")),
+        F.lit(1),
     )
-    repeated = right.join(hot, key, "left").withColumn(
-        "__salt",
-        F.explode(
-            F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    joined = dealt.drop("__hot").join(repeated.drop("__hot"), [key, "__salt"], how)
+    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), salts).cast("int")
+    dealt = left.join(hot, key, "left").withColumn("__salt", spread)
+    numbers = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("__salt", F.explode(numbers))
+    joined = dealt.drop("__salts").join(repeated.drop("__salts"), [key, "__salt"], how)
     return joined.drop("__salt")

@@ -106,6 +106,18 @@ def dedup(spark, sf):
     )
 
 
+@query(
+    "q_dedup_repeated_ids",
+    """SELECT min(doc_id // 3) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY text""",
+)
+def dedup_repeated_ids(spark, sf):
+    """Ids shared by different texts, and every row twice."""
+    docs = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 3).alias("doc_id"), "text")
+    return registry.drop_content_copies(docs.unionByName(docs), "text", "doc_id").select(
+        "doc_id", F.md5("text").alias("text_md5")
+    )
+
+
 @query(
     "q_dedup_key",
     """SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value

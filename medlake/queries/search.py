@@ -211,6 +211,31 @@ def upsert_latest(spark, sf):
     )
 
 
+@query(
+    "q_upsert_ties",
+    """WITH cur AS (
+      SELECT vec_id AS id, embedding, CASE WHEN label % 3 = 0 THEN NULL ELSE label END AS version FROM embeddings),
+    chg AS (
+      SELECT id, list_transform(embedding, lambda x: -x) AS embedding,
+             CASE WHEN id % 4 = 0 THEN version ELSE version - 1 END AS version FROM cur WHERE id % 2 = 0),
+    best AS (SELECT * FROM (SELECT *, 0 AS side FROM cur UNION ALL SELECT *, 1 FROM chg)
+      QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC NULLS LAST, side DESC) = 1)
+    SELECT id, version, unnest(range(len(embedding))) AS place, CAST(unnest(embedding) AS DOUBLE) AS value FROM best""",
+)
+def upsert_ties(spark, sf):
+    """Equal and null versions; every value of the winning vectors."""
+    version = F.when(F.col("label") % 3 != 0, F.col("label")).alias("version")
+    current = _corpus(spark, sf).select("id", "embedding", version)
+    changed = F.when(F.col("id") % 4 == 0, F.col("version")).otherwise(F.col("version") - 1)
+    changes = current.where("id % 2 = 0").select(
+        "id", F.transform("embedding", lambda x: -x).alias("embedding"), changed.alias("version")
+    )
+    best = vector_index.upsert_latest(current, changes)
+    return best.select("id", "version", F.posexplode("embedding").alias("place", "value")).select(
+        "id", "version", F.col("place").cast("long").alias("place"), F.col("value").cast("double").alias("value")
+    )
+
+
 @query(
     "q_dimension_check",
     """SELECT CASE WHEN len(embedding) = 64 THEN 'ok' ELSE 'violation' END AS state,

@@ -22,6 +22,18 @@ def build_lake(spark, root, n=6, images=True):
     (root / "structured" / "patient_vitals.csv").write_text("\n".join(lines))
 
 
+def test_a_broken_stage_leaves_the_others(spark, tmp_path):
+    bronze, silver = tmp_path / "bronze", tmp_path / "silver"
+    build_lake(spark, bronze)
+    report = jobs.run_all(spark, str(bronze).replace("bronze", "none"), str(silver), vitals=False).first()
+    assert not report.overall_success and len(report.errors) == 2
+    (bronze / "images").rename(bronze / "pictures")
+    row = jobs.run_all(spark, str(bronze), str(silver)).first()
+    assert not row.overall_success and len(row.errors) == 1 and row.errors[0].startswith("Image processing: ")
+    assert row.reports_summary.processed_successfully == 6 and row.vitals_summary.table_rows_loaded == 6
+    assert set(row.stage_seconds) == {"image", "report", "vitals"}
+
+
 def test_whole_run(spark, tmp_path):
     bronze, silver = tmp_path / "bronze", tmp_path / "silver"
     build_lake(spark, bronze)
