@@ -10,6 +10,9 @@ BLUR_RADIUS = 0.5
 LANCZOS_LOBES = 3.0
 LUMA = (0.299, 0.587, 0.114)
 
+# Values converted to floating point at a time.
+STRIP_VALUES = 1 << 20
+
 
 def resample_matrix(source: int, target: int) -> np.ndarray:
     """(target x source) Lanczos weights; the kernel widens when shrinking."""
@@ -30,11 +33,12 @@ def _bytes(values: np.ndarray) -> np.ndarray:
 def resize(
     pixels: np.ndarray, side: int = SIDE, matrices: dict[int, np.ndarray] | None = None
 ) -> np.ndarray:
-    """(h, w, c) -> (side, side, c), columns first, rounded to whole levels after each axis.
+    """(h, w, c) bytes -> (side, side, c), columns first, rounded to whole levels after each axis.
 
-    ``matrices`` keeps the weights of the sizes a task has met.
+    Works in strips of rows, one channel at a time, so a large image costs little more than its bytes.
+    Colours are weighted by alpha while they are mixed. ``matrices`` keeps the weights of the sizes a task has met.
     """
-    height, width, _ = pixels.shape
+    height, width, channels = pixels.shape
     known = {} if matrices is None else matrices
     for source in {height, width} - known.keys():
         if len(known) >= 64:
@@ -42,8 +46,21 @@ def resize(
         known[source] = resample_matrix(source, side)
     across = known[width] if width in known else resample_matrix(width, side)
     down = known[height] if height in known else resample_matrix(height, side)
-    wide = _bytes(np.einsum("hwc,tw->htc", pixels, across, optimize=True))
-    return _bytes(np.einsum("htc,sh->stc", wide, down, optimize=True))
+    rows = max(1, STRIP_VALUES // width)
+    out = np.empty((side, side, channels))
+    for c in range(channels):
+        wide = np.empty((height, side))
+        for start in range(0, height, rows):
+            strip = pixels[start : start + rows, :, c].astype(np.float64)
+            if channels == 4 and c < 3:
+                strip = np.rint(strip * pixels[start : start + rows, :, 3] / 255)
+            wide[start : start + rows] = _bytes(strip @ across.T)
+        out[:, :, c] = _bytes(down @ wide)
+    if channels == 4:
+        alpha = out[:, :, 3:]
+        weighted = np.minimum(255, 255 * out[:, :, :3] // np.maximum(alpha, 1))
+        out[:, :, :3] = np.where((alpha > 0) & (alpha < 255), weighted, out[:, :, :3])
+    return out
 
 
 def to_grey(bgr: np.ndarray) -> np.ndarray:
@@ -80,7 +97,7 @@ def normalise(
 ) -> np.ndarray:
     """float32 (side, side) in [0, 1]."""
     pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
-    grey = to_grey(resize(pixels.astype(np.float64), side, matrices))
+    grey = to_grey(resize(pixels, side, matrices))
     if denoise:
         grey = blur(grey)
     tensor = (grey / 255.0).astype(np.float32)

@@ -90,3 +90,19 @@ def object_ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def leaf_scores(centroids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Negative squared distance to each centroid, up to a constant per vector."""
     return 2.0 * vectors @ centroids.T - (centroids**2).sum(axis=1)
+
+
+def best_leaves(centroids: np.ndarray, vectors: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` best leaves of each vector, best first, ties to the smaller leaf.
+
+    Scores are computed for blocks of vectors, so their matrix stays small for any number of leaves.
+    """
+    out = np.empty((len(vectors), n), dtype=np.int32)
+    step = max(1, SCORES_PER_STEP // len(centroids))
+    for start in range(0, len(vectors), step):
+        scores = leaf_scores(centroids, vectors[start : start + step])
+        if n == 1:
+            out[start : start + step, 0] = scores.argmax(axis=1)
+        else:
+            out[start : start + step] = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+    return out

@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # Vector lengths and texts per model call.
 TEXT_DIM = 768
 IMAGE_DIM = 1408
+# Rows handed to a model at once.
+MODEL_ROWS = 32
 BATCH_SIZE = 32
 
 EmbedFn = Callable[[list[str]], np.ndarray]
@@ -158,12 +160,46 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {name: read(i) for name, read in readers.items()}
 
 
+def each(fn: Callable) -> Callable[[list], list]:
+    """A batch function of a function of one item; an item's exception takes the place of its result."""
+
+    def batch(items: list) -> list:
+        out = []
+        for item in items:
+            try:
+                out.append(fn(item))
+            except Exception as problem:  # noqa: BLE001  (told in the item's row)
+                out.append(problem)
+        return out
+
+    return batch
+
+
+def _isolated(fn: Callable[[list], list], items: list) -> list:
+    """``fn(items)``; a batch that fails is halved down to the items at fault."""
+    try:
+        got = list(fn(items))
+        if len(got) != len(items):
+            raise ValueError(f"{len(got)} results for {len(items)} rows")
+        return got
+    except Exception as problem:  # noqa: BLE001  (told in the item's row)
+        if len(items) == 1:
+            return [problem]
+        half = len(items) // 2
+        return _isolated(fn, items[:half]) + _isolated(fn, items[half:])
+
+
 def safe_map(
-    df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, source: Column
+    df: DataFrame,
+    fn: Callable[[list[dict]], list],
+    schema: T.StructType,
+    source: Column,
+    batch_rows: int = MODEL_ROWS,
 ) -> DataFrame:
-    """Run ``fn`` over rows; a failing row yields ``status='error'`` and its message.
+    """Run ``fn`` over batches of rows; a failing row yields ``status='error'`` and its message.
 
-    ``schema`` names the nullable columns ``fn`` returns; ``source`` becomes ``source_path``.
+    ``fn`` returns a dict or an exception per row. If it raises, the batch is halved until the rows at
+    fault are alone. ``schema`` names the nullable columns of the dicts; ``source`` becomes ``source_path``.
     """
     out_schema = T.StructType(
         schema.fields
@@ -178,16 +214,16 @@ def safe_map(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for row in _rows(batch):
-                path = row.pop("__source")
-                try:
-                    got = fn(row)
-                    out = {n: got.get(n) for n in names} | {"status": "success", "error": None}
-                except Exception as problem:  # any row may fail, the batch must not
-                    out = dict.fromkeys(names) | {"status": "error", "error": str(problem)}
-                rows.append(out | {"source_path": path})
-            if rows:
+            for start in range(0, batch.num_rows, batch_rows):
+                inputs = list(_rows(batch.slice(start, batch_rows)))
+                paths = [row.pop("__source") for row in inputs]
+                rows = []
+                for path, got in zip(paths, _isolated(fn, inputs), strict=True):
+                    if isinstance(got, Exception):
+                        out = dict.fromkeys(names) | {"status": "error", "error": str(got)}
+                    else:
+                        out = {n: got.get(n) for n in names} | {"status": "success", "error": None}
+                    rows.append(out | {"source_path": path})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[f.name] for r in rows], f.type) for f in arrow], schema=arrow
                 )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medlake.functions.pixels import SIDE, normalise, pool_grid, preview
-from medlake.operators.embedding import IMAGE_DIM, EmbedFn, hashed_words, safe_map
-from medlake.sources.lake import IMAGE_EXTENSIONS, stem, suffix
+from medlake.operators.embedding import IMAGE_DIM, EmbedFn, each, hashed_words, safe_map
+from medlake.sources.lake import IMAGE_EXTENSIONS, stem
 from medlake.operators.summaries import first_failures
 
 # Side limits, channel modes and error texts.
@@ -29,31 +29,27 @@ CORRUPTED = "Corrupted image file"
 ROWS_PER_BATCH = 16
 
 ImageEmbedFn = Callable[[np.ndarray], np.ndarray]
+ImageBatchFn = Callable[[list[np.ndarray]], Sequence[np.ndarray]]
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
     """path, file_size and the decoded image of every image file below ``root``.
 
-    Undecodable files stay, with height -1. Both readers list the same files, so the join
-    key is unique on both sides and only the small size column travels.
+    Undecodable files stay, with height -1. One narrow scan: other files are left out by name before
+    anything is decoded, and sizes come with the file listing.
     """
-    wanted = suffix(F.col("path")).isin(IMAGE_EXTENSIONS)
-    plain = F.regexp_replace("path", r"^([a-z0-9]+):/+", "$1:/")
-    decoded = (
+    endings = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e) for e in IMAGE_EXTENSIONS]
+    return (
         spark.read.format("image")
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*{" + ",".join(endings) + "}")
         .load(root)
-        .withColumn("path", F.col("image.origin"))
-        .where(wanted)
-        .withColumn("path", plain)
+        .select(
+            F.regexp_replace("image.origin", r"^([a-z0-9]+):/+", "$1:/").alias("path"),
+            F.col("_metadata.file_size").alias("file_size"),
+            "image",
+        )
     )
-    sizes = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(plain.alias("path"), F.col("length").alias("file_size"))
-    )
-    return decoded.join(sizes, "path", "left").select("path", "file_size", "image")
 
 
 def validate_images(images: DataFrame, image: str = "image") -> DataFrame:
@@ -117,9 +113,11 @@ def normalise_images(validated: DataFrame, denoise: bool = True, side: int = SID
         matrices: dict = {}
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_BATCH):
+                part = batch.slice(start, ROWS_PER_BATCH)
+                pixels = part.column("data")
                 rows = [
-                    work(r, matrices) if r["is_valid"] else {n: r[n] for n in passed}
-                    for r in batch.slice(start, ROWS_PER_BATCH).to_pylist()
+                    work(r | {"data": pixels[i].as_buffer()}, matrices) if r["is_valid"] else r
+                    for i, r in enumerate(part.drop_columns(["data"]).to_pylist())
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r.get(f.name) for r in rows], f.type) for f in arrow],
@@ -179,22 +177,40 @@ def embed_images(
     image_fn: ImageEmbedFn | None = None,
     text_fn: EmbedFn | None = None,
     dim: int = IMAGE_DIM,
+    image_batch_fn: ImageBatchFn | None = None,
 ) -> DataFrame:
     """image_embedding, text_embedding, source_path, status, error per image.
 
-    A text vector appears only where the row has context text. A failing row reports
-    ``status='error'`` with its message and the rest of the batch goes on.
+    Models get batches: ``image_batch_fn`` a list of tensors, ``text_fn`` a list of texts; ``image_fn`` is
+    for models that take one tensor. A text vector appears only where the row has context text.
+    A failing row reports ``status='error'`` with its message and the rest of the batch goes on.
     """
-    image_model = image_fn or pooled_image_model(dim)
+    image_model = image_batch_fn or each(image_fn or pooled_image_model(dim))
     text_model = text_fn or hashed_words(dim)
 
-    def embed(row: dict) -> dict:
-        if row["tensor"] is None:
-            raise ValueError(row["error_message"] or "no image data")
-        out = {"image_embedding": image_model(np.asarray(row["tensor"], dtype=np.float32))}
-        if row["context"]:
-            out["text_embedding"] = text_model([row["context"]])[0]
-        return {name: np.asarray(v, dtype=np.float32) for name, v in out.items()}
+    def embed(rows: list[dict]) -> list[dict | Exception]:
+        seen = [r for r in rows if r["tensor"] is not None]
+        told = [r for r in seen if r["context"]]
+        vectors = image_model([np.asarray(r["tensor"], dtype=np.float32) for r in seen]) if seen else []
+        texts = text_model([r["context"] for r in told]) if told else []
+        if len(vectors) != len(seen) or len(texts) != len(told):
+            raise ValueError("a model returned another number of vectors than it got inputs")
+        of_image, of_text = iter(vectors), iter(texts)
+        out: list[dict | Exception] = []
+        for row in rows:
+            if row["tensor"] is None:
+                out.append(ValueError(row["error_message"] or "no image data"))
+                continue
+            got = {"image_embedding": next(of_image)}
+            if row["context"]:
+                got["text_embedding"] = next(of_text)
+            failed = isinstance(got["image_embedding"], Exception)
+            out.append(
+                got["image_embedding"]
+                if failed
+                else {name: np.asarray(v, dtype=np.float32) for name, v in got.items()}
+            )
+        return out
 
     schema = T.StructType(
         [
@@ -211,6 +227,5 @@ def embed_image_bytes(files: DataFrame, bytes_fn: Callable[[str], list[float]])
     """Image vector of raw file contents; the hook receives them base64-encoded."""
     schema = T.StructType([T.StructField("image_embedding", T.ArrayType(T.FloatType()))])
     encoded = files.select("path", F.base64("content").alias("encoded"))
-    return safe_map(
-        encoded, lambda row: {"image_embedding": bytes_fn(row["encoded"])}, schema, F.col("path")
-    )
+    one = each(lambda row: {"image_embedding": bytes_fn(row["encoded"])})
+    return safe_map(encoded, one, schema, F.col("path"))

@@ -50,6 +50,8 @@ LOW_CONFIDENCE = 0.4
 OPTIONAL_WARNING = "Optional field '{}' not extracted"
 SHORT_WARNING = "Findings section seems unusually short"
 CONFIDENCE_WARNING = "Low extraction confidence: %.1f%%"
+NO_TEXT = "no text"
+SHORT_TEXT = "too short after cleaning"
 
 
 def _accepted(field: str, found: Column) -> Column:
@@ -142,6 +144,11 @@ def clean_reports(df: DataFrame, text_col: str = "raw_text") -> DataFrame:
     )
 
 
+def reject_reason(text: Column) -> Column:
+    """Why a report that was not accepted was not."""
+    return F.when(text.isNull(), F.lit(NO_TEXT)).otherwise(F.lit(SHORT_TEXT))
+
+
 def split_rejects(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows) of :func:`clean_reports`."""
     return (

@@ -19,7 +19,7 @@ from pyspark.sql import Window
 from pyspark.sql.pandas.types import to_arrow_type
 
 from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, matrix, object_ids, unit_rows
-from medlake.plans.bounded import fetch_if_small, vector_rows_limit
+from medlake.plans.bounded import broadcast_if_small, fetch_if_small, vector_rows_limit
 from medlake.plans.durable import cut
 from medlake.plans.skew import skew_safe_join
 
@@ -30,7 +30,7 @@ MIN_SCORE = 0.7
 MEASURES = ("dot", "cosine")
 # Bytes of float64 vectors per side of one grid cell.
 CELL_BYTES = 32 * 1024 * 1024
-# Hit lists up to this many rows (two small columns) are sent to the registry scan.
+# Hit lists up to this many rows are joined to their texts without salts.
 MAX_BROADCAST_HITS = 1_000_000
 
 
@@ -201,9 +201,13 @@ def above_threshold(hits: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 def filter_corpus(
     corpus: DataFrame, registry: DataFrame, predicate: str, registry_id: str = "document_id"
 ) -> DataFrame:
-    """Vectors whose registry row satisfies the SQL ``predicate``, applied before the search."""
-    allowed = registry.where(predicate).select(F.col(registry_id).alias("id"))
-    return corpus.join(allowed, "id", "left_semi")
+    """Vectors whose registry row satisfies the SQL ``predicate``, applied before the search.
+
+    The allowed ids are stored; within the checked bound they are sent to the scan of the corpus,
+    and no vector moves.
+    """
+    allowed = cut(registry.where(predicate).select(F.col(registry_id).alias("id")).distinct(), "allowed")
+    return corpus.join(broadcast_if_small(allowed, "id"), "id", "left_semi")
 
 
 def search_text(
@@ -228,16 +232,15 @@ def attach_sources(
 
     The hits are stored first: their ids and the hits themselves are read separately, and the
     scoring behind them must not run twice. The registry is then reduced to the ids that were
-    hit. ``max_hits`` (queries x k) is the caller's bound on the number of hits: within
-    ``MAX_BROADCAST_HITS`` the id list goes to the registry scan and the registry is not
-    shuffled at all.
+    hit. ``max_hits`` (queries x k) is the caller's bound on the number of hits: beyond
+    ``MAX_BROADCAST_HITS`` their join is salted. The id list goes to the registry scan if its
+    bytes are within the broadcast limit, and then no text is shuffled that was not hit.
     """
     hits = cut(hits, "hits")
-    ids = hits.select("id").distinct()
-    wanted = registry.select("id", *columns)
+    ids = broadcast_if_small(cut(hits.select("id").distinct(), "ids"), "id")
+    texts = registry.select("id", *columns).join(ids, "id", "left_semi")
     if max_hits is not None and max_hits <= MAX_BROADCAST_HITS:
-        return hits.join(wanted.join(F.broadcast(ids), "id", "left_semi"), "id", "left")
-    texts = wanted.join(ids, "id", "left_semi")
+        return hits.join(texts, "id", "left")
     return skew_safe_join(hits, texts, "id", spread_by=["query_id"])
 
 

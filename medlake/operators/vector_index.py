@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +15,7 @@ from pyspark.sql import types as T
 from medlake.functions.vectors import (
     SCORE_DIGITS,
     RunningTopK,
-    leaf_scores,
+    best_leaves,
     matrix,
     object_ids,
     unit_rows,
@@ -32,7 +30,7 @@ from medlake.operators.search import (
     conforming,
     grid_top_k,
 )
-from medlake.plans.bounded import fetch_if_small, vector_rows_limit
+from medlake.plans.bounded import MAX_BROADCAST_BYTES, fetch_if_small, vector_rows_limit
 from medlake.plans.durable import cut
 
 # Index settings.
@@ -123,7 +121,7 @@ def assign_leaves(
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _prepared(batch.column(batch.schema.get_field_index("embedding")), dim, measure)
-            leaf = leaf_scores(shipped.value, vectors).argmax(axis=1).astype(np.int32)
+            leaf = best_leaves(shipped.value, vectors, 1)[:, 0]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"]
             )
@@ -153,9 +151,9 @@ def probe_leaves(
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _prepared(batch.column(batch.schema.get_field_index("embedding")), dim, measure)
-            order = np.argsort(-leaf_scores(shipped.value, vectors), axis=1, kind="stable")[:, :n]
+            order = best_leaves(shipped.value, vectors, n)
             offsets = pa.array(np.arange(0, (len(order) + 1) * n, n, dtype=np.int32))
-            leaves = pa.ListArray.from_arrays(offsets, pa.array(order.astype(np.int32).ravel()))
+            leaves = pa.ListArray.from_arrays(offsets, pa.array(order.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, leaves], names=[*batch.schema.names, "leaves"]
             )
@@ -167,8 +165,9 @@ def write_index(assigned: DataFrame, centroids: np.ndarray, path: str, file_rows
     """Vectors as a table partitioned by leaf, centroids as a small table beside it.
 
     A leaf is dealt over as many files as its size asks for, so a crowded leaf is written
-    by several tasks and a small one by a single task.
+    by several tasks and a small one by a single task. Vectors are assigned to leaves once.
     """
+    assigned = cut(assigned, "assigned")
     files = assigned.groupBy("leaf").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(file_rows)).alias("files")
     )
@@ -208,7 +207,9 @@ def approx_top_k(
     """Top-k among the vectors of each query's best leaves, scored exactly there."""
     queries = probe_leaves(queries.select("query_id", "embedding"), centroids, dim, probes, measure)
     index = conforming(index.select("id", "embedding", "leaf"), dim)
-    limit = vector_rows_limit(dim) if max_queries is None else max_queries
+    probed = min(len(centroids), probes or max(1, round(len(centroids) * PROBE_SHARE)))
+    # The driver holds the leaves of every query as well, as Python numbers.
+    limit = min(vector_rows_limit(dim), max(1, MAX_BROADCAST_BYTES // (40 * probed))) if max_queries is None else max_queries
     packed = fetch_if_small(queries, limit)
     if packed is None:
         spread = cut(queries, "queries").select(

@@ -27,10 +27,16 @@ from medlake.operators.quality import (
     quality_counts,
     split_ratio,
 )
-from medlake.operators.reports import clean_reports, report_summary, structure_reports
+from medlake.operators.reports import (
+    clean_reports,
+    reject_reason,
+    report_summary,
+    split_rejects,
+    structure_reports,
+)
 from medlake.operators.summaries import first_failures, round_columns, run_report
 from medlake.plans.durable import cut
-from medlake.sources.lake import layer_structure, read_reports, stem
+from medlake.sources.lake import inventory, layer_structure, path_kind, read_reports, stem, with_relative_path
 from medlake.sources.tables import (
     load_table,
     read_table,
@@ -41,18 +47,22 @@ from medlake.sources.tables import (
 )
 
 
-def reports_job(raw: DataFrame, silver: str) -> DataFrame:
+def reports_job(raw: DataFrame, silver: str, rejects: str | None = None) -> DataFrame:
     """``raw(path, raw_text)`` -> structured JSON under ``silver``; returns the summary row.
 
-    The structured rows are written once as a working table and everything after that
-    reads it, so cleaning and extraction run once.
+    Every report that was not accepted is a row ``path, reason, clean_text`` of the Parquet table
+    ``rejects`` (by default ``<silver>_rejected``). Cleaned and structured rows are written once as
+    working tables and everything after that reads them, so cleaning and extraction run once.
     """
-    cleaned = clean_reports(raw)
-    structured = cut(structure_reports(cleaned), "reports")
+    cleaned = clean_reports(raw).withColumn("reason", reject_reason(F.col("raw_text")))
+    cleaned = cut(cleaned.drop("raw_text"), "cleaned")
+    structured = cut(structure_reports(cleaned.drop("reason")), "reports")
     save_reports_json(structured, silver)
-    # Everything that is not in the silver layer failed: the anti-join is on unique paths.
-    failed = raw.select("path").join(structured.select("path"), "path", "left_anti")
-    summary = round_columns(report_summary(raw, structured), {"average_confidence": 3})
+    _, failed = split_rejects(cleaned)
+    failed.select("path", "reason", "clean_text").write.mode("overwrite").parquet(
+        rejects or f"{silver.rstrip('/')}_rejected"
+    )
+    summary = round_columns(report_summary(cleaned, structured), {"average_confidence": 3})
     return summary.withColumn("failed_reports", first_failures(failed).scalar())
 
 
@@ -148,7 +158,8 @@ def run_all(
     """All selected jobs one after the other, and the combined report row.
 
     A stage that breaks off leaves an error line and no summary; the others still run.
-    ``silver_keys(path)`` lists object keys for the layer structure.
+    The layer structure lists the keys of ``silver_keys(path)``, or else the files below ``silver`` as
+    they are after the run.
     """
     started = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
     bronze, silver = bronze.rstrip("/"), silver.rstrip("/")
@@ -176,6 +187,9 @@ def run_all(
             crashes[name] = (str(error).strip().splitlines() or [type(error).__name__])[0][:300]
         seconds[name.lower()] = time.monotonic() - begun
     image_row, report_row, vitals_row = rows.values()
+    if silver_keys is None and path_kind(spark, silver):
+        written = with_relative_path(inventory(spark, silver), silver)
+        silver_keys = written.select(F.concat(F.lit("silver/"), F.col("rel_path")).alias("path"))
     structure = None if silver_keys is None else layer_structure(silver_keys)
     report = run_report(
         image_row,

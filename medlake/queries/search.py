@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlake.operators import answering, embedding, evaluation, registry, search, vector_index
+from medlake.operators import answering, embedding, evaluation, search, vector_index
+from medlake.plans.durable import cut
 from medlake.queries.catalog import query, table
 
 DIM = 64
@@ -20,14 +23,10 @@ def _corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mean_vector(df: DataFrame, key) -> DataFrame:
-    """(query_id, embedding): element-wise mean per key."""
-    cells = df.select(key.alias("query_id"), F.posexplode("embedding").alias("pos", "x"))
-    means = cells.groupBy("query_id", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return means.groupBy("query_id").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]
-        ).alias("embedding")
-    )
+    """(query_id, embedding): element-wise mean per key, stored for the steps that read it."""
+    vectors = df.select(key.alias("query_id"), array_to_vector("embedding").alias("v"))
+    means = vectors.groupBy("query_id").agg(Summarizer.mean(F.col("v")).alias("mean"))
+    return cut(means.select("query_id", vector_to_array("mean").alias("embedding")), "queries")
 
 
 def _label_queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,17 +70,18 @@ def topk_single(spark, sf):
     return search.top_k_single(hits, K).select("id", "distance")
 
 
+# The stated query set of a search: ids divisible by 100, against all rows.
 _ALL = """
-qv AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings)"""
+qv AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id % 100 = 0)"""
 
 
-def _every_vector(spark: SparkSession, sf: str) -> DataFrame:
-    return _corpus(spark, sf).select(F.col("id").alias("query_id"), "embedding")
+def _query_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return _corpus(spark, sf).where("id % 100 = 0").select(F.col("id").alias("query_id"), "embedding")
 
 
 @query("q_knn_all", f"WITH {_ALL}, {_DOT} SELECT * FROM hits")
 def knn_all(spark, sf):
-    return search.top_k(_every_vector(spark, sf), _corpus(spark, sf), DIM, K, digits=DIGITS)
+    return search.top_k(_query_vectors(spark, sf), _corpus(spark, sf), DIM, K, digits=DIGITS)
 
 
 @query("q_topk_threshold", f"WITH {_ALL}, {_DOT} SELECT * FROM hits WHERE distance >= 0.25")
@@ -89,20 +89,6 @@ def topk_threshold(spark, sf):
     return search.above_threshold(knn_all(spark, sf), 0.25)
 
 
-def _registry(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    return registry.registry_rows(
-        docs,
-        {
-            "document_id": F.col("doc_id"),
-            "source_path": F.concat(F.lit("silver/reports/"), F.col("doc_id").cast("string")),
-            "document_type": F.lit("report"),
-            "text_content": F.col("text"),
-        },
-        metadata=["lang", "source", "n_chars"],
-    )
-
-
 @query(
     "q_topk_filtered",
     f"""WITH {_BY_LABEL}, {_RANKED.format(
@@ -112,7 +98,7 @@ def _registry(spark: SparkSession, sf: str) -> DataFrame:
 )
 def topk_filtered(spark, sf):
     allowed = search.filter_corpus(
-        _corpus(spark, sf), _registry(spark, sf), "get_json_object(metadata, '$.lang') = 'en'"
+        _corpus(spark, sf), table(spark, sf, "documents"), "lang = 'en'", registry_id="doc_id"
     )
     return search.top_k(_label_queries(spark, sf), allowed, DIM, K, digits=DIGITS)
 
@@ -266,7 +252,7 @@ def _indexed(spark: SparkSession, sf: str):
 @query("q_ann_recall")
 def ann_recall(spark, sf):
     index, centroids = _indexed(spark, sf)
-    queries = _every_vector(spark, sf)
+    queries = _query_vectors(spark, sf)
     found = vector_index.approx_top_k(
         queries, index, centroids, DIM, K, probes=max(2, len(centroids) // 4), digits=DIGITS
     )
@@ -287,7 +273,7 @@ def leaf_probe_all(spark, sf):
     """Probing every leaf must equal the exact search."""
     index, centroids = _indexed(spark, sf)
     return vector_index.approx_top_k(
-        _every_vector(spark, sf), index, centroids, DIM, K, probes=len(centroids), digits=DIGITS
+        _query_vectors(spark, sf), index, centroids, DIM, K, probes=len(centroids), digits=DIGITS
     )
 
 

@@ -24,6 +24,9 @@ RETENTION_DAYS = {"dev": 30, "test": 14, "prod": 365}
 SIZE_UNITS = ["B", "KB", "MB", "GB", "TB"]
 NOT_FOUND = "NOT_FOUND"
 NAMES_SHOWN = 5
+BRONZE_SCHEMA = (
+    "object_key string, rel_path string, length bigint, modificationTime timestamp, content binary, category string"
+)
 CONTENT_TYPES = {
     ".jpg": "image/jpeg",
     ".jpeg": "image/jpeg",
@@ -200,7 +203,85 @@ def ingest_directory(
         .partitionBy("category")
         .parquet(bronze)
     )
-    return spark.read.parquet(bronze).where(F.col("category") == category).select("object_key")
+    return read_bronze(spark, bronze).where(F.col("category") == category).select("object_key")
+
+
+def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
+    """The bronze table; empty where nothing was ingested yet."""
+    if path_kind(spark, bronze) is None:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze)
+
+
+def ingest_files(
+    spark: SparkSession,
+    files: Sequence[tuple[str, str, str]],
+    bronze: str,
+    category: str = "single",
+) -> DataFrame:
+    """Copy single files into the bronze table; returns their status (:func:`ingest_status`).
+
+    ``files`` is a mapping somebody wrote: (name, source path, object key). Missing files are told
+    as such and the others are copied. Re-running replaces the category.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+
+    def located(path: str) -> str:
+        target = hadoop.Path(path)
+        return target.getFileSystem(conf).makeQualified(target).toString()
+
+    manifest = spark.createDataFrame(
+        [(*f, located(f[1])) for f in files], "name string, source_path string, object_key string, path string"
+    )
+    present = [source for _, source, _ in files if path_kind(spark, source) == "file"]
+    if present:
+        content = spark.read.format("binaryFile").load(present)
+        (
+            content.join(F.broadcast(manifest), "path")
+            .select(
+                "object_key",
+                file_name(F.col("path")).alias("rel_path"),
+                "length",
+                "modificationTime",
+                "content",
+                F.lit(category).alias("category"),
+            )
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("category")
+            .parquet(bronze)
+        )
+        stored = read_bronze(spark, bronze).where(F.col("category") == category).join(manifest, "object_key")
+        objects = stored.where(F.col("source_path").isin(present)).select(F.col("source_path").alias("path"), "length")
+    else:
+        objects = spark.createDataFrame([], "path string, length bigint")
+    return ingest_status(manifest.drop("path"), objects.distinct())
+
+
+def ingest_all(
+    spark: SparkSession,
+    directories: Sequence[tuple[str, str, str, Sequence[str] | None]],
+    files: Sequence[tuple[str, str, str]],
+    bronze: str,
+    prefixes: Sequence[str] = tuple(BRONZE_PREFIXES),
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Copy, verify and sum up a whole mapping: (summary row, status of single files, objects per prefix).
+
+    ``directories`` holds (source, prefix, category, extensions), ``files`` what :func:`ingest_files`
+    takes. A source directory that does not exist counts as skipped and what was ingested from it
+    before stays.
+    """
+    counts = []
+    for source, prefix, category, extensions in directories:
+        there = path_kind(spark, source) == "dir"
+        n = ingest_directory(spark, source, bronze, prefix, category, extensions).count() if there else 0
+        counts.append((source, prefix, n))
+    done = spark.createDataFrame(counts, "source string, prefix string, files bigint")
+    status = ingest_files(spark, files, bronze)
+    objects = read_bronze(spark, bronze).select(F.col("object_key").alias("path"))
+    verified = verify_counts(objects, prefixes)
+    return ingest_summary(done, status, verified), status, verified
 
 
 def ingest_status(manifest: DataFrame, objects: DataFrame, base: str = "") -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medlake.functions.text import decode_bytes
-from medlake.operators.reports import clean_reports, structure_reports
+from medlake.operators.reports import clean_reports, reject_reason, split_rejects, structure_reports
 from medlake.operators.vector_index import latest
+from medlake.plans.durable import cut
 from medlake.sources.lake import REPORT_EXTENSIONS, report_key, suffix
 
 BINARY_FILE = T.StructType(
@@ -37,18 +38,26 @@ def report_stream(spark: SparkSession, bronze: str, max_files: int = 10_000) ->
 
 
 def structure_stream(
-    reports: DataFrame, silver: str, checkpoint: str
+    reports: DataFrame, silver: str, checkpoint: str, rejects: str | None = None
 ) -> StreamingQuery:
     """Clean, extract and validate each new report once; appends to the silver table.
 
-    The batch functions run unchanged: the plan is stateless.
+    Reports that are not accepted go to the table ``rejects`` (by default ``<silver>_rejected``). In both
+    tables a micro-batch owns the directory ``batch=<id>`` and overwrites it when retried.
     """
-    structured = structure_reports(clean_reports(reports)).withColumn(
-        "report_key", report_key(F.col("path"))
-    )
+    target = rejects or f"{silver.rstrip('/')}_rejected"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        cleaned = clean_reports(batch).withColumn("reason", reject_reason(F.col("raw_text")))
+        cleaned = cut(cleaned.drop("raw_text"), "cleaned")
+        structured = structure_reports(cleaned.drop("reason"))
+        structured = structured.withColumn("report_key", report_key(F.col("path")))
+        structured.write.mode("overwrite").parquet(f"{silver}/batch={batch_id}")
+        _, failed = split_rejects(cleaned)
+        failed.select("path", "reason", "clean_text").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
     return (
-        structured.writeStream.format("parquet")
-        .option("path", silver)
+        reports.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -105,3 +105,29 @@ def test_resample_weights_sum_to_one():
     assert pixels.blur(noise).std() < noise.std()
     tensor = pixels.normalise(np.full((70, 90, 4), 255, np.uint8).tobytes(), 70, 90, 4)
     assert tensor.dtype == np.float32 and tensor.max() == 1.0
+
+
+def test_batches_reach_the_model_and_bad_rows_stand_alone(tensors):
+    def model(batch):
+        if any(t[0] > 0.9 for t in batch):
+            raise RuntimeError("one too bright")
+        return [t[:2] for t in batch]
+
+    bright = tensors.where("is_valid").withColumn(
+        "tensor", F.when(F.col("path").endswith("ramp.png"), F.transform("tensor", lambda x: x * 0 + 1)).otherwise(F.col("tensor"))
+    )
+    rows = {
+        r.source_path.rsplit("/", 1)[1]: r
+        for r in images.embed_images(bright.coalesce(1), image_batch_fn=model, dim=16).collect()
+    }
+    assert {n: r.status for n, r in rows.items()} == {"ok_64.png": "success", "colour.png": "success", "ramp.png": "error"}
+    assert rows["ramp.png"].error == "one too bright" and len(rows["colour.png"].image_embedding) == 2
+
+
+def test_transparent_colour_does_not_bleed():
+    pixels_in = np.zeros((64, 64, 4), np.uint8)
+    pixels_in[:, :32] = (200, 100, 50, 255)
+    pixels_in[:, 32:] = (255, 255, 255, 0)
+    out = pixels.resize(pixels_in, 16)
+    edge = out[:, :, 3] > 20
+    assert edge.any() and np.abs(out[edge][:, :3] - (200, 100, 50)).max() <= 8

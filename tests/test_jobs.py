@@ -95,8 +95,11 @@ def test_report_stream_equals_batch(spark, tmp_path):
     (bronze / "reports" / "late_report.txt").write_text(
         "Patient ID: late\nFindings: " + "a new opacity in the left base of the lung" + "\n"
     )
+    (bronze / "reports" / "tiny_report.txt").write_text("ok")
     after = advance()
     assert after.count() == 5 and advance().count() == 5
+    rejected = spark.read.parquet(silver + "_rejected").select("path", "reason").collect()
+    assert [(r.path.rsplit("/", 1)[1], r.reason) for r in rejected] == [("tiny_report.txt", "too short after cleaning")]
     from medlake.operators.reports import clean_reports, structure_reports
     from medlake.sources.lake import read_reports
 
@@ -132,3 +135,15 @@ def test_repeated_deliveries_are_dropped(spark, tmp_path):
     )
     streaming.upsert_stream(stream, str(tmp_path / "log"), str(tmp_path / "ck"), event_time="at").awaitTermination()
     assert streaming.read_latest(spark, str(tmp_path / "log")).count() == 2
+
+
+def test_rejected_reports_are_stored(spark, tmp_path):
+    from medlake.plans.jobs import reports_job
+
+    long = "Patient ID: p1\nAge: 40\nFindings: a new opacity in the left base of the lung\n"
+    raw = spark.createDataFrame([("a.txt", long), ("b.txt", "short"), ("c.txt", None)], "path string, raw_text string")
+    row = reports_job(raw, str(tmp_path / "silver")).first()
+    assert (row.total_reports, row.processed_successfully, row.failed) == (3, 1, 2)
+    assert list(row.failed_reports) == ["b.txt", "c.txt"]
+    stored = spark.read.parquet(str(tmp_path / "silver_rejected")).orderBy("path").collect()
+    assert [(r.path, r.reason) for r in stored] == [("b.txt", "too short after cleaning"), ("c.txt", "no text")]

@@ -157,3 +157,40 @@ def test_catalogue_table(spark):
     df = spark.range(3).toDF("x")
     assert tables.load_table(df, "medlake_test_table") == 3
     assert tables.read_table(spark, "medlake_test_table").count() == 3
+
+
+def test_ingest_of_a_whole_mapping(spark, tmp_path):
+    source = tmp_path / "in" / "reports"
+    source.mkdir(parents=True)
+    for n in range(3):
+        (source / f"r{n}.txt").write_text(f"report {n}")
+    (source / "skip.bin").write_text("x")
+    (tmp_path / "in" / "vitals.csv").write_text("id,age\n1,40\n")
+    bronze = str(tmp_path / "bronze")
+    directories = [
+        (str(source), "bronze/reports", "reports", [".txt"]),
+        (str(tmp_path / "in" / "images"), "bronze/images", "images", None),
+    ]
+    files = [
+        ("vitals", str(tmp_path / "in" / "vitals.csv"), "bronze/structured/patient_vitals.csv"),
+        ("notes", str(tmp_path / "in" / "notes.csv"), "bronze/structured/notes.csv"),
+    ]
+    for _ in range(2):  # a second run replaces, it does not add
+        summary, status, verified = lake.ingest_all(spark, directories, files, bronze)
+        row = summary.first()
+        assert (row.directory_files, row.directories_ok, row.directories_skipped) == (3, 1, 1)
+        assert (row.single_files, row.total_uploaded, row.objects_found) == (1, 4, 4)
+        told = {r["name"]: r["status"] for r in status.collect()}
+        assert told == {"vitals": "bronze/structured/patient_vitals.csv", "notes": "NOT_FOUND"}
+        assert {r.prefix: r.objects for r in verified.collect()} == {
+            "bronze/images/": 0,
+            "bronze/reports/": 3,
+            "bronze/structured/": 1,
+        }
+    stored = lake.read_bronze(spark, bronze).where("category = 'single'").first()
+    assert bytes(stored.content) == b"id,age\n1,40\n"
+
+
+def test_ingest_of_nothing(spark, tmp_path):
+    summary, status, verified = lake.ingest_all(spark, [], [], str(tmp_path / "none"))
+    assert summary.first().total_uploaded == 0 and status.count() == 0 and verified.count() == 3

@@ -139,3 +139,13 @@ def test_content_copies_with_repeated_ids(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (2, "y"), (None, "z"), (None, None), (3, None)], "id int, t string")
     got = sorted(map(tuple, registry.drop_content_copies(df, "t", "id").collect()), key=str)
     assert got == [(1, "x"), (2, "y"), (3, None), (None, "z")]
+
+
+def test_broadcast_follows_the_bytes_not_the_rows(spark):
+    from medlake.plans.bounded import broadcast_if_small
+
+    keys = spark.createDataFrame([("x" * 100,), ("y",), (None,)], "k string")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in plan(broadcast_if_small(keys, "k", 400))
+    assert "ResolvedHint" not in plan(broadcast_if_small(keys, "k", 150))
+    assert broadcast_if_small(keys.where("k = 'none'"), "k", 0).count() == 0
