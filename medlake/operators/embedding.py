@@ -25,27 +25,34 @@ EmbedFn = Callable[[list[str]], np.ndarray]
 _TOKEN = re.compile(r"[A-Za-z0-9]+")
 
 
+class _Slots(dict):
+    """word -> slot, worked out when a word is first met; forgotten when too many are held."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 500_000:
+            self.clear()
+        self[word] = found = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        return found
+
+
 def hashed_words(dim: int = TEXT_DIM) -> EmbedFn:
     """Default text model: hashed bag of lower-cased ASCII words, scaled to length 1.
 
     A word's slot is the first 32 bits of its MD5 modulo ``dim``, so any SQL engine can
     reproduce the vectors. Slots are remembered per task, as words repeat heavily.
     """
-    slots: dict[str, int] = {}
-
-    def slot(word: str) -> int:
-        found = slots.get(word)
-        if found is None:
-            found = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-            if len(slots) < 500_000:
-                slots[word] = found
-        return found
+    slots = _Slots(dim)
 
     def embed(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dim))
         for row, text in enumerate(texts):
-            words = [slot(w) for w in _TOKEN.findall(text.lower() if text.isascii() else _lower(text))]
-            out[row] = np.bincount(np.asarray(words, dtype=np.int64), minlength=dim)
+            words = _TOKEN.findall(text.lower() if text.isascii() else _lower(text))
+            places = np.fromiter(map(slots.__getitem__, words), np.int64, len(words))
+            out[row] = np.bincount(places, minlength=dim)
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, norms, out=out, where=norms > 0)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlake.plans.skew import skew_safe_join
@@ -121,6 +121,43 @@ def write_query_log(log: DataFrame, path: str) -> None:
     )
 
 
+def replace_log_days(log: DataFrame, path: str) -> None:
+    """Write whole days of the log: each day in ``log`` takes the place of that day in the table.
+
+    Running it again, or after a run that broke off, leaves the same table; other days are not touched.
+    """
+    (
+        log.withColumn("log_date", F.to_date("timestamp"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("log_date")
+        .parquet(path)
+    )
+
+
+def log_latency(log: DataFrame, percents: Sequence[int] = (50, 95, 99)) -> DataFrame:
+    """``log_date, p50_latency_ms, ...``: the smallest latency that so many percent of a day's queries do not exceed.
+
+    Exact. Equal latencies of a day are counted before they move, so a day costs its distinct
+    milliseconds; rows without latency are left out.
+    """
+    counts = (
+        log.where("latency_ms is not null")
+        .groupBy(F.to_date("timestamp").alias("log_date"), "latency_ms")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    day = Window.partitionBy("log_date")
+    ranked = counts.withColumns(
+        {"upto": F.sum("n").over(day.orderBy("latency_ms")), "total": F.sum("n").over(day)}
+    )
+    return ranked.groupBy("log_date").agg(
+        *[
+            F.min(F.when(F.col("upto") * 100 >= F.col("total") * p, F.col("latency_ms"))).alias(f"p{p}_latency_ms")
+            for p in percents
+        ]
+    )
+
+
 def log_daily(log: DataFrame) -> DataFrame:
     """Volume, latency, confidence per day."""
     return log.groupBy(F.to_date("timestamp").alias("log_date")).agg(

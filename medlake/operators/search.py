@@ -30,6 +30,8 @@ MIN_SCORE = 0.7
 MEASURES = ("dot", "cosine")
 # Bytes of float64 vectors per side of one grid cell.
 CELL_BYTES = 32 * 1024 * 1024
+# Groups in which the partial hits of a query are reduced first.
+MERGE_GROUPS = 64
 # Hit lists up to this many rows are joined to their texts without salts.
 MAX_BROADCAST_HITS = 1_000_000
 
@@ -40,9 +42,17 @@ def conforming(df: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
 
 
 def best_k(hits: DataFrame, k: int) -> DataFrame:
-    """The k best of each query from partial lists, ranked from 1; ties go to the smaller id."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("distance"), "id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """The k best of each query from partial lists, ranked from 1; ties go to the smaller id.
+
+    Every task has a list for a query. They are reduced in ``MERGE_GROUPS`` groups by the id's hash
+    first, so that no task ranks the lists of all tasks.
+    """
+    order = [F.desc("distance"), "id"]
+    groups = hits.withColumn("__group", F.pmod(F.xxhash64("id"), F.lit(MERGE_GROUPS)))
+    for keys in (["query_id", "__group"], ["query_id"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        groups = groups.withColumn("rank", rank).where(F.col("rank") <= k)
+    return groups.drop("__group")
 
 
 def _hit_schema(queries: DataFrame, corpus: DataFrame) -> tuple[T.StructType, pa.Schema]:

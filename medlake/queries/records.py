@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlake.operators import images, quality, registry, reports, summaries
-from medlake.plans.durable import cut
+from medlake.plans.durable import cut, work_path
 from medlake.queries.catalog import query, table
 from medlake.queries.quality import RANGES
 from medlake.queries.reports import clean_sql
@@ -161,6 +161,38 @@ def log_daily(spark, sf):
     )
 
 
+@query(
+    "q_log_latency",
+    """WITH r AS (SELECT strftime(ts, '%Y-%m-%d') AS log_date, CAST(floor(value) AS BIGINT) AS ms,
+        row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY value) AS nth,
+        count(*) OVER (PARTITION BY strftime(ts, '%Y-%m-%d')) AS total FROM events WHERE value IS NOT NULL)
+    SELECT log_date, min(ms) FILTER (WHERE nth * 100 >= total * 50) AS p50_latency_ms,
+        min(ms) FILTER (WHERE nth * 100 >= total * 95) AS p95_latency_ms,
+        min(ms) FILTER (WHERE nth * 100 >= total * 99) AS p99_latency_ms
+    FROM r GROUP BY log_date""",
+)
+def log_latency(spark, sf):
+    day = F.date_format("log_date", "yyyy-MM-dd")
+    return registry.log_latency(_log(spark, sf)).withColumn("log_date", day)
+
+
+@query(
+    "q_log_days",
+    """SELECT strftime(ts, '%Y-%m-%d') AS log_date, count(*) AS queries, count(DISTINCT event_id) AS ids,
+        CAST(sum(floor(value)) AS BIGINT) AS latency_ms FROM events GROUP BY 1""",
+)
+def log_days(spark, sf):
+    """The log written, and its odd days written once more, read back."""
+    log, path = _log(spark, sf), work_path(spark, "query-log")
+    registry.replace_log_days(log, path)
+    registry.replace_log_days(log.where(F.dayofmonth("timestamp") % 2 == 1), path)
+    return spark.read.parquet(path).groupBy(F.date_format("log_date", "yyyy-MM-dd").alias("log_date")).agg(
+        F.count(F.lit(1)).alias("queries"),
+        F.count_distinct("query_id").alias("ids"),
+        F.sum("latency_ms").alias("latency_ms"),
+    )
+
+
 @query(
     "q_log_topdocs",
     """SELECT doc_id, count(*) AS retrievals FROM (
