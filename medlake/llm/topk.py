@@ -110,7 +110,7 @@ class Buckets:
                     for c in strong:
                         q = query[c] / norm
                         room = np.sqrt(max(0.0, 1 - local * local) * max(0.0, 1 - q * q)) + 1e-9
-                        keep &= (self.unit[part, c] >= q * local - room) & (self.unit[part, c] <= self._upper(q, local, room))
+                        keep &= (self.unit[part, c] >= self._lower(q, local, room)) & (self.unit[part, c] <= self._upper(q, local, room))
                 else:
                     keep &= self.length[part] * norm * (1 + 1e-9) >= best.least
             keep &= self.ids[part] != own
@@ -118,6 +118,11 @@ class Buckets:
                 best.offer(products(self.vectors[part][keep], query, exact), self.ids[part][keep])
         return best
 
+    @staticmethod
+    def _lower(q: float, local: float, room: float) -> float:
+        """Smallest coordinate that a unit vector at cosine ``local`` or more can have."""
+        return -1.0 - 1e-9 if q <= -local else q * local - room
+
     @staticmethod
     def _upper(q: float, local: float, room: float) -> float:
         """Largest coordinate that a unit vector at cosine ``local`` or more can have."""

@@ -201,6 +201,25 @@ def test_top_k(spark):
     assert topk.top_k(none, none).count() == 0
 
 
+def test_buckets_keep_copies_along_one_strong_coordinate():
+    rng = np.random.default_rng(5)
+    for sign in (-1, 1):
+        rows = rng.integers(-40, 41, size=(3_000, 6))
+        rows[:, 0] = sign * rng.integers(60, 140, size=len(rows))
+        ids = np.arange(len(rows))
+        queries = np.array([[sign * 95, 10, 12, -9, 20, 5], [sign * 95, 31, 0, 0, 0, 0], [sign * 60, 30, 30, -30, 0, 0]])
+        vectors = np.r_[rows, queries, queries + 1, 2 * queries, np.array([[sign * 139, 1, 0, 0, 0, 0]])]
+        ids = np.arange(len(vectors))
+        for query in queries:
+            scores = vectors @ query
+            want = np.lexsort((ids, -scores))[:10]
+            # From nothing, and from thresholds that seeds would have given.
+            for least in (-np.inf, scores[want[-1]], 0.9 * scores[want[-1]]):
+                best = topk.Buckets(ids, vectors).search(-1, query, topk.Best(10, least))
+                order = np.lexsort((best.ids, -best.scores))
+                assert best.ids[order].tolist() == want.tolist() and best.scores[order].tolist() == scores[want].tolist()
+
+
 def test_urls(spark):
     given = [None, "", "no scheme", "http://com", "http://A.Com/x", "https://example.com/en/1?x", "https://www.example.com/en/", "http://m.www.example.com/en/#a",
              "http://a.net/es/", "http://a.net/es", "http://net.example.org/fr/", "http://x.com?y://example.com/en/", "http://notexample.com/en/"]
