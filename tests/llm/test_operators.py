@@ -263,6 +263,21 @@ def test_language_model(spark, odd, empty):
     assert {r["base_score"] for r in maxent.score(odd, blank, no_counts).collect()} == {0.0}
 
 
+def test_language_model_knows_a_rare_end(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "FREQUENT", 4)
+    docs = docs_of(spark, ["a b c d e f " * 50, "a b c d e g " * 40 + "h"])
+    model, counts = maxent.train(docs)
+    assert model.layout.words[-1] == b"" and model.layout.counts[-1] == 2
+    got = {r["doc_id"]: r for r in maxent.score(docs, model, counts).collect()}
+    words = {r["doc_id"]: r["text"].encode().split() + [b""] for r in docs.collect()}
+    seen = Counter(w for tokens in words.values() for w in tokens)
+    n, v = sum(seen.values()), len(seen)
+    assert model.layout.rare_words.sum() == v - 5 and model.layout.rare_tokens.sum() == n - model.layout.counts.sum()
+    for key, tokens in words.items():
+        assert got[key]["n_tokens"] == got[key]["n_known"] == len(tokens)
+        assert math.isclose(got[key]["base_score"], sum(math.log10((seen[t] + 1) / (n + v + 1)) for t in tokens), rel_tol=1e-9)
+
+
 def test_pipeline_stages(spark, sf, empty):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = docs
