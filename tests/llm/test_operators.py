@@ -243,6 +243,28 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan(odd).count() == 12 and licenses.scan(empty).count() == 0
 
 
+def test_wrapped_and_inline_licenses(spark):
+    isc, full = dict(licenses.TEMPLATES)["ISC"], dict(licenses.FULL_TEXTS)
+    number = itertools.count()
+    filler = lambda n: " ".join(f"w{next(number)}" for _ in range(n)) + " "
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    mit = "Released under the MIT License."
+    texts = [
+        filler(240) + "\n" + wrap(isc, 11) + "\n" + filler(240),
+        filler(12) + mit + " " + filler(12),
+        filler(12) + mit + " " + filler(12) + mit + "\n" + mit + "\n" + filler(40),
+        *[filler(200) + "\n" + wrap(t, 9) + "\n" + filler(200) for _, t in sorted(full.items())],
+        filler(360),
+        "MIT released License. " + filler(12) + " under the",
+    ]
+    found = [r["licenses"] for r in licenses.scan(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    got = [{x["name"]: (x["dice"], x["n_pieces"]) for x in f} for f in found]
+    assert got[0] == {"ISC": (1.0, 1)} and got[1] == {"MIT": (1.0, 1)} and got[2] == {"MIT": (1.0, 3)}
+    for row, name in zip(got[3:6], sorted(full)):
+        assert row[name] == (1.0, 1)
+    assert got[6:] == [{}, {}]
+
+
 def test_language_model(spark, odd, empty):
     model, counts = maxent.train(odd)
     got = {r["doc_id"]: r for r in maxent.score(odd, model, counts).collect()}
