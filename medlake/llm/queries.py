@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlake.llm import bpe, exact, langid, licenses, maxent, mixing, simhash, topk, toxicity, urls
+from medlake.llm import bpe, exact, langid, licenses, maxent, merkle, mixing, sharding, simhash, topk, toxicity, urls
 from medlake.llm.common import key_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,26 @@ def op10_extendible_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(_table(spark, sf_dir, "documents", "doc_id", "text"), 16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_interval_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", *merkle.FIELDS)
+    cleared = F.when(key_remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    made = merkle.manifest(docs, altered=F.when(F.col("doc_id").isNotNull(), cleared))
+    return made.rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -119,6 +139,8 @@ QUERIES: dict[str, Query] = {
         op8_license_dice,
         op9_maxent_scores,
         op10_extendible_dedup,
+        op12_ring_shards,
+        op13_interval_manifest,
     )
 }
 
@@ -199,9 +221,67 @@ FROM norm
 WINDOW w AS (PARTITION BY norm)
 """
 
+_MANIFEST_SQL = """
+WITH RECURSIVE fields AS (
+    SELECT *, list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
+            lambda v: coalesce(octet_length(encode(v)) || ':' || v, '-')) AS head,
+        list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+            lambda i: ascii(CAST(doc_id AS VARCHAR)[i]))),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+    FROM documents
+), entries AS (
+    SELECT coalesce('=' || source, '') AS tree, doc_id,
+        sha256(array_to_string(head, '') || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        CASE WHEN crc & 1 = 1 THEN sha256(array_to_string(head, '')
+            || coalesce(octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), ''), '-')) END AS altered
+    FROM fields
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth FROM entries
+), levels(tree, level, hs) AS (
+    SELECT tree, 0, list(leaf ORDER BY nth) FROM leaves GROUP BY tree
+    UNION ALL
+    SELECT tree, level + 1, list_transform(range(0, (len(hs) + 2) // 3), lambda i: sha256(array_to_string(hs[3 * i + 1 : 3 * i + 3], '')))
+    FROM levels WHERE len(hs) > 1
+), subroots AS (
+    SELECT tree, hs[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS nth FROM levels WHERE len(hs) = 1
+), crown(level, hs) AS (
+    SELECT 0, list(subroot ORDER BY nth) FROM subroots
+    UNION ALL
+    SELECT level + 1, list_transform(range(0, (len(hs) + 2) // 3), lambda i: sha256(array_to_string(hs[3 * i + 1 : 3 * i + 3], '')))
+    FROM crown WHERE len(hs) > 1
+), runs AS (
+    SELECT l.tree, l.nth, v.level, v.hs, CAST(floor(l.nth / pow(3, v.level)) AS BIGINT) AS i
+    FROM leaves l JOIN levels v ON v.tree = l.tree WHERE len(v.hs) > 1
+    UNION ALL
+    SELECT l.tree, l.nth, 1000 + c.level, c.hs, CAST(floor(s.nth / pow(3, c.level)) AS BIGINT)
+    FROM leaves l JOIN subroots s USING (tree), crown c WHERE len(c.hs) > 1
+), steps AS (
+    SELECT tree, nth, row_number() OVER (PARTITION BY tree, nth ORDER BY level) AS step,
+        CASE WHEN i % 3 > 0 THEN array_to_string(hs[i - i % 3 + 1 : i], '') ELSE '' END AS before,
+        array_to_string(hs[i + 2 : i - i % 3 + 3], '') AS after
+    FROM runs
+), folded(tree, nth, step, h) AS (
+    SELECT tree, nth, 0, coalesce(altered, leaf) FROM leaves
+    UNION ALL
+    SELECT f.tree, f.nth, f.step + 1, sha256(s.before || f.h || s.after)
+    FROM folded f JOIN steps s ON s.tree = f.tree AND s.nth = f.nth AND s.step = f.step + 1
+), proofs AS (
+    SELECT tree, nth, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256, max(step) AS last FROM steps GROUP BY tree, nth
+)
+SELECT l.doc_id, l.leaf, s.subroot, r.hs[1] AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+    f.h AS folded_root, f.h = r.hs[1] AS verified
+FROM leaves l
+JOIN subroots s USING (tree)
+LEFT JOIN proofs p ON p.tree = l.tree AND p.nth = l.nth
+JOIN folded f ON f.tree = l.tree AND f.nth = l.nth AND f.step = coalesce(p.last, 0)
+CROSS JOIN (SELECT hs FROM crown WHERE len(hs) = 1) r
+"""
+
 ORACLES: dict[str, str] = {
     "op5_norm_bucket_topk": _TOPK_SQL,
     "op7_url_trie": _URL_SQL,
     "op8_license_dice": _LICENSE_SQL,
     "op10_extendible_dedup": _EXACT_SQL,
+    "op13_interval_manifest": _MANIFEST_SQL,
 }
