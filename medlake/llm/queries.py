@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlake.llm import bpe, exact, langid, licenses, maxent, merkle, mixing, sharding, simhash, topk, toxicity, urls
+from medlake.llm import bpe, collocations, exact, langid, licenses, maxent, merkle, mixing, sharding, simhash, topk, toxicity, urls
 from medlake.llm.common import key_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,10 @@ def op10_extendible_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_bounded_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents", "text", "lang"))
+
+
 def op12_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(_table(spark, sf_dir, "documents", "doc_id", "text"), 16)
     return placed.select(
@@ -139,6 +143,7 @@ QUERIES: dict[str, Query] = {
         op8_license_dice,
         op9_maxent_scores,
         op10_extendible_dedup,
+        op11_bounded_collocations,
         op12_ring_shards,
         op13_interval_manifest,
     )
@@ -221,6 +226,43 @@ FROM norm
 WINDOW w AS (PARTITION BY norm)
 """
 
+_COLLOCATION_SQL = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+), sizes AS (
+    SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+), counts AS (
+    SELECT lang, k, phrase, count(*) AS f FROM (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+        FROM words, range(1, 4) t(k)
+    ) GROUP BY ALL
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, i, x.f AS l, y.f AS r,
+        (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM candidates c, range(1, 3) t(i)
+    JOIN counts x ON x.lang = c.lang AND x.k = i AND x.phrase = array_to_string(c.w[1 : i], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.k = c.k - i AND y.phrase = array_to_string(c.w[i + 1 : c.k], ' ')
+    WHERE i < c.k
+), worst AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), inside AS (
+    SELECT lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase, a FROM candidates WHERE k = 3
+), longer AS (
+    SELECT lang, phrase, max(a) AS longest FROM inside GROUP BY ALL
+)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM worst LEFT JOIN longer USING (lang, phrase) JOIN sizes USING (lang)
+WHERE k = 3 OR longest IS NULL OR 100 * longest < 50 * a
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER best <= 2000
+"""
+
 _MANIFEST_SQL = """
 WITH RECURSIVE fields AS (
     SELECT *, list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
@@ -283,5 +325,6 @@ ORACLES: dict[str, str] = {
     "op7_url_trie": _URL_SQL,
     "op8_license_dice": _LICENSE_SQL,
     "op10_extendible_dedup": _EXACT_SQL,
+    "op11_bounded_collocations": _COLLOCATION_SQL,
     "op13_interval_manifest": _MANIFEST_SQL,
 }
