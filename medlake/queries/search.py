@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medlake.operators import answering, embedding, evaluation, search, vector_index
+from medlake.operators import answering, embedding, evaluation, search, tree_index, vector_index
 from medlake.plans.durable import cut
 from medlake.queries.catalog import query, table
 
@@ -15,6 +15,7 @@ DIM = 64
 K = 10
 DIGITS = 6
 TEXT_DIM = 768
+PER_LEAF = 64
 TEXT_MIN_SCORE = 0.3
 
 
@@ -249,14 +250,27 @@ def _indexed(spark: SparkSession, sf: str):
     return vector_index.assign_leaves(corpus, centroids, DIM), centroids
 
 
+def _tree(spark: SparkSession, sf: str) -> tree_index.TreeIndex:
+    # The test tables hold a few vectors per would-be leaf of 1000: use smaller leaves.
+    return tree_index.build_tree(_corpus(spark, sf), DIM, per_leaf=PER_LEAF)
+
+
 @query("q_ann_recall")
 def ann_recall(spark, sf):
-    index, centroids = _indexed(spark, sf)
-    queries = _query_vectors(spark, sf)
-    found = vector_index.approx_top_k(
-        queries, index, centroids, DIM, K, probes=max(2, len(centroids) // 4), digits=DIGITS
-    )
-    return vector_index.recall(found, knn_all(spark, sf))
+    """Recall of every query, and the share of the vectors that were scored for it."""
+    index, queries = _tree(spark, sf), _query_vectors(spark, sf)
+    found, searched = tree_index.search_tree(queries, index, K, digits=DIGITS)
+    told = vector_index.recall(found, knn_all(spark, sf))
+    return told.join(tree_index.share_searched(searched, index), "query_id")
+
+
+@query(
+    "q_tree_exact",
+    f"WITH {_ALL}, {_DOT} SELECT * FROM hits",
+)
+def tree_exact(spark, sf):
+    """Leaves that the radius cannot rule out: equal to the exact search."""
+    return tree_index.search_tree(_query_vectors(spark, sf), _tree(spark, sf), K, target=1.0, digits=DIGITS)[0]
 
 
 @query("q_leaf_sizes")
@@ -265,6 +279,25 @@ def leaf_sizes(spark, sf):
     return index.groupBy("leaf").agg(F.count(F.lit(1)).alias("vectors"))
 
 
+@query(
+    "q_leaf_bounds",
+    """SELECT vec_id AS id, CAST(1 AS BIGINT) AS homes, true AS leaf_small, true AS within_radius FROM embeddings""",
+)
+def leaf_bounds(spark, sf):
+    """Every vector's number of home leaves, whether its leaf is within size, and its distance within the radius."""
+    index = _tree(spark, sf)
+    homes = Window.partitionBy("leaf", "home")
+    gap = F.aggregate(
+        F.zip_with("embedding", "mean", lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda a, x: a + x
+    )
+    held = index.vectors.withColumn("n_home", F.count(F.lit(1)).over(homes)).join(index.leaves.select("leaf", "mean", "radius"), "leaf")
+    return held.groupBy("id").agg(
+        F.count(F.when(F.col("home"), 1)).alias("homes"),
+        F.bool_and(~F.col("home") | (F.col("n_home") <= PER_LEAF)).alias("leaf_small"),
+        F.bool_and(F.sqrt(gap) <= F.col("radius") * (1 + 1e-9)).alias("within_radius"),
+    )
+
+
 @query(
     "q_leaf_probe_all",
     f"WITH {_ALL}, {_DOT} SELECT * FROM hits",
