@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import bounded_hint, cut, slices, text_of, tidy
+from medlake.llm.common import added, bounded_hint, cut, slices, text_of, tidy
 
 CHUNK = 32_768
 OVERLAP = 1_024
@@ -220,8 +220,6 @@ def decode(encoded: DataFrame, ranks: Broadcast, ids_col: str = "ids") -> DataFr
     A column named ``decoded`` is replaced.
     """
     encoded = encoded.drop("decoded")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = read_ranks(ranks.value)
         vocabulary = [b""] * (max(content.values(), default=-1) + 1)
@@ -235,4 +233,4 @@ def decode(encoded: DataFrame, ranks: Broadcast, ids_col: str = "ids") -> DataFr
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(tidy(run), f"{schema}, decoded binary")
+    return encoded.mapInArrow(tidy(run), added(encoded.schema, decoded="binary"))

@@ -8,13 +8,31 @@ import string
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medlake.plans.bounded import MAX_BROADCAST_BYTES
 from medlake.plans.durable import cut
 
-__all__ = ["ascii_lower", "bounded_hint", "cut", "keep_one", "key_remainder", "replace", "row_key", "slices", "small_batches", "text_of", "tidy"]
+__all__ = [
+    "added",
+    "ascii_lower",
+    "bounded_hint",
+    "cut",
+    "keep_one",
+    "key_remainder",
+    "received",
+    "replace",
+    "row_key",
+    "ship",
+    "slices",
+    "small_batches",
+    "spare",
+    "text_of",
+    "tidy",
+]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,6 +63,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def ship(spark: SparkSession, value: object) -> Broadcast:
+    """``value`` for all tasks, with the code of its classes: workers need not be able to import this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast) -> object:
+    """What ``ship`` was given, made anew; to be called once in a task."""
+    return cloudpickle.loads(shared.value)
+
+
+def added(fields: T.StructType, **types: str) -> T.StructType:
+    """The columns ``fields``, whatever their names, and further ones of the given types."""
+    more = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in types.items()]
+    return T.StructType([*fields.fields, *more])
+
+
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -94,6 +128,14 @@ def replace(df: DataFrame, taken: list[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in names])
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bounded_hint(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` marked for broadcast if its counted size is within the limit, else unchanged.
 
@@ -109,7 +151,7 @@ def keep_one(docs: DataFrame, verdicts: DataFrame, id_col: str, text_col: str) -
     ``verdicts(key, keep, copies)`` has one row per distinct ``row_key``. Only the keys to drop
     and the keys of repeated rows are joined, so texts move only if these outgrow a broadcast.
     """
-    key = "__llm_key"
+    key = spare(docs, "__llm_key")
     marked = docs.withColumn(key, row_key(id_col, text_col))
     drop = cut(verdicts.where("not keep or copies > 1").select(F.col("key").alias(key)), "drop")
     twice = cut(verdicts.where("keep and copies > 1").select(F.col("key").alias(key)), "twice")

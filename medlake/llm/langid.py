@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import replace, slices, text_of, tidy
+from medlake.llm.common import added, received, replace, ship, slices, spare, text_of, tidy
 
 #: Bytes per n-gram.
 SIZES = (3, 5)
@@ -179,19 +179,20 @@ def identify(
     an n-gram that any language contains gets score 0 and the first language. Whole texts are read,
     repeated rows get the same answer, an empty table gives an empty one.
     """
-    clean = "__llm_letters"
+    clean = spare(docs, "__llm_letters")
     docs = replace(docs.withColumn(clean, letters_only(text_col)), ["lang_pred", "score"])
     given = [c for c in docs.columns if c != clean and (keep is None or c in keep)]
     docs = docs.select(*[f"`{c}`" for c in given], clean)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != clean)
+    shared = ship(docs.sparkSession, model)
+    schema = added(docs.drop(clean).schema, lang_pred="string", score="double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = received(shared)
         for batch in slices(batches):
-            names, scores = shared.value.judge(batch.column(clean))
+            names, scores = judge.judge(batch.column(clean))
             kept = [batch.column(c) for c in given]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*given, "lang_pred", "score"]
             )
 
-    return docs.mapInArrow(tidy(run), f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(tidy(run), schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import WORD, bounded_hint, cut, text_of
+from medlake.llm.common import WORD, bounded_hint, cut, spare, text_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_TIMES = 3
@@ -215,8 +215,9 @@ def take_mix(docs: DataFrame, **options) -> DataFrame:
     _, decided = mix(docs, **options)
     names = [options.get(k, d) for k, d in (("source_col", "source"), ("id_col", "doc_id"), ("text_col", "text"))]
     skey, unit = _keys(*names)
-    mark, copies = "__llm_unit", "__llm_copies"
+    mark, copies = spare(docs, "__llm_unit"), spare(docs, "__llm_copies")
     kept = decided.where("copies > 0").select(F.struct("skey", "unit").alias(mark), F.col("copies").alias(copies))
     joined = docs.withColumn(mark, F.struct(skey, unit)).join(bounded_hint(cut(kept, "taken"), 64), mark)
-    once = F.explode(F.sequence(F.lit(1), F.col(copies))).alias("__llm_copy")
-    return joined.select(*[f"`{c}`" for c in docs.columns], once).drop("__llm_copy")
+    copy = spare(docs, "__llm_copy")
+    once = F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy)
+    return joined.select(*[f"`{c}`" for c in docs.columns], once).drop(copy)

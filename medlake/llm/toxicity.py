@@ -22,7 +22,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medlake.llm.common import cut, replace, slices, tidy
+from medlake.llm.common import added, cut, received, replace, ship, slices, tidy
 
 #: Labelled documents learned from, at most about (drawn by hash), and stems kept.
 TRAIN_DOCS = 16_000
@@ -250,17 +250,17 @@ def learn(labelled: DataFrame, text_col: str = "text", toxic_col: str = "toxic",
 
 def _with_features(docs: DataFrame, model: ToxicityModel, text_col: str, kept: list[str]) -> DataFrame:
     """The columns ``kept`` of ``docs`` and the features of its texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[f"`{c}`" for c in kept]).schema)
+    shared = ship(docs.sparkSession, model)
+    schema = added(docs.select(*[f"`{c}`" for c in kept]).schema, __llm_features="array<double>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, tables = shared.value.reader(), grammar()
+        memo, tables = received(shared).reader(), grammar()
         for batch in slices(batches):
             rows = [features(t.as_py(), memo, tables) for t in batch.column(text_col)]
             columns = [batch.column(c) for c in kept] + [pa.array(rows, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "__llm_features"])
 
-    return docs.mapInArrow(tidy(run), f"{schema}, __llm_features array<double>")
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
@@ -269,7 +269,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     Null and empty texts have no clause and get the score of none, the model's constant. Whole texts are
     read; repeated rows get the same score; an empty table gives an empty one.
     """
-    docs = replace(docs, ["score"])
+    docs = replace(docs, ["score", "__llm_features"])
     rows = _with_features(docs, model, text_col, docs.columns)
     total = F.lit(float(model.scale[-1]))
     for n, weight in enumerate(model.scale[:-1]):

@@ -6,6 +6,7 @@ beyond the bound are joined on the same host suffixes and path beginnings instea
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -13,12 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medlake.llm.common import ascii_lower, replace
+from medlake.llm.common import added, ascii_lower, received, replace, ship, spare
 from medlake.plans.bounded import MAX_BROADCAST_BYTES
 
 ALLOW, BLOCK = "allow", "block"
 #: What a rule weighs in a trie, about, besides its text.
 RULE_BYTES = 512
+#: Hosts are compared with A-Z lower-cased and every other character as it is.
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 Rule = tuple[str, str, str]
 
@@ -38,7 +41,7 @@ def build_trie(rules: Iterable[Rule]) -> Node:
     root = Node()
     for host, path, verdict in rules:
         node = root
-        for label in reversed(host.lower().split(".") if host else []):
+        for label in reversed(host.translate(LOWER).split(".") if host else []):
             node = node.labels.setdefault(label, Node())
         *segments, rest = path.split("/")
         for segment in segments:
@@ -87,24 +90,25 @@ def judge(pages: DataFrame, rules: Iterable[Rule] | DataFrame, url_col: str = "u
     ``default`` and a null rule, also those that are null, empty or without ``://``.
     """
     host, path = host_and_path(url_col)
-    rows = replace(pages.withColumns({"__llm_host": host, "__llm_path": path}), ["host", "path", "rule", "verdict"])
-    rows = rows.withColumnsRenamed({"__llm_host": "host", "__llm_path": "path"})
+    held = {spare(pages, "__llm_host"): ("host", host), spare(pages, "__llm_path"): ("path", path)}
+    rows = replace(pages.withColumns({k: v for k, (_, v) in held.items()}), ["host", "path", "rule", "verdict"])
+    rows = rows.withColumnsRenamed({k: name for k, (name, _) in held.items()})
     if isinstance(rules, DataFrame):
         size = F.octet_length("host") + F.octet_length("path") + RULE_BYTES
         if (rules.agg(F.sum(size)).first()[0] or 0) > MAX_BROADCAST_BYTES:
             return _joined(rows, rules, default)
         rules = [(r["host"], r["path"], r["verdict"]) for r in rules.select("host", "path", "verdict").collect()]
-    shared = pages.sparkSession.sparkContext.broadcast(build_trie(rules))
+    shared = ship(pages.sparkSession, build_trie(rules))
     names = rows.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = received(shared)
         for batch in batches:
-            found = [match(shared.value, h.as_py(), p.as_py()) for h, p in zip(batch.column("host"), batch.column("path"))]
+            found = [match(trie, h.as_py(), p.as_py()) for h, p in zip(batch.column("host"), batch.column("path"))]
             columns = [pa.array([f and f[0] for f in found], pa.string()), pa.array([f[1] if f else default for f in found], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, "rule", "verdict"])
 
-    return rows.mapInArrow(run, f"{schema}, rule string, verdict string")
+    return rows.mapInArrow(run, added(rows.schema, rule="string", verdict="string"))
 
 
 def _joined(rows: DataFrame, rules: DataFrame, default: str) -> DataFrame:

@@ -189,35 +189,60 @@ def test_top_k(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=8).astype(float).tolist()) for i in range(400)]
     rows += [(400, None), (401, [1.0, None]), (402, [float("nan")] * 8), (403, []), (None, [1.0] * 8), (404, [0.0] * 8), (7, [2.0] * 8), (405, [1.0] * 3)]
+    # Beyond 32 bits after scaling, beyond 64 bits in the product, repeated ids and an empty query.
+    rows += [(406, [2.0**26 + 0.5] * 8), (407, [-(2.0**40)] * 8), (408, [2.0**27] * 2), (420, [2.0**33, 0.25]), (20, [5.0] * 8), (440, [])]
+    rows += [(0, rows[0][1])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("other"))
     got = sorted(map(tuple, topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 5).collect()))
-    ok = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v and None not in v and all(map(math.isfinite, v))]
+    ok = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and None not in v and all(map(math.isfinite, v))]
     want = []
-    for q, v in ((i, v) for i, v in ok if i % 20 == 0):
-        best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in ok if j != q)[:5]
+    for q, v in {(i, tuple(v)) for i, v in ok if i % 20 == 0}:
+        products = [(max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), j) for j, w in ok if j != q]
+        best = sorted((-s, j) for s, j in products)[:5]
         want += [(q, n + 1, j, -s) for n, (s, j) in enumerate(best)]
     assert got == sorted(want)
     none = vectors.where("false")
     assert topk.top_k(none, none).count() == 0
 
 
+def brute_top(vectors, query, k):
+    scores = vectors @ query
+    order = np.lexsort((np.arange(len(vectors)), -scores))[:k]
+    return list(zip(order.tolist(), scores[order].astype(int).tolist()))
+
+
+def searched(vectors, queries, k, least):
+    cell = topk.Cell(np.arange(len(vectors)), vectors.astype(float))
+    best = cell.search(queries.astype(float), topk.Best(k, np.full(len(queries), -1), np.asarray(least)))
+    return [[(int(i), int(s)) for i, s in zip(best.ids[best.rows == n], best.scores[best.rows == n])] for n in range(len(queries))], cell.verified
+
+
 def test_buckets_keep_copies_along_one_strong_coordinate():
     rng = np.random.default_rng(5)
     for sign in (-1, 1):
         rows = rng.integers(-40, 41, size=(3_000, 6))
         rows[:, 0] = sign * rng.integers(60, 140, size=len(rows))
-        ids = np.arange(len(rows))
         queries = np.array([[sign * 95, 10, 12, -9, 20, 5], [sign * 95, 31, 0, 0, 0, 0], [sign * 60, 30, 30, -30, 0, 0]])
         vectors = np.r_[rows, queries, queries + 1, 2 * queries, np.array([[sign * 139, 1, 0, 0, 0, 0]])]
-        ids = np.arange(len(vectors))
-        for query in queries:
-            scores = vectors @ query
-            want = np.lexsort((ids, -scores))[:10]
-            # From nothing, and from thresholds that seeds would have given.
-            for least in (-np.inf, scores[want[-1]], 0.9 * scores[want[-1]]):
-                best = topk.Buckets(ids, vectors).search(-1, query, topk.Best(10, least))
-                order = np.lexsort((best.ids, -best.scores))
-                assert best.ids[order].tolist() == want.tolist() and best.scores[order].tolist() == scores[want].tolist()
+        want = [brute_top(vectors, q, 10) for q in queries]
+        # From nothing, and from thresholds that seeds would have given.
+        for least in ([topk.NONE] * 3, [w[-1][1] for w in want], [w[-1][1] * 9 // 10 for w in want]):
+            assert searched(vectors, queries, 10, least)[0] == want
+
+
+@pytest.mark.parametrize("kind", ["lengths", "directions"])
+def test_buckets_prune(kind):
+    rng = np.random.default_rng(8)
+    if kind == "lengths":  # few long vectors, many short ones
+        vectors = np.round(rng.normal(size=(8_000, 16)) * np.r_[np.full(500, 100), np.full(7_500, 4)][:, None])
+        queries = np.round(rng.normal(size=(40, 16)) * 30)
+    else:  # groups along few strong coordinates
+        centers = rng.normal(size=(50, 24)) * np.r_[np.full(6, 60), np.full(18, 3)]
+        vectors = np.round(np.repeat(centers, 160, axis=0) + rng.normal(size=(8_000, 24)))
+        queries = np.round(centers[:40])
+    found, verified = searched(vectors, queries, 10, [topk.NONE] * 40)
+    assert found == [brute_top(vectors, q, 10) for q in queries]
+    assert verified < 0.5 * len(vectors) * len(queries)
 
 
 def test_urls(spark):
