@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medlake.llm import bpe, exact, langid, mixing, simhash
-from medlake.llm.common import bounded_hint, cut, row_key, small_batches
+from medlake.llm.common import bounded_hint, cut, row_key, small_batches, spare
 from medlake.llm.queries import PATTERN, RANKS
 
 # Functions sent to Python workers travel by value, wherever the driver was started.
@@ -31,9 +31,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = langid.identify(docs.select(row_key("doc_id", "text").alias("key"), "text"), model, keep=["key"])
     rejected = judged.where((F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < LEAST_SCORE))
     verdicts = cut(rejected.select("key").distinct(), "rejected")
-    marked = docs.withColumn("__llm_key", row_key("doc_id", "text"))
-    dropped = bounded_hint(verdicts.withColumnRenamed("key", "__llm_key"), 64)
-    return marked.join(dropped, "__llm_key", "left_anti").drop("__llm_key")
+    key = spare(docs, "__llm_key")
+    marked = docs.withColumn(key, row_key("doc_id", "text"))
+    dropped = bounded_hint(verdicts.withColumnRenamed("key", key), 64)
+    return marked.join(dropped, key, "left_anti").drop(key)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
