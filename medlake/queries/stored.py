@@ -11,7 +11,7 @@ from medlake.plans.durable import work_path
 from medlake.queries.catalog import ORACLES, query, table
 from medlake.queries.records import _stage_rows
 from medlake.queries.reports import _FIELDS_SQL, RAW_REPORT, clean_sql
-from medlake.sources import tables
+from medlake.sources import tables, upserts
 from medlake.streaming import jobs as streams
 
 # --- vitals: CSV source, table, CSV backup, summary ---------------------------------------------
@@ -211,8 +211,29 @@ def vector_stream(spark, sf):
     changes = table(spark, sf, "embeddings").select(
         F.floor(F.col("vec_id") / 3).cast("long").alias("id"), "embedding", F.col("vec_id").cast("long").alias("version")
     )
-    log = work_path(spark, "vector-log")
-    streams.upsert_stream(_arriving(changes, "arriving"), log, work_path(spark, "offsets")).awaitTermination()
-    return streams.read_latest(spark, log).select("id", "version", F.posexplode("embedding").alias("place", "value")).select(
+    log, offsets, folder = (work_path(spark, x) for x in ("vector-log", "offsets", "arriving"))
+    for n, part in enumerate((F.col("version") % 2 == 0, F.col("version") % 2 == 1)):
+        # Half of the batches, a compaction, and further batches.
+        changes.where(part).repartition(2).write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        streams.upsert_stream(arriving, log, offsets, buckets=16).awaitTermination()
+        if n == 0:
+            streams.compact(spark, log)
+    return _values(streams.read_latest(spark, log))
+
+
+def _values(rows: DataFrame) -> DataFrame:
+    """Every value of every vector."""
+    return rows.select("id", "version", F.posexplode("embedding").alias("place", "value")).select(
         "id", "version", F.col("place").cast("long").alias("place"), F.col("value").cast("double").alias("value")
     )
+
+
+@query("q_upsert_in_place", ORACLES["q_upsert_ties"])
+def upsert_in_place(spark, sf):
+    """The rows of q_upsert_ties from a stored table, of which an update rewrites only the buckets that it changes."""
+    version = F.when(F.col("label") % 3 != 0, F.col("label")).alias("version")
+    current = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding", version)
+    changed = F.when(F.col("id") % 4 == 0, F.col("version")).otherwise(F.col("version") - 1)
+    changes = current.where("id % 2 = 0").select("id", F.transform("embedding", lambda x: -x).alias("embedding"), changed.alias("version"))
+    return _values(upserts.create_table(current, work_path(spark, "vectors"), buckets=32).upsert(changes).read())

@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medlake.functions.text import decode_bytes
 from medlake.operators.reports import clean_reports, reject_reason, split_rejects, structure_reports
-from medlake.operators.vector_index import latest
 from medlake.plans.durable import cut
-from medlake.sources.lake import REPORT_EXTENSIONS, report_key, suffix
+from medlake.sources.lake import REPORT_EXTENSIONS, path_kind, report_key, suffix
+from medlake.sources.upserts import BUCKETS, create_table, open_table
 
 BINARY_FILE = T.StructType(
     [
@@ -65,21 +65,29 @@ def structure_stream(
 
 
 def upsert_stream(
-    vectors: DataFrame, log: str, checkpoint: str, event_time: str | None = None, delay: str = "1 hour"
+    vectors: DataFrame,
+    log: str,
+    checkpoint: str,
+    event_time: str | None = None,
+    delay: str = "1 hour",
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Append each micro-batch of vectors(id, embedding, version) to the change log.
+    """Append each micro-batch of vectors(id, embedding, version) as changes of the bucketed table ``log``.
 
-    A batch owns the directory ``batch=<id>`` and overwrites it when retried, which makes
-    the write idempotent and its cost that of the batch, not of the table. Repeated
+    The table is made if there is none. A batch owns the directory ``deltas/batch=<id>`` and overwrites it when retried, which
+    makes the write idempotent and its cost that of the batch, not of the table. Repeated
     deliveries of (id, event time) within ``delay`` are dropped when ``event_time`` is given.
     """
     if event_time is not None:
         vectors = vectors.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(
             ["id", event_time]
         )
+    spark = vectors.sparkSession
+    if path_kind(spark, log) is None:
+        create_table(spark.createDataFrame([], vectors.schema), log, buckets=buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest(batch).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        open_table(batch.sparkSession, log).append(batch, batch_id)
 
     return (
         vectors.writeStream.foreachBatch(write)
@@ -90,11 +98,10 @@ def upsert_stream(
 
 
 def read_latest(spark: SparkSession, log: str) -> DataFrame:
-    """Current vectors: the highest version of each id over all batches, of equal ones the later batch's."""
-    batches = spark.read.option("basePath", log).parquet(log)
-    return latest(batches.withColumn("batch", F.col("batch").cast("long")), ties=["batch"]).drop("batch")
+    """Current vectors: the highest version of each id, of equal ones the later batch's."""
+    return open_table(spark, log).read()
 
 
-def compact(spark: SparkSession, log: str, target: str) -> None:
-    """Write the current vectors as one batch of a new log, from which a reader may go on."""
-    read_latest(spark, log).write.mode("overwrite").parquet(f"{target}/batch=0")
+def compact(spark: SparkSession, log: str) -> None:
+    """Merge the batches so far into the buckets that they change; a reader then merges newer ones only."""
+    open_table(spark, log).compact()
