@@ -2,7 +2,8 @@
 
 Corpora never travel whole: each task keeps the k best hits of the queries it sees and
 only those leave it. Queries are shipped to every task while their number is within a
-checked bound; above it, corpus and queries meet in a grid of bounded cells.
+checked bound; above it, corpus and queries meet in bounded cells, of which those that cannot
+hold a better hit are skipped.
 """
 
 from __future__ import annotations
@@ -95,15 +96,9 @@ def top_k(
     if packed is not None:
         partial_hits = shipped_top_k(packed, corpus, queries, dim, k, measure, digits)
     else:
-        partial_hits = grid_top_k(
-            cut(queries, "queries").withColumn("leaf", F.lit(0)),
-            corpus.withColumn("leaf", F.lit(0)),
-            dim,
-            k,
-            measure,
-            digits,
-            cell_bytes,
-        )
+        from medlake.operators.tree_index import pruned_top_k  # it builds on this module
+
+        return pruned_top_k(queries, corpus, dim, k, measure, digits, vector_rows_limit(dim, cell_bytes))[0]
     return best_k(partial_hits, k)
 
 

@@ -50,7 +50,7 @@ LEAF_BLOCK = 4_096
 
 @dataclass
 class TreeIndex:
-    """``vectors(id, embedding, leaf, home)`` in order of leaves; ``leaves(leaf, n, mean, variance, radius)``."""
+    """``vectors(id, embedding, leaf, home)`` in order of leaves; ``leaves(leaf, n, mean, variance, radius, longest)``."""
 
     vectors: DataFrame
     leaves: DataFrame
@@ -94,7 +94,7 @@ def _split(dim: int, measure: str, per_leaf: int, deal: bool):
     return run
 
 
-def _nearest(rows: np.ndarray, vectors: np.ndarray, children: np.ndarray, centers: np.ndarray, spill: float):
+def _nearest(rows: np.ndarray, vectors: np.ndarray, children: np.ndarray, centers: np.ndarray, spill: float | None):
     """The child of every row, and the second best where the row is near their border (else -1)."""
     second = np.full(len(rows), -1, dtype=np.int64)
     if len(centers) > 1 and (centers == centers[0]).all():
@@ -103,7 +103,7 @@ def _nearest(rows: np.ndarray, vectors: np.ndarray, children: np.ndarray, center
     far = np.round(np.maximum((vectors**2).sum(axis=1)[:, None] - leaf_scores(centers, vectors), 0), SCORE_DIGITS)
     order = np.argsort(far, axis=1, kind="stable")
     at = np.arange(len(rows))
-    if len(centers) > 1:
+    if len(centers) > 1 and spill is not None:
         best, next_best = np.sqrt(far[at, order[:, 0]]), np.sqrt(far[at, order[:, 1]])
         close = next_best <= best * (1 + spill)
         second[close] = children[order[close, 1]]
@@ -117,7 +117,7 @@ def _by_node(centers: pa.Table, dim: int) -> dict[int, tuple[np.ndarray, np.ndar
     return {int(n): (children[nodes == n], places[nodes == n]) for n in np.unique(nodes)}
 
 
-def _descend(big: DataFrame, centers: DataFrame, dim: int, measure: str, spill: float) -> DataFrame:
+def _descend(big: DataFrame, centers: DataFrame, dim: int, measure: str, spill: float | None) -> DataFrame:
     """``big(row, node, second, n, id, embedding)`` with each row's child as its ``node``, and ``second``."""
     types = T.StructType([f for f in big.schema if f.name != "n"])
     names = types.names
@@ -153,27 +153,30 @@ def _descend(big: DataFrame, centers: DataFrame, dim: int, measure: str, spill:
 
 
 def _summaries(dim: int, measure: str):
-    """Mean, variances and radius of one leaf."""
+    """Mean, variances, radius and longest vector of one leaf."""
     lists = pa.list_(pa.float64())
-    shape = pa.schema([("leaf", pa.int64()), ("n", pa.int64()), ("mean", lists), ("variance", lists), ("radius", pa.float64())])
+    shape = pa.schema(
+        [("leaf", pa.int64()), ("n", pa.int64()), ("mean", lists), ("variance", lists), ("radius", pa.float64()), ("longest", pa.float64())]
+    )
 
     def run(table: pa.Table) -> pa.Table:
         vectors = _prepared(table["embedding"], dim, measure)
         mean = vectors.mean(axis=0)
         radius = float(np.sqrt(((vectors - mean) ** 2).sum(axis=1)).max())
         variance = ((vectors - mean) ** 2).mean(axis=0)
-        return pa.table([[table["leaf"][0].as_py()], [len(vectors)], [mean.tolist()], [variance.tolist()], [radius]], schema=shape)
+        longest = float(np.sqrt((vectors**2).sum(axis=1)).max())
+        return pa.table([[table["leaf"][0].as_py()], [len(vectors)], [mean.tolist()], [variance.tolist()], [radius], [longest]], schema=shape)
 
-    return run, "leaf long, n long, mean array<double>, variance array<double>, radius double"
+    return run, "leaf long, n long, mean array<double>, variance array<double>, radius double, longest double"
 
 
 def build_tree(
-    corpus: DataFrame, dim: int, per_leaf: int = VECTORS_PER_LEAF, measure: str = "dot", spill: float = SPILL, sample: int = SAMPLE
+    corpus: DataFrame, dim: int, per_leaf: int = VECTORS_PER_LEAF, measure: str = "dot", spill: float | None = SPILL, sample: int = SAMPLE
 ) -> TreeIndex:
     """The index of ``corpus(id, embedding)``; vectors that are null or of another dimension take no part.
 
     No leaf is home to more than ``per_leaf`` vectors, however many of them are equal. Repeated ids are indexed each, and an
-    empty corpus gives an index without leaves.
+    empty corpus gives an index without leaves. ``spill=None`` makes no copies.
     """
     if measure not in MEASURES:
         raise ValueError(f"measure must be one of {MEASURES}")
@@ -233,40 +236,30 @@ def _tail(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.vectorize(math.erfc, otypes=[float])(np.clip(x, -30, 30) / math.sqrt(2))
 
 
-def _routes(queries: DataFrame, index: TreeIndex, first: int | None, k: int, target: float, leaves: int) -> DataFrame:
-    """``(query_id, leaf, expected)`` where every query's block meets every block of leaves.
+def _meetings(queries: DataFrame, index: TreeIndex, leaves: int, choose) -> DataFrame:
+    """``(query_id, leaf, weight)`` chosen where every block of queries meets every block of leaves.
 
-    With ``first``, the best so many leaves of each block by mean; else those within reach of ``floor``, and,
-    below a target of 1, not expected to hold next to nothing.
+    ``choose(floor, middle, reach, spread, n)`` returns a mask and weights, a row per query and a column per leaf: products lie
+    around ``middle`` by ``spread`` and are at most ``reach``; ``floor`` is the score to beat, if known.
     """
     dim, measure = index.dim, index.measure
     id_type = queries.schema["query_id"].dataType
-    types = T.StructType([T.StructField("query_id", id_type), T.StructField("leaf", T.LongType()), T.StructField("expected", T.DoubleType())])
-    ignored = (1 - target) * k * (1 - KEPT) / max(1, leaves)
+    types = T.StructType([T.StructField("query_id", id_type), T.StructField("leaf", T.LongType()), T.StructField("weight", T.DoubleType())])
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.combine_chunks(), right.combine_chunks()
+        left, right = left.combine_chunks(), right.combine_chunks().sort_by("leaf")
         asked = _prepared(left["embedding"], dim, measure)
         means, variances = (np.array(right[c].to_pylist(), dtype=np.float64).reshape(-1, dim) for c in ("mean", "variance"))
-        n, radius = right["n"].to_numpy(), right["radius"].to_numpy()
+        length = np.sqrt((asked**2).sum(axis=1))[:, None]
         middle = asked @ means.T
-        if first is not None:
-            take = np.zeros_like(middle, dtype=bool)
-            best = np.argsort(-middle, axis=1, kind="stable")[:, :first]
-            np.put_along_axis(take, best, True, axis=1)
-            expected = middle
-        else:
-            floor = left["floor"].to_numpy(zero_copy_only=False).astype(float)
-            floor = np.where(np.isnan(floor), -np.inf, floor)[:, None]
-            reach = middle + np.sqrt((asked**2).sum(axis=1))[:, None] * radius * (1 + 1e-9) + 1e-6
-            spread = np.sqrt(np.maximum((asked**2) @ variances.T, 1e-24))
-            expected = n * _tail((floor - middle) / spread)
-            take = reach >= floor
-            if target < 1:
-                take &= expected >= ignored
+        reach = np.minimum(middle + length * right["radius"].to_numpy(), length * right["longest"].to_numpy())
+        spread = np.sqrt(np.maximum((asked**2) @ variances.T, 1e-24))
+        floor = left["floor"].to_numpy(zero_copy_only=False).astype(float)
+        floor = np.where(np.isnan(floor), -np.inf, floor)[:, None]
+        take, weight = choose(floor, middle, reach + np.abs(reach) * 1e-9 + 1e-12, spread, right["n"].to_numpy())
         q, leaf = np.nonzero(take)
-        columns = [left["query_id"].combine_chunks().take(pa.array(q)), right["leaf"].combine_chunks().take(pa.array(leaf)), expected[q, leaf]]
-        return pa.table(columns, names=["query_id", "leaf", "expected"])
+        columns = [left["query_id"].combine_chunks().take(pa.array(q)), right["leaf"].combine_chunks().take(pa.array(leaf)), weight[q, leaf]]
+        return pa.table(columns, names=["query_id", "leaf", "weight"])
 
     m = queries.count()
     blocks, shelves = max(1, -(-m // QUERY_BLOCK)), max(1, -(-leaves // LEAF_BLOCK))
@@ -277,6 +270,17 @@ def _routes(queries: DataFrame, index: TreeIndex, first: int | None, k: int, tar
     return left.groupBy("block", "shelf").cogroup(right.groupBy("block", "shelf")).applyInArrow(meet, types)
 
 
+def _highest(weight: np.ndarray, take: np.ndarray, most: int) -> np.ndarray:
+    """``take`` with at most the ``most`` highest weights of each row."""
+    if weight.shape[1] <= most:
+        return take
+    weight = np.where(take, weight, -np.inf)
+    best = np.argsort(-weight, axis=1, kind="stable")[:, :most]
+    out = np.zeros_like(take)
+    np.put_along_axis(out, best, True, axis=1)
+    return out & take
+
+
 def _scored(queries: DataFrame, routes: DataFrame, index: TreeIndex, k: int, digits: int) -> DataFrame:
     """Partial hits of the queries in the leaves that ``routes(query_id, leaf)`` names for them.
 
@@ -310,6 +314,14 @@ def _scored(queries: DataFrame, routes: DataFrame, index: TreeIndex, k: int, dig
     return held.groupBy("leaf", "block").cogroup(asked.groupBy("leaf", "block")).applyInArrow(meet, spark_schema)
 
 
+def _floors(queries: DataFrame, hits: DataFrame | None, k: int) -> DataFrame:
+    """``queries`` with ``floor``, the k-th best score among ``hits``, null where there are fewer."""
+    if hits is None:
+        return queries.withColumn("floor", F.lit(None).cast("double"))
+    floors = best_k(hits, k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("distance")).alias("floor"))
+    return queries.join(floors, "query_id", "left")
+
+
 def search_tree(
     queries: DataFrame, index: TreeIndex, k: int = TOP_K, target: float = TARGET, first: int = FIRST, digits: int = SCORE_DIGITS
 ) -> tuple[DataFrame, DataFrame]:
@@ -318,27 +330,86 @@ def search_tree(
     ``target`` is the share of the true hits to be expected among those found; 1 gives the exact result. Query ids are unique; rows
     of the corpus alike in id and score are one hit.
     """
+    if target >= 1:
+        return exact_search(queries, index, k, first, digits)
     queries = cut(conforming(queries.select("query_id", "embedding"), index.dim), "tree-queries")
     leaves = index.leaves.count()
-    by_mean = Window.partitionBy("query_id").orderBy(F.desc("expected"), "leaf")
-    begun = _routes(queries, index, first, k, target, leaves).withColumn("nth", F.row_number().over(by_mean))
+
+    def best_means(floor, middle, reach, spread, n):
+        return _highest(middle, np.ones_like(middle, dtype=bool), first), middle
+
+    by_weight = Window.partitionBy("query_id").orderBy(F.desc("weight"), "leaf")
+    begun = _meetings(_floors(queries, None, k), index, leaves, best_means).withColumn("nth", F.row_number().over(by_weight))
     begun = cut(begun.where(F.col("nth") <= first).select("query_id", "leaf"), "tree-begun")
     hits = cut(_scored(queries, begun, index, k, digits).dropDuplicates(["query_id", "id", "distance"]), "tree-hits")
-    floors = best_k(hits, k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("distance")).alias("floor"))
-    started = queries.join(floors, "query_id", "left")
-    more = _routes(started, index, None, k, target, leaves).join(begun, ["query_id", "leaf"], "left_anti")
-    if target < 1:
-        # Leaves of the highest expectation first, until what is left out is within the allowance.
-        all_of = Window.partitionBy("query_id")
-        before = F.coalesce(F.sum("expected").over(all_of.orderBy(F.desc("expected"), "leaf").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-        left_out = F.sum("expected").over(all_of) - before
-        more = more.withColumn("left_out", left_out).where(F.col("left_out") > (1 - target) * k * KEPT)
+    ignored, slack = (1 - target) * k * (1 - KEPT) / max(1, leaves), 10.0**-digits
+
+    def expected_hits(floor, middle, reach, spread, n):
+        expected = n * _tail((floor - middle) / spread)
+        return (reach >= floor - slack) & (expected >= ignored), expected
+
+    more = _meetings(_floors(queries, hits, k), index, leaves, expected_hits).join(begun, ["query_id", "leaf"], "left_anti")
+    # Leaves of the highest expectation first, until what is left out is within the allowance.
+    before = F.sum("weight").over(by_weight.rowsBetween(Window.unboundedPreceding, -1))
+    left_out = F.sum("weight").over(Window.partitionBy("query_id")) - F.coalesce(before, F.lit(0.0))
+    more = more.withColumn("left_out", left_out).where(F.col("left_out") > (1 - target) * k * KEPT)
     more = cut(more.select("query_id", "leaf"), "tree-more")
     rest = _scored(queries, more, index, k, digits)
     found = best_k(hits.unionByName(rest).dropDuplicates(["query_id", "id", "distance"]), k)
     return found, begun.unionByName(more)
 
 
+def exact_search(
+    queries: DataFrame, index: TreeIndex, k: int = TOP_K, first: int = FIRST, digits: int = SCORE_DIGITS
+) -> tuple[DataFrame, DataFrame]:
+    """Like ``search_tree`` with the exact result: leaves by what they can reach at most, from round to round.
+
+    A round searches the next leaves of every query, four times as many as the one before, as long as they can reach
+    the k-th best score that the rounds before have found.
+    """
+    queries = cut(conforming(queries.select("query_id", "embedding"), index.dim), "tree-queries")
+    leaves, slack = index.leaves.count(), 10.0**-digits
+    begin, step, hits, searched = 0, first, None, []
+    copied = not index.vectors.where(~F.col("home")).isEmpty()
+    by_weight = Window.partitionBy("query_id").orderBy(F.desc("weight"), "leaf")
+    while begin < leaves:
+        end = begin + step
+
+        def in_reach(floor, middle, reach, spread, n, end=end):
+            return _highest(reach, reach >= floor - slack, end), reach
+
+        near = _meetings(_floors(queries, hits, k), index, leaves, in_reach).withColumn("nth", F.row_number().over(by_weight))
+        near = cut(near.where((F.col("nth") > begin) & (F.col("nth") <= end)).select("query_id", "leaf"), "tree-near")
+        if near.isEmpty():
+            break
+        found = _scored(queries, near, index, k, digits)
+        merged = found if hits is None else hits.unionByName(found)
+        if copied:
+            merged = merged.dropDuplicates(["query_id", "id", "distance"])
+        hits = cut(best_k(merged, k).drop("rank"), "tree-hits")
+        searched.append(near)
+        begin, step = end, step * 4
+    if hits is None:
+        none = _scored(queries, index.leaves.limit(0).select("leaf").join(queries.select("query_id"), F.lit(False)), index, k, digits)
+        return best_k(none, k), queries.select("query_id", F.lit(0).cast("long").alias("leaf")).limit(0)
+    every = searched[0]
+    for one in searched[1:]:
+        every = every.unionByName(one)
+    return best_k(hits, k), every
+
+
+def pruned_top_k(
+    queries: DataFrame, corpus: DataFrame, dim: int, k: int, measure: str, digits: int, block_rows: int, first: int = FIRST
+) -> tuple[DataFrame, DataFrame, TreeIndex]:
+    """Exact top-k where neither side can be shipped: hits, the cells ``(query_id, leaf)`` that met, and the blocks.
+
+    The corpus is dealt into blocks of nearby vectors, at most ``block_rows`` each; a block that cannot reach
+    the scores that a query has already is not met.
+    """
+    index = build_tree(corpus, dim, block_rows, measure, spill=None)
+    return *exact_search(queries, index, k, first, digits), index
+
+
 def share_searched(searched: DataFrame, index: TreeIndex) -> DataFrame:
     """Per query: vectors in the leaves searched, as a share of all."""
     total = index.vectors.where("home").count()

@@ -99,3 +99,15 @@ def test_odd_vectors_and_empty_tables(spark):
     empty = build_tree(spark.createDataFrame([], schema), 2)
     assert empty.leaves.count() == 0 and search_tree(queries, empty, 2)[0].count() == 0
     assert search_tree(queries.limit(0), index, 2)[0].count() == 0
+
+
+@pytest.mark.parametrize("measure", ["dot", "cosine"])
+def test_blocks_out_of_reach_are_skipped(clustered, measure):
+    corpus, queries, _ = clustered
+    exact = pairs(top_k(queries, corpus, DIM, 10, measure))
+    found, met, index = tree_index.pruned_top_k(queries, corpus, DIM, 10, measure, 9, 100)
+    assert pairs(found) == exact
+    cells = index.leaves.count() * queries.count()
+    assert 0 < met.count() < 0.6 * cells and met.count() == met.distinct().count()
+    # The same through top_k where the queries may not be shipped.
+    assert pairs(top_k(queries, corpus, DIM, 10, measure, max_queries=5, cell_bytes=8 * DIM * 100)) == exact
