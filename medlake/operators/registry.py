@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from medlake.plans.droplist import keep_first
 from medlake.plans.skew import skew_safe_join
 
 REGISTRY_COLUMNS = [
@@ -47,40 +48,25 @@ def metadata_field(name: str) -> Column:
 def drop_copies(df: DataFrame, key: Sequence[str], keep_first_by: str) -> DataFrame:
     """One row per key, the one with the smallest ``keep_first_by``; null comes last, ties go by the row's hash.
 
-    ``min_by`` reduces each task's copies before the shuffle: a group holding a third of
-    the table never gathers in one place.
+    Null is a key like any other. Rows that stay are not moved (``plans.droplist``).
     """
     others = [c for c in df.columns if c not in key]
-    rank = F.struct(F.col(keep_first_by).isNull(), keep_first_by, F.xxhash64(*others))
-    return (
-        df.groupBy(*key)
-        .agg(F.min_by(F.struct(*others), rank).alias("__row"))
-        .select(*key, *[F.col(f"__row.{c}").alias(c) for c in others])
-        .select(*df.columns)
-    )
+    return keep_first(df, F.struct(*key), _first(keep_first_by, others))
+
+
+def _first(keep_first_by: str, others: Sequence[str]) -> list[Column]:
+    return [F.col(keep_first_by).isNull().alias("none"), F.col(keep_first_by).alias("by"), F.xxhash64(*others).alias("row")]
 
 
 def drop_content_copies(df: DataFrame, content: str, keep_first_by: str) -> DataFrame:
-    """One row of each content, the one with the smallest ``keep_first_by`` (null last).
+    """One row of each content, the one with the smallest ``keep_first_by`` (null last), ties by the row's hash.
 
-    Ids need not be unique. (fingerprint, id) pairs are counted and grouped first; whole rows are then
-    chosen by both, and they move unless the list of survivors can be broadcast. Of rows that repeat
-    the surviving pair, which only a second pass over these few can tell apart, one stays.
+    Ids need not be unique. Fingerprints, ids and the places of rows are compared; contents stay where they
+    are and are read once more by the scan that leaves copies out (``plans.droplist``).
     """
-    marked = df.withColumn("__print", F.sha2(F.coalesce(F.concat(F.lit("="), content), F.lit("~")), 256))
-    rank = F.struct(F.col(keep_first_by).isNull(), keep_first_by, "__n")
-    first = (
-        marked.groupBy("__print", keep_first_by)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .groupBy("__print")
-        .agg(F.min(rank).alias("__first"))
-        .select(F.col("__print").alias("__of"), f"__first.{keep_first_by}", "__first.__n")
-        .withColumnRenamed(keep_first_by, "__id")
-    )
-    same = (F.col("__print") == F.col("__of")) & F.col(keep_first_by).eqNullSafe(F.col("__id"))
-    once = marked.join(first.where("__n = 1"), same, "left_semi")
-    several = marked.join(first.where("__n > 1"), same, "left_semi")
-    return once.unionByName(several.dropDuplicates(["__print"])).drop("__print")
+    digest = F.sha2(F.coalesce(F.concat(F.lit("="), F.col(content).cast("string")), F.lit("~")), 256)
+    others = [c for c in df.columns if c != content]
+    return keep_first(df, digest, _first(keep_first_by, others))
 
 
 def patient_view(
