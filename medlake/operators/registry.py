@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medlake.plans.droplist import keep_first
-from medlake.plans.skew import skew_safe_join
+from medlake.plans.skew import skew_safe_joins
 
 REGISTRY_COLUMNS = [
     "document_id",
@@ -75,12 +75,11 @@ def patient_view(
     """``records`` joined onto their patient rows; a patient may own a third of the records.
 
     The first frame of ``records`` repeats the key (reports); the others hold one row per
-    key (vitals, files) and are joined like ``patients``.
+    key (vitals, files) and are joined like ``patients``. Hot patients are found once, and every side is dealt by
+    patient once: the joins after the first need no further exchange.
     """
     view, *rest = records
-    for other in [patients, *rest]:
-        view = skew_safe_join(view, other, key, "left")
-    return view
+    return skew_safe_joins(view, [patients, *rest], key, "left")
 
 
 def query_log(answers: DataFrame, timestamp: Column, latency_ms: Column, feedback: Column) -> DataFrame:

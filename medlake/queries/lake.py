@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medlake.plans.durable import work_path
 from medlake.queries.catalog import query, table
-from medlake.sources import lake, tables
+from medlake.sources import lake, objects, tables
 
 # Object keys of both engines: pages spread over layers, folders and extensions.
 KEY = """concat(CASE page_id % 4 WHEN 0 THEN 'bronze/images/' WHEN 1 THEN 'bronze/reports/'
@@ -219,6 +220,73 @@ def manifest(spark, sf):
     return rows.select("shard", "num_reports", ids.alias("report_ids"))
 
 
+@query(
+    "q_manifest_index",
+    """WITH numbered AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number FROM documents)
+    SELECT CAST(number // 150 AS BIGINT) AS part, min(doc_id) AS first_id, max(doc_id) AS last_id, count(*) AS num_reports
+    FROM numbered GROUP BY 1""",
+)
+def manifest_index(spark, sf):
+    """The index of a manifest in two levels, of 150 ids a part here."""
+    docs = table(spark, sf, "documents").select("doc_id")
+    return tables.write_manifest(docs, work_path(spark, "manifest"), "doc_id", 150).drop("generated_at")
+
+
+@query(
+    "q_manifest_entries",
+    """SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) - 1 AS number,
+        CAST((row_number() OVER (ORDER BY doc_id) - 1) // 150 AS BIGINT) AS part FROM documents""",
+)
+def manifest_entries(spark, sf):
+    path = work_path(spark, "manifest")
+    tables.write_manifest(table(spark, sf, "documents").select("doc_id"), path, "doc_id", 150)
+    return spark.read.parquet(f"{path}/entries")
+
+
+_INGESTED = "'bronze/reports/' || source || '/' || doc_id || '.txt' AS object_key"
+
+
+@query(
+    "q_ingest_directory",
+    f"""SELECT {_INGESTED}, octet_length(encode(text)) AS length, md5(text) AS content_md5 FROM documents""",
+)
+def ingest_directory(spark, sf):
+    """Every text as a file of its own, the folder copied into bronze, and bronze read back."""
+    docs = table(spark, sf, "documents").select(F.expr("concat(source, '/', doc_id, '.txt')").alias("object_key"), F.col("text").alias("content"))
+    folder, bronze = work_path(spark, "files"), work_path(spark, "bronze")
+    objects.put_objects(docs, folder)
+    lake.ingest_directory(spark, folder, bronze, "bronze/reports", "reports", [".txt"])
+    return lake.read_bronze(spark, bronze).select("object_key", "length", F.md5("content").alias("content_md5"))
+
+
+@query(
+    "q_object_sink",
+    """SELECT source || '/' || doc_id || '.txt' AS object_key, octet_length(encode(text)) AS length, CAST(NULL AS VARCHAR) AS error
+       FROM documents""",
+)
+def object_sink(spark, sf):
+    """What the sink tells of every object that it wrote."""
+    docs = table(spark, sf, "documents").select(F.expr("concat(source, '/', doc_id, '.txt')").alias("object_key"), F.col("text").alias("content"))
+    return objects.put_objects(docs, work_path(spark, "files"))
+
+
+@query(
+    "q_ingest_files",
+    """SELECT 'nation-' || n_nationkey AS name, n_nationkey % 5 <> 4 AS found,
+              CASE WHEN n_nationkey % 5 <> 4 THEN octet_length(encode(n_name)) END AS length FROM nation""",
+)
+def ingest_files(spark, sf):
+    """A mapping of single files, a fifth of them missing, copied into bronze."""
+    folder, bronze = work_path(spark, "files"), work_path(spark, "bronze")
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    there = nations.where("n_nationkey % 5 <> 4").select(F.expr("concat('n', n_nationkey, '.txt')").alias("object_key"), F.col("n_name").alias("content"))
+    objects.put_objects(there, folder)
+    mapping = [(f"nation-{r[0]}", f"{folder}/n{r[0]}.txt", f"bronze/nations/{r[0]}.txt") for r in nations.collect()]
+    status = lake.ingest_files(spark, mapping, bronze, "nations")
+    stored = lake.read_bronze(spark, bronze).select("object_key", "length")
+    return status.drop("length").join(stored, "object_key", "left").select("name", F.col("length").isNotNull().alias("found"), "length")
+
+
 @query(
     "q_format_size",
     """WITH s AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) *

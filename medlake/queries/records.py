@@ -10,6 +10,7 @@ from medlake.plans.durable import cut, work_path
 from medlake.queries.catalog import query, table
 from medlake.queries.quality import RANGES
 from medlake.queries.reports import clean_sql
+from medlake.sources import objects
 
 
 @query(
@@ -300,6 +301,23 @@ def image_tensors(spark, sf):
     )
 
 
+@query(
+    "q_image_files",
+    f"""WITH {_IMAGES} SELECT replace(path, '.png', '.bmp') AS path, CAST(54 + 192 * h AS BIGINT) AS file_size,
+        'RGB' AS mode, h = 64 AS is_valid, CASE WHEN h = 40 THEN 'Image too small: 64x40 (minimum 64x64)' END AS error_message
+        FROM img WHERE NOT lost""",
+)
+def image_files(spark, sf):
+    """Every image as a bitmap file under its own key, read back and validated."""
+    folder = work_path(spark, "image-files")
+    drawn = cut(derived_images(spark, sf), "drawn")
+    made = drawn.select(F.regexp_replace("path", "[.]png$", ".bmp").alias("object_key"), objects.bitmap().alias("content"))
+    objects.put_objects(made.where("content is not null"), folder)
+    found = images.validate_images(images.read_images(spark, folder))
+    path = F.regexp_extract("path", "(bronze/images/.*)$", 1)
+    return found.select(path.alias("path"), "file_size", "mode", "is_valid", "error_message")
+
+
 @query(
     "q_image_summary",
     f"""WITH {_IMAGES} SELECT count(*) AS total_images, count(*) FILTER (WHERE NOT lost AND h = 64) AS processed_successfully,

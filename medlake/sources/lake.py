@@ -255,6 +255,9 @@ def ingest_files(
         stored = read_bronze(spark, bronze).where(F.col("category") == category).join(manifest, "object_key")
         objects = stored.where(F.col("source_path").isin(present)).select(F.col("source_path").alias("path"), "length")
     else:
+        # The category is replaced by nothing.
+        old = hadoop.Path(f"{bronze}/category={category}")
+        old.getFileSystem(conf).delete(old, True)
         objects = spark.createDataFrame([], "path string, length bigint")
     return ingest_status(manifest.drop("path"), objects.distinct())
 

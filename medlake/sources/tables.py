@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medlake.operators.quality import to_number
+from medlake.plans.durable import cut
 from medlake.sources.lake import path_kind, report_key
 
 VITALS_COLUMNS = {
@@ -23,6 +24,8 @@ VITALS_COLUMNS = {
     "image_file": "string",
     "report_file": "string",
 }
+#: Ids that one row of a manifest's index stands for.
+MANIFEST_PART = 100_000
 # Cell texts read as missing.
 MISSING_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -120,6 +123,35 @@ def manifest(
     )
 
 
+def write_manifest(ids: DataFrame, path: str, id_col: str = "report_id", part_rows: int = MANIFEST_PART) -> DataFrame:
+    """A manifest of any size in two levels; returns the index ``(part, first_id, last_id, num_reports, generated_at)``.
+
+    Ids are numbered in order over range-sorted tasks; ``entries`` holds a row per id with its number and part, sorted, so that a lookup
+    opens the files of one part; ``index`` has a row per ``part_rows`` ids. No list is made. A null id comes first; repeated ids are numbered each.
+    """
+    ordered = ids.select(F.col(id_col).alias("id")).repartitionByRange("id").sortWithinPartitions("id")
+    laid = cut(ordered.select("id", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")), "numbered")
+    # One row per task that sorted: their number does not follow that of the ids.
+    runs = laid.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least"))
+    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = runs.select("task", (F.coalesce(before, F.lit(0)) - F.col("least")).alias("shift"))
+    number = F.col("at") + F.col("shift")
+    numbered = laid.join(F.broadcast(shifts), "task").select("id", number.alias("number"), F.floor(number / part_rows).alias("part"))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/entries")
+    entries = ids.sparkSession.read.parquet(f"{path}/entries")
+    index = entries.groupBy("part").agg(
+        F.min_by("id", "number").alias("first_id"), F.max_by("id", "number").alias("last_id"), F.count(F.lit(1)).alias("num_reports")
+    )
+    index = index.withColumn("generated_at", F.current_timestamp())
+    index.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/index")
+    return ids.sparkSession.read.parquet(f"{path}/index")
+
+
+def read_part(spark: SparkSession, path: str, part: int) -> DataFrame:
+    """The ids of one part in order, from the files that hold it."""
+    return spark.read.parquet(f"{path}/entries").where(F.col("part") == part).orderBy("number").select("number", "id")
+
+
 def hash_shard(id_col: str, digits: int) -> Column:
     """16**digits shards of equal expected size."""
     return F.substring(F.md5(F.col(id_col).cast("string")), 1, digits)
