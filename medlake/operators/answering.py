@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -118,8 +121,30 @@ def extractive_answer(top_text: Column) -> Column:
     )
 
 
-def generate(df: DataFrame, generate_fn: GenerateFn, batch_size: int = 8) -> DataFrame:
-    """Append ``answer`` from a batch text model fed with the ``prompt`` column."""
+@dataclass(frozen=True)
+class GenerationSettings:
+    """What a text model is asked to keep to."""
+
+    # Generation defaults.
+    temperature: float = 0.2
+    max_output_tokens: int = 2048
+
+
+def _with_settings(generate_fn: GenerateFn, settings: GenerationSettings) -> GenerateFn:
+    """``generate_fn`` of prompts alone; one that takes a second argument is given the settings."""
+    places = [p for p in signature(generate_fn).parameters.values() if p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD)]
+    return partial(_call, generate_fn, settings) if len(places) > 1 else generate_fn
+
+
+def _call(generate_fn, settings: GenerationSettings, prompts: list[str]) -> list[str]:
+    return generate_fn(prompts, settings)
+
+
+def generate(
+    df: DataFrame, generate_fn: GenerateFn, batch_size: int = 8, settings: GenerationSettings = GenerationSettings()
+) -> DataFrame:
+    """Append ``answer`` from a batch text model fed with the ``prompt`` column, and with ``settings`` if it takes them."""
+    generate_fn = _with_settings(generate_fn, settings)
     schema = T.StructType(df.schema.fields + [T.StructField("answer", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,6 +172,7 @@ def answer_queries(
     generate_fn: GenerateFn | None = None,
     template: str = PROMPT,
     disclaimer: str = DISCLAIMER,
+    settings: GenerationSettings = GenerationSettings(),
     **search_options,
 ) -> DataFrame:
     """``queries(query_id, query, embedding)`` -> answer records, one per query.
@@ -165,16 +191,17 @@ def answer_queries(
         generate_fn,
         template,
         disclaimer,
+        settings,
     )
 
 
 def answer_text(
-    query: str, context: str, generate_fn: GenerateFn, template: str = PROMPT
+    query: str, context: str, generate_fn: GenerateFn, template: str = PROMPT, settings: GenerationSettings = GenerationSettings()
 ) -> str:
     """One question with a given context, outside any job."""
     prompt = template.replace("{context}", context, 1)
     at = prompt.rindex("{query}")
-    return generate_fn([prompt[:at] + query + prompt[at + len("{query}") :]])[0]
+    return _with_settings(generate_fn, settings)([prompt[:at] + query + prompt[at + len("{query}") :]])[0]
 
 
 def answer_hits(
@@ -186,6 +213,7 @@ def answer_hits(
     generate_fn: GenerateFn | None = None,
     template: str = PROMPT,
     disclaimer: str = DISCLAIMER,
+    settings: GenerationSettings = GenerationSettings(),
 ) -> DataFrame:
     sourced = attach_sources(hits, registry, max_hits)
     ready = with_contexts(queries, build_context(sourced, max_chars)).withColumn(
@@ -194,7 +222,7 @@ def answer_hits(
     if generate_fn is None:
         ready = ready.withColumn("answer", extractive_answer(F.col("top_text")))
     else:
-        ready = generate(ready, generate_fn)
+        ready = generate(ready, generate_fn, settings=settings)
     empty = F.array().cast(ready.schema["sources"].dataType)
     return ready.select(
         "query_id",

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medlake.functions.text import decode_bytes
 from medlake.operators.reports import clean_reports, reject_reason, split_rejects, structure_reports
-from medlake.plans.durable import cut
+from medlake.plans.durable import remove, work_path
 from medlake.sources.lake import REPORT_EXTENSIONS, path_kind, report_key, suffix
 from medlake.sources.upserts import BUCKETS, create_table, open_table
 
@@ -49,12 +49,15 @@ def structure_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         cleaned = clean_reports(batch).withColumn("reason", reject_reason(F.col("raw_text")))
-        cleaned = cut(cleaned.drop("raw_text"), "cleaned")
+        work = work_path(batch.sparkSession, "cleaned")
+        cleaned.drop("raw_text").write.parquet(work)
+        cleaned = batch.sparkSession.read.parquet(work)
         structured = structure_reports(cleaned.drop("reason"))
         structured = structured.withColumn("report_key", report_key(F.col("path")))
         structured.write.mode("overwrite").parquet(f"{silver}/batch={batch_id}")
         _, failed = split_rejects(cleaned)
         failed.select("path", "reason", "clean_text").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        remove(batch.sparkSession, work)
 
     return (
         reports.writeStream.foreachBatch(write)

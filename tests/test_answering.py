@@ -106,3 +106,15 @@ def test_single_questions(spark):
     assert len(embed_text("lung")) == 768
     said = answering.answer_text("why?", "because {query}", lambda p: [p[0].split("Context:\n")[1]])
     assert said == "because {query}\n\nQuestion: why?\nAnswer:"
+
+
+def test_generation_settings_reach_hooks_that_take_them(spark):
+    from medlake.operators.answering import GenerationSettings, answer_text, generate
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "query_id int, prompt string")
+    told = lambda prompts, settings: [f"{p} {settings.temperature} {settings.max_output_tokens}" for p in prompts]
+    assert sorted(r.answer for r in generate(df, told).collect()) == ["a 0.2 2048", "b 0.2 2048"]
+    cold = GenerationSettings(0.0, 10)
+    assert sorted(r.answer for r in generate(df, told, settings=cold).collect()) == ["a 0.0 10", "b 0.0 10"]
+    assert answer_text("q", "c", told, "{context}{query}", cold) == "cq 0.0 10"
+    assert sorted(r.answer for r in generate(df, lambda prompts: prompts).collect()) == ["a", "b"]
