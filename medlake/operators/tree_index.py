@@ -236,8 +236,8 @@ def _tail(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.vectorize(math.erfc, otypes=[float])(np.clip(x, -30, 30) / math.sqrt(2))
 
 
-def _meetings(queries: DataFrame, index: TreeIndex, leaves: int, choose) -> DataFrame:
-    """``(query_id, leaf, weight)`` chosen where every block of queries meets every block of leaves.
+def _meetings(queries: DataFrame, m: int, index: TreeIndex, leaves: int, choose) -> DataFrame:
+    """``(query_id, leaf, weight)`` chosen where every block of the ``m`` queries meets every block of leaves.
 
     ``choose(floor, middle, reach, spread, n)`` returns a mask and weights, a row per query and a column per leaf: products lie
     around ``middle`` by ``spread`` and are at most ``reach``; ``floor`` is the score to beat, if known.
@@ -261,7 +261,6 @@ def _meetings(queries: DataFrame, index: TreeIndex, leaves: int, choose) -> Data
         columns = [left["query_id"].combine_chunks().take(pa.array(q)), right["leaf"].combine_chunks().take(pa.array(leaf)), weight[q, leaf]]
         return pa.table(columns, names=["query_id", "leaf", "weight"])
 
-    m = queries.count()
     blocks, shelves = max(1, -(-m // QUERY_BLOCK)), max(1, -(-leaves // LEAF_BLOCK))
     left = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     left = left.withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))))
@@ -294,7 +293,9 @@ def _scored(queries: DataFrame, routes: DataFrame, index: TreeIndex, k: int, dig
     listed = [r["leaf"] for r in wanted.select("leaf").limit(MAX_LEAF_FILTER + 1).collect()]
     if len(listed) <= MAX_LEAF_FILTER:
         vectors = vectors.where(F.col("leaf").isin(listed)) if listed else vectors.limit(0)
-    side = broadcast_if_small(wanted, "leaf")
+        side = F.broadcast(wanted)  # as many rows as listed
+    else:
+        side = broadcast_if_small(wanted, "leaf")
     block = F.pmod(F.xxhash64("query_id"), F.col("blocks"))
     asked = routes.join(side, "leaf").withColumn("block", block).join(queries.select("query_id", "embedding"), "query_id")
     asked = asked.select("leaf", "block", "query_id", "embedding")
@@ -333,13 +334,13 @@ def search_tree(
     if target >= 1:
         return exact_search(queries, index, k, first, digits)
     queries = cut(conforming(queries.select("query_id", "embedding"), index.dim), "tree-queries")
-    leaves = index.leaves.count()
+    m, leaves = queries.count(), index.leaves.count()
 
     def best_means(floor, middle, reach, spread, n):
         return _highest(middle, np.ones_like(middle, dtype=bool), first), middle
 
     by_weight = Window.partitionBy("query_id").orderBy(F.desc("weight"), "leaf")
-    begun = _meetings(_floors(queries, None, k), index, leaves, best_means).withColumn("nth", F.row_number().over(by_weight))
+    begun = _meetings(_floors(queries, None, k), m, index, leaves, best_means).withColumn("nth", F.row_number().over(by_weight))
     begun = cut(begun.where(F.col("nth") <= first).select("query_id", "leaf"), "tree-begun")
     hits = cut(_scored(queries, begun, index, k, digits).dropDuplicates(["query_id", "id", "distance"]), "tree-hits")
     ignored, slack = (1 - target) * k * (1 - KEPT) / max(1, leaves), 10.0**-digits
@@ -348,7 +349,7 @@ def search_tree(
         expected = n * _tail((floor - middle) / spread)
         return (reach >= floor - slack) & (expected >= ignored), expected
 
-    more = _meetings(_floors(queries, hits, k), index, leaves, expected_hits).join(begun, ["query_id", "leaf"], "left_anti")
+    more = _meetings(_floors(queries, hits, k), m, index, leaves, expected_hits).join(begun, ["query_id", "leaf"], "left_anti")
     # Leaves of the highest expectation first, until what is left out is within the allowance.
     before = F.sum("weight").over(by_weight.rowsBetween(Window.unboundedPreceding, -1))
     left_out = F.sum("weight").over(Window.partitionBy("query_id")) - F.coalesce(before, F.lit(0.0))
@@ -368,7 +369,7 @@ def exact_search(
     the k-th best score that the rounds before have found.
     """
     queries = cut(conforming(queries.select("query_id", "embedding"), index.dim), "tree-queries")
-    leaves, slack = index.leaves.count(), 10.0**-digits
+    m, leaves, slack = queries.count(), index.leaves.count(), 10.0**-digits
     begin, step, hits, searched = 0, first, None, []
     copied = not index.vectors.where(~F.col("home")).isEmpty()
     by_weight = Window.partitionBy("query_id").orderBy(F.desc("weight"), "leaf")
@@ -378,7 +379,7 @@ def exact_search(
         def in_reach(floor, middle, reach, spread, n, end=end):
             return _highest(reach, reach >= floor - slack, end), reach
 
-        near = _meetings(_floors(queries, hits, k), index, leaves, in_reach).withColumn("nth", F.row_number().over(by_weight))
+        near = _meetings(_floors(queries, hits, k), m, index, leaves, in_reach).withColumn("nth", F.row_number().over(by_weight))
         near = cut(near.where((F.col("nth") > begin) & (F.col("nth") <= end)).select("query_id", "leaf"), "tree-near")
         if near.isEmpty():
             break

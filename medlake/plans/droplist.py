@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.classic.column import Column as ClassicColumn
 
+from medlake.plans.bounded import MAX_BROADCAST_BYTES
 from medlake.plans.durable import cut
 from medlake.plans.skew import skew_safe_join
 
 #: Rows that one cascade drops, about: 9 bits each in the first filter, which every task holds.
 GROUP_DROPS = 4_000_000
 MISTAKES = 0.02
+#: What a group with copies weighs in a broadcast: its value, the address that stays and the order.
+GROUP_BYTES = 512
 ADDRESS = ["__file", "__row"]
 
 
@@ -28,16 +31,24 @@ def _address() -> list[Column]:
     return [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
 
 
+def _scans(plan) -> list[str]:
+    """Names of a plan's nodes."""
+    below = plan.children()
+    return [plan.nodeName(), *(n for i in range(below.size()) for n in _scans(below.apply(i)))]
+
+
 def addressed(df: DataFrame) -> DataFrame:
-    """``df``, or what it holds written once, so that every row has a file and a position of its own."""
+    """``df``, or what it holds written once, so that every row has a file and a position of its own.
+
+    Projections and filters of one table's files leave a row its address; anything else could repeat it.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    plain = plan.deterministic() and set(_scans(plan)) <= {"Project", "Filter", "LogicalRelation"}
     try:
-        rows = df.select(*_address())
-        total, distinct = rows.count(), rows.distinct().count()
-        if total == distinct:
-            return df
+        df.select(*_address())
     except AnalysisException:
-        pass  # not read from Parquet files as it is
-    return cut(df, "addressed")
+        return cut(df, "addressed")  # not read from Parquet files as it is
+    return df if plain else cut(df, "addressed")
 
 
 def _place(seed: int) -> Column:
@@ -65,15 +76,16 @@ def _filter_of(values: DataFrame, level: int, n: int) -> DataFrame:
     return spark.createDataFrame([(bytearray(out.toByteArray()),)], "bits binary")
 
 
-def _cascade(verdicts: DataFrame) -> list[DataFrame]:
-    """Filters that tell the rows ``h`` with ``drop`` from those without, level by level."""
+def _cascade(verdicts: DataFrame, n: int | None = None) -> list[DataFrame]:
+    """Filters that tell the rows ``h`` with ``drop``, ``n`` of them, from those without, level by level."""
     filters: list[DataFrame] = []
+    n = verdicts.where("drop").count() if n is None else n
     side, rest = True, {True: verdicts.where("drop").select("h"), False: verdicts.where("not drop").select("h")}
-    while (n := rest[side].count()) > 0:
+    while n:
         filters.append(_filter_of(rest[side], len(filters), n))
         other = not side
         rest[other] = cut(rest[other].where(_reported(filters[-1], len(filters) - 1, F.col("h"))), "mistaken")
-        side = other
+        side, n = other, rest[other].count()
     return filters
 
 
@@ -103,11 +115,12 @@ def without(df: DataFrame, drops: DataFrame, most: int = GROUP_DROPS) -> DataFra
             entries = part.select(*_address(), _place(seed).alias("h"))
             verdicts = cut(entries.join(marked, ADDRESS, "left").select("h", F.coalesce("drop", F.lit(False)).alias("drop")), "verdicts")
             # No filter could part a row to drop from one to keep with the same hash: hash anew.
-            both = verdicts.groupBy("h").agg(F.count_distinct("drop").alias("n")).where("n > 1")
-            if both.isEmpty():
+            sides = verdicts.groupBy("h").agg(F.bool_or("drop").alias("drop"), F.bool_and("drop").alias("only"))
+            n, shared = sides.agg(F.count_if(F.col("drop")), F.count_if(F.col("drop") & ~F.col("only"))).first()
+            if not shared:
                 break
         out = None
-        for level, bits in reversed(list(enumerate(_cascade(verdicts)))):
+        for level, bits in reversed(list(enumerate(_cascade(verdicts, n)))):
             reported = _reported(bits, level, _place(seed))
             out = reported if out is None else reported & ~out
         parts.append(part.where(~out))
@@ -128,7 +141,8 @@ def keep_first(df: DataFrame, group: Column, order: Sequence[Column], most: int
     rank = F.struct("__order", *ADDRESS)
     groups = entries.groupBy("__group").agg(F.count(F.lit(1)).alias("__n"), F.min(rank).alias("__first"))
     crowded = cut(groups.where("__n > 1").select("__group", "__first"), "crowded")
-    told = skew_safe_join(entries, crowded, "__group", "inner", spread_by=ADDRESS)
+    few = crowded.limit(MAX_BROADCAST_BYTES // GROUP_BYTES + 1).count() * GROUP_BYTES <= MAX_BROADCAST_BYTES
+    told = entries.join(F.broadcast(crowded), "__group") if few else skew_safe_join(entries, crowded, "__group", "inner", spread_by=ADDRESS)
     same = F.lit(True)
     for c in ADDRESS:
         same = same & (F.col(c) == F.col(f"__first.{c}"))
