@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, leaf_scores, object_ids
 from medlake.operators.search import MEASURES, TOP_K, _hit_schema, _prepared, best_k, conforming
 from medlake.operators.vector_index import MAX_LEAF_FILTER, VECTORS_PER_LEAF
-from medlake.plans.bounded import MAX_BROADCAST_BYTES, broadcast_if_small, vector_rows_limit
+from medlake.plans.bounded import MAX_BROADCAST_BYTES, broadcast_if_small
 from medlake.plans.durable import cut
 
 FAN = 32
