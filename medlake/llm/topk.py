@@ -12,8 +12,6 @@ task works on one cell and one block, starting from thresholds that the longest
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
