@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from medlake.functions.words import sparse_words
+
 # Vector lengths and texts per model call.
 TEXT_DIM = 768
 IMAGE_DIM = 1408
@@ -111,6 +113,20 @@ def embed_texts(
     return df.mapInArrow(run, schema)
 
 
+def embed_sparse(
+    df: DataFrame, text_field: str = "text", dim: int = TEXT_DIM, output: str = "embedding"
+) -> DataFrame:
+    """Append the default vector as ``struct(slots array<int>, weights array<float>)``: its filled places only.
+
+    Column expressions without Python workers; a null text gets null. The result comes out of a one-row
+    generator, so that a filter on it is not pushed below and the words are not hashed twice.
+    ``embed_texts`` remembers the slots of words and is faster where dense vectors are needed.
+    """
+    if text_field not in df.columns:
+        raise ValueError(f"no column {text_field!r} to embed")
+    return df.select("*", F.explode(F.array(sparse_words(df[text_field], dim))).alias(output))
+
+
 def check_dimension(
     df: DataFrame, dim: int, column: str = "embedding"
 ) -> tuple[DataFrame, DataFrame]:

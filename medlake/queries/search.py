@@ -351,6 +351,18 @@ def hash_embed(spark, sf):
     )
 
 
+@query(
+    "q_hash_embed_sparse",
+    f"WITH {_DOC_WORDS} SELECT id AS doc_id, CAST(slot AS INTEGER) AS slot, round(w, 6) AS weight FROM doc_emb",
+)
+def hash_embed_sparse(spark, sf):
+    """The filled places alone, without Python workers."""
+    docs = embedding.embed_sparse(table(spark, sf, "documents", ["doc_id", "text"]), dim=TEXT_DIM)
+    return docs.select("doc_id", F.inline(F.arrays_zip("embedding.slots", "embedding.weights")).alias("slot", "w")).select(
+        "doc_id", "slot", F.round(F.col("w").cast("double"), 6).alias("weight")
+    )
+
+
 _TEXT_HITS = f"""{_DOC_WORDS}, {_ITEM_WORDS},
 dots AS (SELECT i.id AS query_id, d.id AS id, sum(i.w * d.w) AS s
          FROM item_emb i JOIN doc_emb d ON i.slot = d.slot GROUP BY 1, 2),

@@ -212,6 +212,29 @@ def test_hashed_words_are_unit_length_and_case_blind():
     assert np.allclose(m[0], m[1]) and np.isclose(np.linalg.norm(m[0]), 1.0) and not m[2].any()
 
 
+def test_sparse_vectors_equal_the_hook(spark):
+    texts = ["Lung LUNG opacity", "", None, "\u0130stanbul \u017f \u212a x9 \u00e9!", "a " * 5000 + "b", "\n--\n", "one", "one"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for dim in (1, 7, 768):
+        model = embedding.hashed_words(dim)
+        sparse = {r.id: r.embedding for r in embedding.embed_sparse(df, dim=dim).collect()}
+        assert len(sparse) == len(texts) and sparse[2] is None
+        for i, text in enumerate(texts):
+            if text is not None:
+                wanted = model([text])[0].astype(np.float32)
+                assert sparse[i].slots == np.flatnonzero(wanted).tolist()
+                assert (np.array(sparse[i].weights, dtype=np.float32) == wanted[sparse[i].slots]).all()
+    with pytest.raises(ValueError):
+        embedding.embed_sparse(df, "missing")
+
+
+def test_sparse_vectors_need_no_python_worker_and_hash_once(spark):
+    df = spark.createDataFrame([(1, "a b")], "id int, text string")
+    found = embedding.embed_sparse(df, dim=8).where("size(embedding.slots) > 1")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("regexp_extract_all") == 1
+
+
 def test_chunks(spark):
     df = spark.createDataFrame([(1, " ".join(map(str, range(10)))), (2, "one"), (3, "  ")], "i int, text string")
     rows = embedding.chunk_words(df, size=4, overlap=1, keep=("i",)).orderBy("i", "chunk_no").collect()
