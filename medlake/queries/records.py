@@ -290,14 +290,70 @@ def _tensors(spark: SparkSession, sf: str) -> DataFrame:
     return images.normalise_images(images.validate_images(derived_images(spark, sf)))
 
 
-@query("q_image_tensors")
+def _byte(x: str) -> str:
+    return f"CAST(greatest(0, least(255, round_even({x}, 0))) AS UTINYINT)"
+
+
+_BLUR = "".join(f" + kernel[{t + 1}] * CAST({{{t}}} AS DOUBLE)" for t in range(5))[3:]
+_NEIGHBOURS = ["greatest(1, o - 2)", "greatest(1, o - 1)", "o", "least(512, o + 1)", "least(512, o + 2)"]
+# The tensor by its definition: weights of six source lines per target line, rounding after each axis, blur, levels.
+_LEVELS = f"""lines AS (
+  SELECT vec_id AS id, i, list_transform(embedding, lambda y:
+      CAST(greatest(0, least(255, round(128 + 400 * CAST(embedding[i] AS DOUBLE) * CAST(y AS DOUBLE)))) AS DOUBLE)) AS line
+  FROM embeddings, range(1, 65) AS r(i) WHERE vec_id % 5 <> 0 AND vec_id % 7 <> 0),
+lobes AS (
+  SELECT q, j, CASE WHEN d = 0 THEN 1 ELSE sin(pi() * d) / (pi() * d) * sin(pi() * d / 3) / (pi() * d / 3) END AS v
+  FROM (SELECT q, j, j + 0.5::DOUBLE - (q + 0.5::DOUBLE) / 8 AS d FROM range(512) AS a(q), range(64) AS b(j)) WHERE abs(d) < 3),
+taps AS (
+  SELECT q, CAST(min(j) AS INTEGER) AS s, list(v / total ORDER BY j) AS t
+  FROM (SELECT *, sum(v) OVER (PARTITION BY q) AS total FROM lobes) GROUP BY q),
+packed AS (SELECT list(s ORDER BY q) AS ss, list(t ORDER BY q) AS ts FROM taps),
+wide AS (
+  SELECT id, i, list_transform(range(1, 513), lambda o:
+      {_byte("list_dot_product(line[ss[o] + 1 : ss[o] + len(ts[o])], ts[o])")}) AS w FROM lines, packed),
+stack AS (SELECT id, list(w ORDER BY i) AS m FROM wide GROUP BY id),
+six AS (SELECT id, q, t, {", ".join(f"m[s + {k}] AS r{k}" for k in range(1, 7))} FROM stack, taps),
+tall AS (
+  SELECT id, q, list_transform(range(1, 513), lambda o:
+      {_byte(" + ".join(f"coalesce(t[{k}] * r{k}[o], 0)" for k in range(1, 7)))}) AS g FROM six),
+weight AS (
+  SELECT list(e / total ORDER BY t) AS kernel
+  FROM (SELECT t, exp(-0.5 * ((t - 2) / 0.5) ** 2) AS e, sum(exp(-0.5 * ((t - 2) / 0.5) ** 2)) OVER () AS total FROM range(5) AS a(t))),
+near AS (
+  SELECT id, q, coalesce(lag(g, 2) OVER up, first_value(g) OVER up) AS a, coalesce(lag(g, 1) OVER up, g) AS b, g AS c,
+         coalesce(lead(g, 1) OVER up, g) AS d, coalesce(lead(g, 2) OVER up, lead(g, 1) OVER up, g) AS e
+  FROM tall WINDOW up AS (PARTITION BY id ORDER BY q)),
+down AS (
+  SELECT id, q, kernel, list_transform(range(1, 513), lambda o: {_BLUR.format(*[f"{x}[o]" for x in "abcde"])}) AS g
+  FROM near, weight),
+levels AS (
+  SELECT id, q, list_transform(range(1, 513), lambda o: {_byte(_BLUR.format(*[f"g[{n}]" for n in _NEIGHBOURS]))}) AS g FROM down),
+tensors AS (SELECT id, q, list_transform(g, lambda x: CAST(x / 255.0::DOUBLE AS FLOAT)) AS v FROM levels)"""
+
+
+@query(
+    "q_image_tensors",
+    f"""WITH {_LEVELS},
+    shown AS (
+      SELECT id, q, v, array_to_string(list_transform(v, lambda x: format('{{:02x}}', CAST(floor(x * 255::FLOAT) AS INTEGER))), '') AS p
+      FROM tensors)
+    SELECT CAST(id AS VARCHAR) AS image_key, CAST(sum(len(v)) AS INTEGER) AS "values",
+           round(CAST(min(list_min(v)) AS DOUBLE), 6) AS low, round(CAST(max(list_max(v)) AS DOUBLE), 6) AS high,
+           round(sum(list_sum(list_transform(v, lambda x: CAST(x AS DOUBLE)))), 4) AS total,
+           CAST(sum(length(p)) // 2 AS INTEGER) AS preview_bytes, md5(unhex(string_agg(p, '' ORDER BY q))) AS preview_md5
+    FROM shown GROUP BY id""",
+)
 def image_tensors(spark, sf):
+    """Size, range and sum of every tensor, and the digest of its levels."""
+    total = F.aggregate("tensor", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return images.silver_images(_tensors(spark, sf)).select(
         "image_key",
         F.size("tensor").alias("values"),
         F.round(F.array_min("tensor").cast("double"), 6).alias("low"),
         F.round(F.array_max("tensor").cast("double"), 6).alias("high"),
+        F.round(total, 4).alias("total"),
         F.length("preview").alias("preview_bytes"),
+        F.md5("preview").alias("preview_md5"),
     )
 
 
