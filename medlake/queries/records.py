@@ -413,6 +413,33 @@ def image_embed(spark, sf):
     )
 
 
+@query(
+    "q_image_vectors",
+    f"""WITH {_IMAGES}, {_LEVELS},
+    places AS (SELECT id, unnest(range(q * 512, q * 512 + 512)) AS p, unnest(v) AS x FROM tensors),
+    pooled AS (SELECT id, (11 * p + 10) // 2048 AS place, avg(CAST(x AS DOUBLE)) AS mean FROM places GROUP BY ALL),
+    scaled AS (SELECT id, place, mean / sqrt(sum(mean * mean) OVER (PARTITION BY id)) AS x FROM pooled),
+    words AS (
+      SELECT path, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 1408 AS place, count(*) AS c
+      FROM (SELECT path, unnest(regexp_extract_all(path, '[A-Za-z0-9]+')) AS w FROM img WHERE NOT lost AND h = 64) GROUP BY ALL),
+    both_kinds AS (
+      SELECT 'bronze/images/' || id || '.png' AS source_path, 'image' AS kind, place, x FROM scaled
+      UNION ALL SELECT path, 'text', place, c / sqrt(sum(c * c) OVER (PARTITION BY path)) FROM words)
+    SELECT source_path, kind, CAST(place AS INTEGER) AS place, round(CAST(CAST(x AS FLOAT) AS DOUBLE), 6) AS value
+    FROM both_kinds WHERE x <> 0""",
+)
+def image_vectors(spark, sf):
+    """Every filled place of the image and context vectors."""
+    out = images.embed_images(_tensors(spark, sf), context=F.col("path")).where("status = 'success'")
+    kinds = [F.struct(F.lit(k).alias("kind"), F.col(f"{k}_embedding").alias("vector")) for k in ("image", "text")]
+    return (
+        out.select("source_path", F.inline(F.array(*kinds)))
+        .select("source_path", "kind", F.posexplode("vector").alias("place", "x"))
+        .where("x <> 0")
+        .select("source_path", "kind", "place", F.round(F.col("x").cast("double"), 6).alias("value"))
+    )
+
+
 # --- run reports ------------------------------------------------------------------------------
 
 def _stage_rows(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
