@@ -138,38 +138,45 @@ def _take(pattern: str, flags: str) -> str:
     return f"regexp_extract(c, '(?{flags}){pattern}', 1)"
 
 
-# The oracle's engine has no lookahead: the terminator is consumed instead, group 1 is equal.
-_CAPTURES = ",\n".join(
-    f"{sql} AS {name}"
-    for name, sql in {
-        "pid1": _take(r"(?:Patient\s*(?:ID|#|Number)?|MRN|Medical\s*Record\s*(?:Number|#)?)\s*[:=]?\s*([A-Za-z0-9_-]+)", "i"),
-        "pid2": _take(r"(?:Case\s*(?:ID|#)?)\s*[:=]?\s*([A-Za-z0-9_-]+)", "i"),
-        "age1": _take(r"(?:Age|AGE)\s*[:=]?\s*(\d{1,3})\s*(?:years?|yrs?|y\.?o\.?|y/o)?", "i"),
-        "age2": _take(r"(\d{1,3})\s*(?:years?\s*old|yo|y\.?o\.?|y/o)", "i"),
-        "sex1": _take(r"(?:Sex|Gender)\s*[:=]?\s*(Male|Female|M|F)\b", "i"),
-        "sex2": _take(r"\b(Male|Female)\b", "i"),
-        "sex3": _take(r"\b([MF])/\d{1,3}\b", "i"),
-        "sym1": _squeeze(_take(r"(?:Clinical\s*)?(?:Indication|History|Symptoms?|Presenting\s*Complaint|Reason\s*for\s*(?:Study|Exam))\s*[:=]?\s*(.+?)(?:\n\n|\n[A-Z]|Findings?:|Impression:|$)", "is")),
-        "sym2": _squeeze(_take(r"(?:Chief\s*Complaint|CC)\s*[:=]?\s*(.+?)(?:\n\n|\n[A-Z]|$)", "is")),
-        "fin1": _squeeze(_take(r"(?:Findings?|Observations?|Description)\s*[:=]?\s*(.+?)(?:Impression|Conclusion|Diagnosis|Assessment|$)", "is")),
-        "fin2": _squeeze(_take(r"(?:Radiological\s*)?(?:Findings?)\s*[:=]?\s*(.+?)(?:\n\n[A-Z]|$)", "is")),
-        "imp1": _squeeze(_take(r"(?:Impression|Conclusion|Diagnosis|Assessment|Final\s*Diagnosis)\s*[:=]?\s*(.+?)(?:\n\n|Recommendations?:|$)", "is")),
-        "imp2": _squeeze(_take(r"(?:Clinical\s*)?(?:Impression|Interpretation)\s*[:=]?\s*(.+)", "is")),
-        "casen": _take(r"case[_-]?(\d+)", "i"),
-    }.items()
-)
+# Short names of the fields' captures in SQL; those that may span lines are trimmed to single blanks.
+_SHORT = {"patient_id": "pid", "age": "age", "sex": "sex", "symptoms": "sym", "findings": "fin", "impression": "imp"}
+
+
+def _captures() -> str:
+    """Every pattern's first group as a column of SQL, numbered per field.
+
+    The SQL engine has no lookahead: the terminator is consumed instead, and the group is the same.
+    """
+    columns = {}
+    for field, patterns in reports.PATTERNS.items():
+        for number, pattern in enumerate(patterns, 1):
+            spans = field in reports.TEXT_LIMITS
+            flags = "is" if spans else "i"
+            found = _take(pattern.replace("(?=", "(?:"), flags)
+            columns[f"{_SHORT[field]}{number}"] = _squeeze(found) if spans else found
+    columns["casen"] = _take(reports.CASE_FALLBACK, "i")
+    return ",\n".join(f"{sql} AS {name}" for name, sql in columns.items())
+
+
+def _first_long(field: str) -> str:
+    """The first capture of a text field that is long enough, cut to its longest length."""
+    least, most = reports.TEXT_LIMITS[field]
+    tries = [f"{_SHORT[field]}{n}" for n in range(1, len(reports.PATTERNS[field]) + 1)]
+    return "CASE " + " ".join(f"WHEN length({c}) > {least} THEN substr({c}, 1, {most})" for c in tries) + f" END AS {field}"
+
+
 _FIELDS_SQL = f"""
 raw AS (SELECT doc_id, {RAW_REPORT} AS t FROM documents),
 cleaned AS (SELECT doc_id, {clean_sql('t')} AS c FROM raw),
-captured AS (SELECT doc_id, {_CAPTURES} FROM cleaned WHERE length(c) >= 50),
+captured AS (SELECT doc_id, {_captures()} FROM cleaned WHERE length(c) >= 50),
 fields AS (SELECT doc_id,
   coalesce(nullif(pid1, ''), nullif(pid2, ''), 'CASE_' || nullif(casen, '')) AS patient_id,
-  CASE WHEN try_cast(age1 AS INTEGER) BETWEEN 0 AND 120 THEN try_cast(age1 AS INTEGER)
-       WHEN try_cast(age2 AS INTEGER) BETWEEN 0 AND 120 THEN try_cast(age2 AS INTEGER) END AS age,
+  CASE WHEN try_cast(age1 AS INTEGER) BETWEEN 0 AND {reports.MAX_AGE} THEN try_cast(age1 AS INTEGER)
+       WHEN try_cast(age2 AS INTEGER) BETWEEN 0 AND {reports.MAX_AGE} THEN try_cast(age2 AS INTEGER) END AS age,
   upper(substr(coalesce(nullif(sex1, ''), nullif(sex2, ''), nullif(sex3, '')), 1, 1)) AS sex,
-  CASE WHEN length(sym1) > 10 THEN substr(sym1, 1, 500) WHEN length(sym2) > 10 THEN substr(sym2, 1, 500) END AS symptoms,
-  CASE WHEN length(fin1) > 20 THEN substr(fin1, 1, 2000) WHEN length(fin2) > 20 THEN substr(fin2, 1, 2000) END AS findings,
-  CASE WHEN length(imp1) > 5 THEN substr(imp1, 1, 1000) WHEN length(imp2) > 5 THEN substr(imp2, 1, 1000) END AS impression
+  {_first_long("symptoms")},
+  {_first_long("findings")},
+  {_first_long("impression")}
   FROM captured),
 scored AS (SELECT *, ((patient_id IS NOT NULL)::INT + (age IS NOT NULL)::INT + (sex IS NOT NULL)::INT
   + (symptoms IS NOT NULL)::INT + (findings IS NOT NULL)::INT + (impression IS NOT NULL)::INT) / 6.0 AS confidence
