@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medlake.operators import reports, summaries
+from medlake.operators import quality, reports, summaries
 from medlake.plans import jobs
 from medlake.plans.durable import work_path
 from medlake.queries.catalog import ORACLES, query, table
@@ -35,24 +35,14 @@ vitals AS (SELECT patient_id, try_cast(age AS INTEGER) AS age, sex, try_cast(tem
   try_cast(heart_rate AS DOUBLE) AS heart_rate, CAST(respiratory_rate AS DOUBLE) AS respiratory_rate,
   nullif(blood_pressure, '') AS blood_pressure, CAST(oxygen_saturation AS DOUBLE) AS oxygen_saturation,
   CAST(wbc AS DOUBLE) AS wbc FROM cells)"""
-# Plausible ranges and clinical thresholds, written for SQL.
-_BOUNDS = {
-    "temperature": (95, 106),
-    "heart_rate": (40, 200),
-    "bp_systolic": (70, 200),
-    "bp_diastolic": (40, 130),
-    "oxygen_saturation": (70, 100),
-    "respiratory_rate": (8, 40),
-    "wbc": (1, 30),
-}
-_FLAGS = {
-    "fever_flag": "temperature >= CAST(100.4 AS DOUBLE)",
-    "tachycardia_flag": "heart_rate > 100",
-    "elevated_wbc_flag": "wbc > 11",
-    "hypoxia_flag": "oxygen_saturation < 94",
-    "hypertension_flag": "bp_systolic >= 140",
-    "tachypnea_flag": "respiratory_rate > 20",
-}
+_BOUNDS = {r.column: (f"{r.low:g}", f"{r.high:g}") for r in quality.VITAL_RANGES}
+
+
+def _threshold(x: float) -> str:
+    return f"{x:g}" if x == int(x) else f"CAST({x} AS DOUBLE)"
+
+
+_FLAGS = {r.flag: f"{r.column} {r.op} {_threshold(r.threshold)}" for r in quality.VITAL_RULES}
 
 
 def _each(form: str, join: str = ", ") -> str:
