@@ -12,10 +12,11 @@ few others, are the landing problem: the rounding nearest to the balanced totals
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,15 +124,37 @@ def landing(units: Sequence[tuple[float, float]], chances: list[float], before:
 
 
 def _fly(last: bool):
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("unit")
+    """Flight of every bucket of a task's rows, which come in order of source, bucket and unit.
+
+    Buckets follow each other in one stream: as groups of their own, Spark would hold the buffers of all that a task has seen.
+    """
+
+    def one(table: pa.Table) -> pa.RecordBatch:
         units = list(zip(table["words"].to_pylist(), table["documents"].to_pylist()))
         seed = table["unit"][0].as_py() ^ len(units)
         before = table["chance"].to_pylist()
         chances = flight(units, before, seed)
         if last:
             chances = landing(units, chances, before)
-        return table.set_column(table.schema.get_field_index("chance"), "chance", pa.array(chances, pa.float64()))
+        table = table.set_column(table.schema.get_field_index("chance"), "chance", pa.array(chances, pa.float64()))
+        return table.combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            skey, bucket = batch.column("skey"), batch.column("bucket")
+            same = pc.and_(pc.equal(skey[1:], skey[:-1]), pc.equal(bucket[1:], bucket[:-1]))
+            starts = [0, *(np.flatnonzero(~same.to_numpy(zero_copy_only=False)) + 1).tolist(), len(batch)]
+            for begin, end in zip(starts, starts[1:]):
+                part = batch.slice(begin, end - begin)
+                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("skey", "bucket")):
+                    yield one(pa.Table.from_batches(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield one(pa.Table.from_batches(held))
 
     return run
 
@@ -149,7 +172,8 @@ def _settle(units: DataFrame) -> list[DataFrame]:
         dealt = units.join(bounded_hint(counts, 64), "skey").withColumn(
             "bucket", F.pmod(F.xxhash64("unit", F.lit(level)), F.ceil(F.col("n") / BUCKET)).cast("int")
         )
-        flown = dealt.drop("n").groupBy("skey", "bucket").applyInArrow(_fly(last), schema)
+        dealt = dealt.drop("n").repartition("skey", "bucket").sortWithinPartitions("skey", "bucket", "unit")
+        flown = dealt.mapInArrow(_fly(last), schema)
         flown = cut(flown.drop("bucket"), "flight")
         is_open = F.col("chance").between(EPSILON, 1 - EPSILON)
         settled.append(flown.where(~is_open).select("skey", "unit", "chance"))

@@ -6,6 +6,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -131,6 +132,25 @@ def test_mix(spark, odd, empty):
         assert abs(got[0] - got[1]) <= 0.01 * got[1] + 60 and got[2] <= 3
 
 
+def test_buckets_fly_from_one_stream():
+    """Buckets of several batches, and several of a batch, settle as each does alone."""
+    rng = np.random.default_rng(7)
+    keys = [(s, b) for s in ("=a", "~") for b in range(9) for _ in range(40 if b else 150)]
+    rows = {"skey": [s for s, _ in keys], "bucket": pa.array([b for _, b in keys], pa.int32()), "unit": list(range(len(keys)))}
+    rows |= {"words": rng.integers(0, 90, len(keys)).astype(float), "documents": np.ones(len(keys)), "chance": rng.random(len(keys))}
+    table = pa.table(rows).select(["skey", "unit", "words", "documents", "chance", "bucket"])
+    for last in (False, True):
+        flown = pa.Table.from_batches(mixing._fly(last)(iter(table.to_batches(max_chunksize=64))))
+        assert flown.drop_columns("chance") == table.drop_columns("chance")
+        for key in sorted(set(keys)):
+            at = np.array([k == key for k in keys])
+            units, chances = list(zip(rows["words"][at], rows["documents"][at])), rows["chance"][at].tolist()
+            want = mixing.flight(units, chances, int(np.flatnonzero(at)[0]) ^ len(units))
+            want = mixing.landing(units, want, chances) if last else want
+            assert flown["chance"].to_numpy()[at].tolist() == want
+    assert not list(mixing._fly(False)(iter([])))
+
+
 def test_flight_keeps_both_totals():
     rng = np.random.default_rng(1)
     units = [(float(rng.integers(0, 500)), 1.0) for _ in range(300)]
