@@ -24,6 +24,12 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
 
 
+def _runs(ordered: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, start, end) of every run of equal values in a sorted array."""
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, dtype=np.int64)
+    return list(zip(ordered[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(ordered)]))
+
+
 class RunningTopK:
     """The k best (score, id) of each query among the vectors seen so far.
 
@@ -42,14 +48,15 @@ class RunningTopK:
         rows = np.arange(len(self.queries)) if rows is None else rows
         if not len(rows):
             return
+        queries, slack = self.queries[rows] if len(rows) < len(self.queries) else self.queries, 10.0**-self.digits
         step = max(1, SCORES_PER_STEP // len(rows))
         for start in range(0, len(ids), step):
-            block = vectors[start : start + step]
-            scores = np.round(self.queries[rows] @ block.T, self.digits)
-            passing = scores >= self.floor[rows, None]
-            for at in np.flatnonzero(passing.any(axis=1)):
-                keep = passing[at]
-                self._merge(rows[at], ids[start : start + step][keep], scores[at][keep])
+            scores = queries @ vectors[start : start + step].T
+            # Rounding moves a score by less than ``slack``: only what may reach the floor is rounded.
+            q, v = np.divmod(np.flatnonzero(scores >= self.floor[rows, None] - slack), scores.shape[1])
+            for at, first, end in _runs(q):
+                near = v[first:end]
+                self._merge(rows[at], ids[start : start + step][near], np.round(scores[at, near], self.digits))
 
     def _merge(self, row: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores = np.concatenate([self.scores[row], scores])

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import string
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medlake.plans.batches import slices, tidy
 from medlake.plans.bounded import MAX_BROADCAST_BYTES
 from medlake.plans.durable import cut
 
@@ -37,17 +34,6 @@ __all__ = [
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Rows of an Arrow batch that a task works on at once.
-SLICE = 512
-
-
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that what a task makes of them stays small."""
-    for batch in batches:
-        for i in range(0, len(batch), SLICE):
-            yield batch.slice(i, SLICE)
-
-
 #: Rows of a batch between Spark and its Python workers, where texts may be long.
 BATCH_ROWS = 1_024
 
@@ -79,27 +65,6 @@ def added(fields: T.StructType, **types: str) -> T.StructType:
     return T.StructType([*fields.fields, *more])
 
 
-Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
-
-
-def tidy(run: Batches) -> Batches:
-    """``run``, and then the memory that it has freed goes back to the machine.
-
-    Python workers outlive their task; without this, each keeps the largest batch that it ever saw.
-    """
-
-    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass  # not every C library has it
-
-    return tidied
-
-
 def text_of(column: str | Column) -> Column:
     """A text with null read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from medlake.functions.words import sparse_words
+from medlake.plans.batches import slices, tidy
 
 # Vector lengths and texts per model call.
 TEXT_DIM = 768
@@ -22,6 +23,9 @@ IMAGE_DIM = 1408
 MODEL_ROWS = 32
 BATCH_SIZE = 32
 
+# Words whose slots a task remembers.
+SLOTS_HELD = 100_000
+
 EmbedFn = Callable[[list[str]], np.ndarray]
 
 _TOKEN = re.compile(r"[A-Za-z0-9]+")
@@ -35,7 +39,7 @@ class _Slots(dict):
         self.dim = dim
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= SLOTS_HELD:
             self.clear()
         self[word] = found = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
         return found
@@ -85,7 +89,8 @@ def embed_texts(
     """Append ``output array<float>`` for every row; a null text gets a null vector.
 
     The model sees at most ``batch_size`` texts per call. No shuffle: rows keep their
-    partition, and ``embed_fn`` is unpickled once per task.
+    partition, and ``embed_fn`` is unpickled once per task. Rows go on in small batches, so that
+    a task holds the vectors of few texts at once.
     """
     if text_field not in df.columns:
         raise ValueError(f"no column {text_field!r} to embed")
@@ -93,7 +98,7 @@ def embed_texts(
     schema = T.StructType(df.schema.fields + [T.StructField(output, T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text_field)).to_pylist()
             filled = [i for i, t in enumerate(texts) if t is not None]
             vectors = np.zeros((len(texts), dim), dtype=np.float32)
@@ -110,7 +115,7 @@ def embed_texts(
                 [*batch.columns, column], names=[*batch.schema.names, output]
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def embed_sparse(

@@ -20,6 +20,7 @@ from pyspark.sql import Window
 from pyspark.sql.pandas.types import to_arrow_type
 
 from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, matrix, object_ids, unit_rows
+from medlake.plans.batches import slices, tidy
 from medlake.plans.bounded import broadcast_if_small, fetch_if_small, vector_rows_limit
 from medlake.plans.durable import cut
 from medlake.plans.skew import skew_safe_join
@@ -31,6 +32,8 @@ MIN_SCORE = 0.7
 MEASURES = ("dot", "cosine")
 # Bytes of float64 vectors per side of one grid cell.
 CELL_BYTES = 32 * 1024 * 1024
+# Vectors of a batch that a task offers to the shipped queries at once.
+SEARCH_ROWS = 2_048
 # Groups in which the partial hits of a query are reduced first.
 MERGE_GROUPS = 64
 # Hit lists up to this many rows are joined to their texts without salts.
@@ -120,11 +123,11 @@ def shipped_top_k(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, rows = shipped.value
         best = RunningTopK(rows, k, digits)
-        for batch in batches:
+        for batch in slices(batches, SEARCH_ROWS):
             best.add(object_ids(batch.column("id")), _prepared(batch.column("embedding"), dim, measure))
         yield best.to_batch(ids, arrow)
 
-    return corpus.mapInArrow(search, spark_schema)
+    return corpus.mapInArrow(tidy(search), spark_schema)
 
 
 def _cell_topk(
