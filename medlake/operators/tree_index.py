@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, leaf_scores, object_ids
+from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, leaf_scores, matrix, object_ids
 from medlake.operators.search import MEASURES, TOP_K, _hit_schema, _prepared, best_k, conforming
 from medlake.operators.vector_index import MAX_LEAF_FILTER, VECTORS_PER_LEAF
 from medlake.plans.bounded import MAX_BROADCAST_BYTES, broadcast_if_small
@@ -46,6 +46,8 @@ KEPT = 0.9
 #: Queries of one leaf that a task scores at once, and leaves that a task routes at once.
 QUERY_BLOCK = 4_096
 LEAF_BLOCK = 4_096
+#: Queries that a task routes at once; it holds some matrices of these by its leaves.
+ROUTED = 128
 
 
 @dataclass
@@ -246,21 +248,26 @@ def _meetings(queries: DataFrame, m: int, index: TreeIndex, leaves: int, choose)
     id_type = queries.schema["query_id"].dataType
     types = T.StructType([T.StructField("query_id", id_type), T.StructField("leaf", T.LongType()), T.StructField("weight", T.DoubleType())])
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.combine_chunks(), right.combine_chunks().sort_by("leaf")
-        asked = _prepared(left["embedding"], dim, measure)
-        means, variances = (np.array(right[c].to_pylist(), dtype=np.float64).reshape(-1, dim) for c in ("mean", "variance"))
-        length = np.sqrt((asked**2).sum(axis=1))[:, None]
-        middle = asked @ means.T
-        reach = np.minimum(middle + length * right["radius"].to_numpy(), length * right["longest"].to_numpy())
-        spread = np.sqrt(np.maximum((asked**2) @ variances.T, 1e-24))
-        floor = left["floor"].to_numpy(zero_copy_only=False).astype(float)
+    def route(asked: pa.Table, leaves: pa.Table, means: np.ndarray, variances: np.ndarray) -> pa.Table:
+        vectors = _prepared(asked["embedding"], dim, measure)
+        length = np.sqrt((vectors**2).sum(axis=1))[:, None]
+        middle = vectors @ means.T
+        reach = np.minimum(middle + length * leaves["radius"].to_numpy(), length * leaves["longest"].to_numpy())
+        spread = np.sqrt(np.maximum((vectors**2) @ variances.T, 1e-24))
+        floor = asked["floor"].to_numpy(zero_copy_only=False).astype(float)
         floor = np.where(np.isnan(floor), -np.inf, floor)[:, None]
-        take, weight = choose(floor, middle, reach + np.abs(reach) * 1e-9 + 1e-12, spread, right["n"].to_numpy())
+        take, weight = choose(floor, middle, reach + np.abs(reach) * 1e-9 + 1e-12, spread, leaves["n"].to_numpy())
         q, leaf = np.nonzero(take)
-        columns = [left["query_id"].combine_chunks().take(pa.array(q)), right["leaf"].combine_chunks().take(pa.array(leaf)), weight[q, leaf]]
+        columns = [asked["query_id"].combine_chunks().take(pa.array(q)), leaves["leaf"].combine_chunks().take(pa.array(leaf)), weight[q, leaf]]
         return pa.table(columns, names=["query_id", "leaf", "weight"])
 
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = left.combine_chunks(), right.combine_chunks().sort_by("leaf")
+        means, variances = (matrix(right[c], dim) for c in ("mean", "variance"))
+        # At least one slice, so that no queries make an empty table of the right types.
+        starts = range(0, max(1, len(left)), ROUTED)
+        return pa.concat_tables([route(left.slice(start, ROUTED), right, means, variances) for start in starts])
+
     blocks, shelves = max(1, -(-m // QUERY_BLOCK)), max(1, -(-leaves // LEAF_BLOCK))
     left = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     left = left.withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))))
