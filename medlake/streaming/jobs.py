@@ -13,6 +13,9 @@ from medlake.plans.durable import remove, work_path
 from medlake.sources.lake import REPORT_EXTENSIONS, path_kind, report_key, suffix
 from medlake.sources.upserts import BUCKETS, create_table, open_table
 
+# Tasks per core into which a micro-batch of reports is dealt.
+TASKS_PER_CORE = 2
+
 BINARY_FILE = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -43,12 +46,14 @@ def structure_stream(
     """Clean, extract and validate each new report once; appends to the silver table.
 
     Reports that are not accepted go to the table ``rejects`` (by default ``<silver>_rejected``). In both
-    tables a micro-batch owns the directory ``batch=<id>`` and overwrites it when retried.
+    tables a micro-batch owns the directory ``batch=<id>`` and overwrites it when retried. A batch is dealt over all
+    cores first: the files that it came in may be few, and a file is read by one task.
     """
     target = rejects or f"{silver.rstrip('/')}_rejected"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean_reports(batch).withColumn("reason", reject_reason(F.col("raw_text")))
+        dealt = batch.repartition(TASKS_PER_CORE * batch.sparkSession.sparkContext.defaultParallelism, "path")
+        cleaned = clean_reports(dealt).withColumn("reason", reject_reason(F.col("raw_text")))
         work = work_path(batch.sparkSession, "cleaned")
         cleaned.drop("raw_text").write.parquet(work)
         cleaned = batch.sparkSession.read.parquet(work)
