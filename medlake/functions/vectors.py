@@ -48,12 +48,14 @@ class RunningTopK:
         rows = np.arange(len(self.queries)) if rows is None else rows
         if not len(rows):
             return
-        queries, slack = self.queries[rows] if len(rows) < len(self.queries) else self.queries, 10.0**-self.digits
+        queries = self.queries[rows] if len(rows) < len(self.queries) else self.queries
         step = max(1, SCORES_PER_STEP // len(rows))
         for start in range(0, len(ids), step):
             scores = queries @ vectors[start : start + step].T
-            # Rounding moves a score by less than ``slack``: only what may reach the floor is rounded.
-            q, v = np.divmod(np.flatnonzero(scores >= self.floor[rows, None] - slack), scores.shape[1])
+            # Only what may reach the floor once rounded is rounded; of large scores, rounding changes the last bits.
+            floor = self.floor[rows, None]
+            reach = np.where(np.isfinite(floor), floor - 10.0**-self.digits - np.abs(floor) * 1e-12, floor)
+            q, v = np.divmod(np.flatnonzero(scores >= reach), scores.shape[1])
             for at, first, end in _runs(q):
                 near = v[first:end]
                 self._merge(rows[at], ids[start : start + step][near], np.round(scores[at, near], self.digits))
