@@ -45,10 +45,10 @@ class RunningTopK:
 
     def add(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None) -> None:
         """Offer vectors to all queries, or only to the query rows given."""
+        queries = self.queries if rows is None else self.queries[rows]
         rows = np.arange(len(self.queries)) if rows is None else rows
         if not len(rows):
             return
-        queries = self.queries[rows] if len(rows) < len(self.queries) else self.queries
         step = max(1, SCORES_PER_STEP // len(rows))
         for start in range(0, len(ids), step):
             scores = queries @ vectors[start : start + step].T

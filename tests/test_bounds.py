@@ -41,3 +41,9 @@ def test_running_top_k_ranks_rounded_scores():
     for row in range(len(queries)):
         want = sorted(zip(-scores[row], ids))[:5]
         assert list(zip(-best.scores[row], best.ids[row])) == want
+
+
+def test_running_top_k_takes_query_rows_in_any_order():
+    best = RunningTopK(np.array([[1.0, 0.0], [0.0, 1.0], [1.0, 1.0]]), 1)
+    best.add(np.array([7, 8], dtype=object), np.array([[5.0, 1.0], [2.0, 3.0]]), np.array([2, 0, 1]))
+    assert [x.tolist() for x in best.ids] == [[7], [8], [7]] and [x.tolist() for x in best.scores] == [[5.0], [3.0], [6.0]]
