@@ -7,8 +7,10 @@ the hash of their last two bytes.
 * Class factor: softmax over a bias, the hash of the word before (bigram) and of the word before that
   (skip); of words that are not frequent, the ending is hashed. The sums over the corpus that its gradient needs are counted in one pass; every update then runs
   over them on Spark, and the driver gets one bounded gradient.
-* Word factor: softmax within the class over the word's frequency and the hash of the word before,
-  trained by gradient updates for one hash value per task; rare words by their smoothed counts.
+* Word factor: softmax within the class over the frequency of every training word and a feature that hashes the word before
+  with the word, trained by gradient updates for one hash value of the word before per task. A frequent word has such a feature to
+  itself, the others share those of ``BUCKETS`` hash values in their class, so that all of them depend on the word before. The sum
+  over a class is exact: words that share a feature add up to the smoothed count of their bucket.
 
 Scoring joins counts to the distinct rare words of a block of documents, then works on arrays of indices.
 """
@@ -33,6 +35,8 @@ CLASSES = 32
 #: Classes of the words that are not frequent, the last ones.
 RARE_CLASSES = 16
 ENDING = 2
+#: Hash values of the words that are not frequent, in each of their classes.
+BUCKETS = 512
 #: Hash values of the words before in the class factor, and in the word factor.
 HISTORY = 128
 WORD_HISTORY = 32
@@ -78,43 +82,50 @@ class Layout:
     counts: np.ndarray
     train_tokens: int
     vocabulary: int
-    #: Tokens and words of each class of words that are not frequent.
+    #: Tokens and words of each bucket of words that are not frequent, class by class.
     rare_tokens: np.ndarray
     rare_words: np.ndarray
 
     def __post_init__(self) -> None:
+        """The class of every unit: the frequent words, the buckets, and the unseen words of each class of buckets."""
         weight = np.cumsum(np.sqrt(self.counts))
         share, classes = weight / weight[-1] if len(weight) else weight, CLASSES - RARE_CLASSES
-        self.class_of = np.minimum((share * classes).astype(int), classes - 1)
+        rare = classes + np.arange(RARE_CLASSES)
+        self.class_of = np.r_[np.minimum((share * classes).astype(int), classes - 1), np.repeat(rare, BUCKETS), rare]
+
+    def masses(self) -> np.ndarray:
+        """Smoothed counts of the units; what was never seen counts once in each class."""
+        return np.r_[self.counts, self.rare_tokens + self.rare_words, np.ones(RARE_CLASSES)].astype(float)
+
+    def unseen(self, unit: np.ndarray) -> np.ndarray:
+        """The unit of unseen words in the class of a bucket."""
+        return len(self.words) + RARE_CLASSES * BUCKETS + (unit - len(self.words)) // BUCKETS
 
     def reader(self) -> _Reader:
         return _Reader(self)
 
 
 class _Reader(dict):
-    """word -> number * 2**16 + hash; words that are not frequent share one number and hash their ending."""
+    """word -> unit * 2**16 + hash; of words that are not frequent the unit is their bucket, and the ending is hashed."""
 
     def __init__(self, layout: Layout):
         super().__init__({w: i << 16 | zlib.crc32(w) & 0xFFFF for i, w in enumerate(layout.words)})
-        self.rare = len(layout.words) << 16
+        self.width = len(layout.words)
         self.end = self[b""]
 
     def __missing__(self, word: bytes) -> int:
-        return self.rare | zlib.crc32(word[-ENDING:]) & 0xFFFF
+        ending = zlib.crc32(word[-ENDING:])
+        return self.width + ending % RARE_CLASSES * BUCKETS + zlib.crc32(word) % BUCKETS << 16 | ending & 0xFFFF
 
-    def classes(self, number: np.ndarray, hashes: np.ndarray, class_of: np.ndarray) -> np.ndarray:
-        rare = CLASSES - RARE_CLASSES + hashes % RARE_CLASSES
-        return np.where(number < len(class_of), np.r_[class_of, 0][number], rare)
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers and hashes of the tokens with the end, and the hashes of the words one and two before.
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Units of the tokens with the end, and the hashes of the words one and two before.
 
         Before the text stands the value ``2**16``.
         """
         codes = np.fromiter((self[w] for w in words), np.int64, len(words))
         codes = np.r_[codes, self.end]
         hashes = np.r_[1 << 16, 1 << 16, codes[:-1] & 0xFFFF]
-        return codes >> 16, codes & 0xFFFF, hashes[1:], hashes[:-1]
+        return codes >> 16, hashes[1:], hashes[:-1]
 
 
 def _slot(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -123,20 +134,18 @@ def _slot(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _count_histories(layout: Layout):
-    """Cells of (skip, bigram, class) and of (bigram, word) of a task's training documents."""
+    """Cells of (skip, bigram, class) and of (bigram, unit) of a task's training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, class_of, width = layout.reader(), layout.class_of, len(layout.words)
+        reader, class_of, width = layout.reader(), layout.class_of, len(layout.class_of)
         classes = np.zeros((HISTORY + 1) ** 2 * CLASSES, dtype=np.int64)
         words = np.zeros((WORD_HISTORY + 1) * width, dtype=np.int64)
         for batch in batches:
             for text in batch.column("text"):
-                number, own, one, two = reader.read(tokens(text.as_py()))
-                cls = reader.classes(number, own, class_of)
-                cell = (_slot(two, HISTORY) * (HISTORY + 1) + _slot(one, HISTORY)) * CLASSES + cls
+                unit, one, two = reader.read(tokens(text.as_py()))
+                cell = (_slot(two, HISTORY) * (HISTORY + 1) + _slot(one, HISTORY)) * CLASSES + class_of[unit]
                 np.add.at(classes, cell, 1)
-                known = number < width
-                np.add.at(words, _slot(one[known], WORD_HISTORY) * width + number[known], 1)
+                np.add.at(words, _slot(one, WORD_HISTORY) * width + unit, 1)
         for kind, cells in ((0, classes), (1, words)):
             found = np.flatnonzero(cells)
             columns = [pa.array(np.full(len(found), kind, np.int32)), pa.array(found), pa.array(cells[found])]
@@ -212,9 +221,11 @@ def _train_classes(cells: DataFrame) -> ClassWeights:
 
 
 def _train_words(layout: Layout):
-    """Weights of (one hash of the word before, word) by gradient updates; returns log P(word | class)."""
+    """Weights of (one hash of the word before, unit) by gradient updates; returns log P(unit | class)."""
     class_of = layout.class_of
-    base = np.log(layout.counts.astype(float))
+    with np.errstate(divide="ignore"):  # an empty bucket
+        base = np.log(layout.masses())
+    learned = len(base) - RARE_CLASSES
 
     def within(logits: np.ndarray) -> np.ndarray:
         top = np.full(CLASSES, -np.inf)
@@ -230,6 +241,7 @@ def _train_words(layout: Layout):
         for _ in range(WORD_UPDATES):
             expected = in_class * np.exp(within(base + weight))
             weight += 0.8 * (seen - expected - weight) / (seen + expected + PRIOR)
+            weight[learned:] = 0
         out = within(base + weight)
         return pa.table({"slot": table["slot"][:1], "logp": pa.array([out.tolist()], pa.list_(pa.float64()))})
 
@@ -240,7 +252,7 @@ def _train_words(layout: Layout):
 class MaxEntModel:
     layout: Layout
     weights: ClassWeights
-    #: log P(word | class) per hash of the word before.
+    #: log P(unit | class) per hash of the word before.
     words: np.ndarray
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
@@ -263,26 +275,26 @@ def train(texts: DataFrame, text_col: str = "text") -> tuple[MaxEntModel, DataFr
         # The end is looked up by its number only; in long documents it is not among the most frequent.
         words, often = [*words, END.encode()], np.r_[often, counts.where(F.col("word") == END).first()["n"]]
     ending = F.crc32(F.substring(F.col("word").cast("binary"), -ENDING, ENDING))
-    by_ending = counts.groupBy(F.pmod(ending, F.lit(RARE_CLASSES)).alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))
-    rare = np.zeros((2, RARE_CLASSES), dtype=np.int64)
-    for row in by_ending.collect():
-        rare[:, row["c"]] = row["n"], row["v"]
+    bucket = F.pmod(ending, F.lit(RARE_CLASSES)) * BUCKETS + F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(BUCKETS))
+    sums = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
+    rare = np.zeros((2, RARE_CLASSES * BUCKETS), dtype=np.int64)
+    rare[:, sums["bucket"].to_numpy()] = sums["n"].to_numpy(), sums["v"].to_numpy()
     for word, n in zip(words, often):
-        rare[:, zlib.crc32(word[-ENDING:]) % RARE_CLASSES] -= (n, 1)
+        rare[:, zlib.crc32(word[-ENDING:]) % RARE_CLASSES * BUCKETS + zlib.crc32(word) % BUCKETS] -= (n, 1)
     layout = Layout(words, often, totals["n"], totals["v"], *rare)
     side = HISTORY + 1
+    run, base = _train_words(layout)
+    logp = np.tile(base, (WORD_HISTORY + 1, 1))
     if not layout.words:
         flat = ClassWeights(np.zeros(CLASSES), np.zeros((side, CLASSES)), np.zeros((side, CLASSES)))
-        return MaxEntModel(layout, flat, np.zeros((WORD_HISTORY + 1, 0))), counts
+        return MaxEntModel(layout, flat, logp), counts
     cells = rows.mapInArrow(tidy(_count_histories(layout)), "kind int, cell long, n long")
     cells = cut(cells.groupBy("kind", "cell").agg(F.sum("n").alias("n")), "cells")
     weights = _train_classes(cells.where("kind = 0"))
-    run, base = _train_words(layout)
-    width = len(layout.words)
+    width = len(layout.class_of)
     pairs = cells.where("kind = 1").select(
         F.floor(F.col("cell") / width).cast("int").alias("slot"), (F.col("cell") % width).cast("int").alias("word"), "n"
     )
-    logp = np.tile(base, (WORD_HISTORY + 1, 1))
     for row in pairs.groupBy("slot").applyInArrow(run, "slot int, logp array<double>").collect():
         logp[row["slot"]] = row["logp"]
     return MaxEntModel(layout, weights, logp), counts
@@ -319,20 +331,22 @@ def _score_block(model: MaxEntModel):
         known = dict(zip(rare["word"].cast(pa.binary()).to_pylist(), rare["n"].to_pylist()))
         base_of = np.log10(layout.counts + 1.0)
         base_rest = math.log10(layout.train_tokens + layout.vocabulary + 1)
-        rare_rest = np.log10(layout.rare_tokens + layout.rare_words + 1.0)
+        inside = np.log10(np.maximum(layout.rare_tokens + layout.rare_words, 1.0))
         width, weights, rows = len(layout.words), model.weights, []
         for text in docs["text"]:
             words = tokens(text.as_py())
-            number, own, one, two = reader.read(words)
-            cls, b1, b2 = reader.classes(number, own, layout.class_of), _slot(one, HISTORY), _slot(two, HISTORY)
+            unit, one, two = reader.read(words)
+            cls, b1, b2 = layout.class_of[unit], _slot(one, HISTORY), _slot(two, HISTORY)
             chosen = weights.bias[cls] + weights.one[b1, cls] + weights.two[b2, cls] - norm[b2, b1]
-            frequent = number < width
-            ids = number[frequent]
-            seen = np.array([known.get(words[i], 0) if i < len(words) else 0 for i in np.flatnonzero(~frequent)], dtype=float)
+            ids, rare = unit[unit < width], np.flatnonzero(unit >= width)
+            seen = np.array([known.get(words[i], 0) if i < len(words) else 0 for i in rare], dtype=float)
             gained = np.log10(seen + 1)
-            score = chosen.sum() / math.log(10) + word_logp[_slot(one[frequent], WORD_HISTORY), ids].sum() + (gained - rare_rest[own[~frequent] % RARE_CLASSES]).sum()
-            base = base_of[ids].sum() + gained.sum() - len(number) * base_rest
-            rows.append((len(number), len(ids) + int((seen > 0).sum()), float(base), float(score)))
+            base = base_of[ids].sum() + gained.sum() - len(unit) * base_rest
+            # A word's share of its bucket; a word that was never seen is a unit of its own.
+            within = np.where(seen > 0, gained - inside[unit[rare] - width], 0.0)
+            unit[rare] = np.where(seen > 0, unit[rare], layout.unseen(unit[rare]))
+            score = chosen.sum() / math.log(10) + word_logp[_slot(one, WORD_HISTORY), unit].sum() + within.sum()
+            rows.append((len(unit), len(ids) + int((seen > 0).sum()), float(base), float(score)))
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((),) * 4, kinds)]
         names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]

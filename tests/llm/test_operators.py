@@ -345,6 +345,22 @@ def test_language_model_knows_a_rare_end(spark, monkeypatch):
         assert math.isclose(got[key]["base_score"], sum(math.log10((seen[t] + 1) / (n + v + 1)) for t in tokens), rel_tol=1e-9)
 
 
+def test_language_model_learns_what_stands_before_rare_words(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "FREQUENT", 4)
+    pairs = [("north", "qazzing"), ("south", "wexxing")]
+    docs = docs_of(spark, [" ".join(f"{a} {b} it was" for _ in range(30)) for a, b in pairs] + ["north south it was " * 90])
+    model, counts = maxent.train(docs)
+    assert not {b.encode() for _, b in pairs} & set(model.layout.words) and {b"north", b"south"} <= set(model.layout.words)
+    texts = ["north qazzing", "north wexxing", "south wexxing", "south qazzing", "north neverseening", "south neverseening"]
+    got = [r["score"] for r in maxent.score(docs_of(spark, texts), model, counts).orderBy("doc_id").collect()]
+    # All three words end alike, so that they share a class.
+    assert got[0] > got[1] + 0.5 and got[2] > got[3] + 0.5 and got[0] > got[4] + 0.5 and got[2] > got[5] + 0.5
+    _, logp = model.tables()
+    for row in logp:
+        total = np.bincount(model.layout.class_of, 10**row, maxent.CLASSES)
+        assert np.allclose(total[np.unique(model.layout.class_of)], 1)
+
+
 def test_pipeline_stages(spark, sf, empty):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = docs
