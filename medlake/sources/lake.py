@@ -21,6 +21,9 @@ INGEST_REPORT_EXTENSIONS = [".txt", ".pdf", ".json"]
 BRONZE_PREFIXES = ["bronze/images/", "bronze/reports/", "bronze/structured/"]
 SILVER_PREFIXES = ["silver/images/", "silver/reports/", "silver/structured/"]
 RETENTION_DAYS = {"dev": 30, "test": 14, "prod": 365}
+# Lots of small files that a task reads, and tasks that every core gets before lots are put together.
+PACKED = 16
+TASKS_PER_CORE = 4
 SIZE_UNITS = ["B", "KB", "MB", "GB", "TB"]
 NOT_FOUND = "NOT_FOUND"
 NAMES_SHOWN = 5
@@ -59,12 +62,22 @@ def report_key(path: Column) -> Column:
     return F.concat(F.regexp_replace(stem(path), "_report$", ""), F.lit("_structured"))
 
 
+def packed(files: DataFrame) -> DataFrame:
+    """A scan of files in fewer tasks, where there are many more than cores.
+
+    Spark counts a file as 4 MiB at least, so that a task gets 32 small files and mostly starts and ends. Here it gets up to
+    ``PACKED`` such lots, while there are ``TASKS_PER_CORE`` tasks a core. Rows stay as they are and nothing is shuffled.
+    """
+    lots = files.rdd.getNumPartitions()
+    return files.coalesce(max(1, min(lots, max(TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism, lots // PACKED))))
+
+
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root``; contents are never read.
 
     Spark's file index skips names starting with ``_`` or ``.``.
     """
-    return (
+    return packed(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
@@ -145,7 +158,7 @@ def read_reports(spark: SparkSession, root: str) -> DataFrame:
     """``path, raw_text`` of every report file; UTF-8, else Latin-1."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     allowed = files.where(suffix(F.col("path")).isin(REPORT_EXTENSIONS))
-    return allowed.select("path", decode_bytes(F.col("content")).alias("raw_text"))
+    return packed(allowed).select("path", decode_bytes(F.col("content")).alias("raw_text"))
 
 
 def path_kind(spark: SparkSession, path: str) -> str | None:
@@ -170,7 +183,7 @@ def read_directory(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
     if extensions:
         files = files.where(suffix(F.col("path")).isin([e.lower() for e in extensions]))
-    files = files.where(~file_name(F.col("path")).startswith("."))
+    files = packed(files.where(~file_name(F.col("path")).startswith(".")))
     return with_relative_path(files, source).withColumn(
         "object_key", F.concat(F.lit(prefix.rstrip("/") + "/"), F.col("rel_path"))
     )

@@ -58,6 +58,20 @@ def test_ingest_directory(spark, files, tmp_path):
         lake.read_directory(spark, files + "/images/a.JPG", "x")
 
 
+def test_many_small_files_share_tasks(spark, tmp_path):
+    for i in range(1_300):
+        (tmp_path / f"{i}.txt").write_text(str(i))
+    # 32 files in a task, if nothing puts them together.
+    found = lake.read_directory(spark, str(tmp_path), "bronze")
+    assert found.rdd.getNumPartitions() == 16 and lake.inventory(spark, str(tmp_path)).rdd.getNumPartitions() == 16
+    assert {(r.object_key, bytes(r.content)) for r in found.collect()} == {(f"bronze/{i}.txt", str(i).encode()) for i in range(1_300)}
+    one = tmp_path / "one"
+    one.mkdir()
+    assert lake.read_directory(spark, str(one), "bronze").count() == 0
+    (one / "a.txt").write_text("a")
+    assert lake.read_reports(spark, str(one)).collect()[0].raw_text == "a"
+
+
 def test_metadata_lookup(spark, files):
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(files)
     one = content.where(F.col("path").endswith("a.JPG")).select("path")
