@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from medlake.functions.pixels import SIDE, normalise, pool_grid, preview
 from medlake.operators.embedding import IMAGE_DIM, EmbedFn, each, hashed_words, safe_map
-from medlake.sources.lake import IMAGE_EXTENSIONS, stem
+from medlake.sources.lake import IMAGE_EXTENSIONS, packed, stem
 from medlake.operators.summaries import first_failures
 
 # Side limits, channel modes and error texts.
@@ -39,7 +39,7 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
     anything is decoded, and sizes come with the file listing.
     """
     endings = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e) for e in IMAGE_EXTENSIONS]
-    return (
+    return packed(
         spark.read.format("image")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*{" + ",".join(endings) + "}")
@@ -83,15 +83,23 @@ TENSOR_SCHEMA = T.StructType(
         T.StructField("mode", T.StringType()),
         T.StructField("is_valid", T.BooleanType()),
         T.StructField("error_message", T.StringType()),
-        T.StructField("tensor", T.ArrayType(T.FloatType())),
+        # No value is null, so that Spark copies them without asking.
+        T.StructField("tensor", T.ArrayType(T.FloatType(), containsNull=False)),
         T.StructField("preview", T.BinaryType()),
         T.StructField("elapsed_ms", T.DoubleType()),
+        # Taken of the tensor while it is an array: the same over its column costs many times as much.
+        T.StructField("low", T.FloatType()),
+        T.StructField("high", T.FloatType()),
+        T.StructField("total", T.DoubleType()),
     ]
 )
 
 
 def normalise_images(validated: DataFrame, denoise: bool = True, side: int = SIDE) -> DataFrame:
-    """Tensor rows of validated images; invalid and failing ones stay, without a tensor."""
+    """Tensor rows of validated images; invalid and failing ones stay, without a tensor.
+
+    ``low``, ``high`` and ``total`` are the least, the greatest and the sum of the tensor's values.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(TENSOR_SCHEMA)
@@ -105,6 +113,7 @@ def normalise_images(validated: DataFrame, denoise: bool = True, side: int = SID
                 row["data"], row["height"], row["width"], row["channels"], denoise, side, matrices
             )
             out |= {"tensor": tensor.ravel(), "preview": preview(tensor)}
+            out |= {"low": float(tensor.min()), "high": float(tensor.max()), "total": float(tensor.sum(dtype=np.float64))}
         except Exception as problem:  # a bad image must not fail the run
             out |= {"is_valid": False, "error_message": str(problem)}
         return out | {"elapsed_ms": (time.perf_counter() - start) * 1000}

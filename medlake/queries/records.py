@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -235,6 +237,22 @@ def calculators(spark, sf):
 
 # --- images derived from the embedding vectors ----------------------------------------------
 
+def _grey_levels(vectors: pa.Array, rows: pa.Array) -> pa.Array:
+    """The pixels by rows; halves go up, what is null or not a number is white."""
+    out = []
+    for vector, n in zip(vectors, rows.to_pylist()):
+        if not vector.is_valid:
+            out.append(None)
+            continue
+        across, down = (v.to_numpy(zero_copy_only=False).astype(np.float64) for v in (vector.values, vector.values[:n]))
+        with np.errstate(invalid="ignore"):
+            value = 128 + (400 * down)[:, None] * across
+            level = np.floor(value)
+            level += value - level >= 0.5
+        out.append(np.where(np.isnan(value), 255, np.clip(level, 0, 255)).astype(np.uint8).tobytes())
+    return pa.array(out, pa.binary())
+
+
 def derived_images(spark: SparkSession, sf: str) -> DataFrame:
     """One grey image per vector: pixel (i, j) scales the product of values i and j.
 
@@ -243,19 +261,11 @@ def derived_images(spark: SparkSession, sf: str) -> DataFrame:
     """
     vectors = table(spark, sf, "embeddings", ["vec_id", "embedding"])
     rows = F.when(F.col("vec_id") % 5 == 0, F.lit(40)).otherwise(F.lit(64))
-    level = lambda x, y: F.hex(
-        F.greatest(F.lit(0), F.least(F.lit(255), F.round(128 + 400 * x * y))).cast("bigint")
-    )
-    pixels = F.transform(
-        F.slice("embedding", F.lit(1), F.col("rows")),
-        lambda x: F.array_join(
-            F.transform("embedding", lambda y: F.lpad(level(x, y), 2, "0")), ""
-        ),
-    )
+    drawn = F.arrow_udf(_grey_levels, "binary", F.ArrowUDFType.SCALAR)
     lost = F.col("vec_id") % 7 == 0
     return (
         vectors.withColumn("rows", rows)
-        .withColumn("data", F.unhex(F.array_join(pixels, "")))
+        .withColumn("data", drawn("embedding", "rows"))
         .select(
             F.concat(F.lit("bronze/images/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("path"),
             F.length("data").cast("bigint").alias("file_size"),
@@ -345,13 +355,12 @@ tensors AS (SELECT id, q, list_transform(g, lambda x: CAST(x / 255.0::DOUBLE AS
 )
 def image_tensors(spark, sf):
     """Size, range and sum of every tensor, and the digest of its levels."""
-    total = F.aggregate("tensor", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return images.silver_images(_tensors(spark, sf)).select(
         "image_key",
         F.size("tensor").alias("values"),
-        F.round(F.array_min("tensor").cast("double"), 6).alias("low"),
-        F.round(F.array_max("tensor").cast("double"), 6).alias("high"),
-        F.round(total, 4).alias("total"),
+        F.round(F.col("low").cast("double"), 6).alias("low"),
+        F.round(F.col("high").cast("double"), 6).alias("high"),
+        F.round("total", 4).alias("total"),
         F.length("preview").alias("preview_bytes"),
         F.md5("preview").alias("preview_md5"),
     )

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
@@ -63,32 +65,35 @@ def put_objects(rows: DataFrame, root: str, key: str = "object_key", content: st
     return cut(chosen.mapInArrow(write, STATUS), "objects")
 
 
-def _little_endian(value: Column, size: int) -> Column:
-    """The hex digits of a number in ``size`` bytes, the lowest first."""
-    digits = F.lpad(F.hex(value.cast("long")), 16, "0")
-    return F.concat(*[F.substring(digits, 15 - 2 * i, 2) for i in range(size)])
-
-
 def bitmap(image: str = "image") -> Column:
     """An image struct (height, width, nChannels 1 or 3, data by rows, blue first) as the bytes of a bitmap file.
 
     Grey levels become three equal channels. Null where there is no such image.
     """
     height, width, channels = (F.col(f"{image}.{c}") for c in ("height", "width", "nChannels"))
-    stride = width * channels
-    padding = F.repeat(F.lit("00"), F.pmod(-width * 3, F.lit(4)).cast("int"))
-    line = F.transform(
-        F.sequence(F.lit(0), height - 1), lambda y: F.concat(_colours(F.hex(F.substring(F.col(f"{image}.data"), y * stride + 1, stride)), channels), padding)
-    )
-    size = (width * 3 + F.pmod(-width * 3, F.lit(4))) * height
-    head = F.concat(
-        F.lit("424D"), _little_endian(size + 54, 4), F.lit("00000000"), _little_endian(F.lit(54), 4),
-        _little_endian(F.lit(40), 4), _little_endian(width, 4), _little_endian(-height.cast("long"), 4),
-        _little_endian(F.lit(1), 2), _little_endian(F.lit(24), 2), F.lit("00000000"), _little_endian(size, 4), F.repeat(F.lit("00"), 16),
-    )
     known = channels.isin(1, 3) & (height > 0) & (width > 0)
-    return F.when(known, F.unhex(F.concat(head, F.array_join(line, ""))))
-
-
-def _colours(row: Column, channels: Column) -> Column:
-    return F.when(channels == 1, F.regexp_replace(row, "(..)", "$1$1$1")).otherwise(row)
+    drawn = F.arrow_udf(_draw, "binary", F.ArrowUDFType.SCALAR)
+    return F.when(known, drawn(height, width, channels, F.col(f"{image}.data")))
+
+
+def _draw(height: pa.Array, width: pa.Array, channels: pa.Array, data: pa.Array) -> pa.Array:
+    shapes = zip(height.to_pylist(), width.to_pylist(), channels.to_pylist())
+    return pa.array([_file(*shape, pixels.as_buffer()) for shape, pixels in zip(shapes, data)], pa.binary())
+
+
+def _file(height: int | None, width: int | None, channels: int | None, pixels: pa.Buffer | None) -> bytes | None:
+    if channels not in (1, 3) or not height or not width or min(height, width) < 1:
+        return None
+    stride, padding = width * channels, bytes(-width * 3 % 4)
+    size = (width * 3 + len(padding)) * height
+    head = struct.pack("<2sIIIIiiHHIIQQ", b"BM", size + 54, 0, 54, 40, width, -height, 1, 24, 0, size, 0, 0)
+    if pixels is None:
+        return head
+    levels = np.frombuffer(pixels, np.uint8)[: height * stride]
+    if channels == 1:
+        levels = levels.repeat(3)
+    if not padding:
+        return head + levels.tobytes()
+    # Rows that the data does not reach are their padding only.
+    lines = (levels[y * width * 3 : (y + 1) * width * 3].tobytes() for y in range(height))
+    return head + b"".join(line + padding for line in lines)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from medlake.functions import pixels
 from medlake.operators import images
+from medlake.queries import records
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +132,28 @@ def test_transparent_colour_does_not_bleed():
     out = pixels.resize(pixels_in, 16)
     edge = out[:, :, 3] > 20
     assert edge.any() and np.abs(out[edge][:, :3] - (200, 100, 50)).max() <= 8
+
+
+def test_tensors_tell_their_range_and_sum(tensors):
+    for r in tensors.collect():
+        if r.tensor is None:
+            assert (r.low, r.high, r.total) == (None, None, None)
+            continue
+        flat = np.array(r.tensor, dtype=np.float32)
+        assert (r.low, r.high) == (flat.min(), flat.max()) and r.total == pytest.approx(flat.sum(dtype=np.float64), abs=1e-6)
+
+
+def test_derived_images_keep_their_levels(spark, tmp_path):
+    odd = [float("nan"), float("inf"), None, -0.5, 0.0, 0.25, 0.3125, 1.0]
+    rows = [(1, odd), (5, [0.1] * 64), (7, [0.3, 0.9]), (8, None), (9, []), (None, [0.2, -0.2]), (1, odd)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    level = lambda x, y: F.hex(F.greatest(F.lit(0), F.least(F.lit(255), F.round(128 + 400 * x * y))).cast("bigint"))
+    line = lambda x: F.array_join(F.transform("embedding", lambda y: F.lpad(level(x, y), 2, "0")), "")
+    side = F.when(F.col("vec_id") % 5 == 0, 40).otherwise(64)
+    want = spark.read.parquet(str(tmp_path / "embeddings.parquet")).select(
+        "vec_id", F.array_join(F.transform(F.slice("embedding", 1, side), line), "").alias("levels")
+    )
+    lost = F.col("vec_id") % 7 == 0
+    told = want.select(F.when(~lost, F.col("levels")).alias("levels"), (F.length("levels") / 2).cast("bigint").alias("size")).collect()
+    got = records.derived_images(spark, str(tmp_path)).select(F.hex("image.data").alias("levels"), F.col("file_size").alias("size")).collect()
+    assert sorted(map(str, got)) == sorted(map(str, told)) and len(got) == 7

@@ -1,6 +1,7 @@
 """The object sink, bitmaps, the two-level manifest, the ingest of nothing, and the plan of the patient view."""
 
 import os
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,15 @@ def test_bitmaps_are_read_back(spark, tmp_path, width, channels):
     assert bytes(back[0]["data"]) == want and back[0]["file_size"] == 54 + (width * 3 + (-width * 3) % 4) * height
 
 
+def test_bitmaps_of_odd_images(spark):
+    schema = "n int, image struct<height:int,width:int,nChannels:int,data:binary>"
+    rows = [(0, (2, 3, 1, None)), (1, (2, 3, 1, b"ab")), (2, (2, 3, 3, bytes(range(20)))), (3, (None, 3, 1, b"abc")), (4, (0, 3, 1, b""))]
+    got = [r[0] and bytes(r[0]) for r in spark.createDataFrame(rows, schema).orderBy("n").select(objects.bitmap()).collect()]
+    assert [g and len(g) for g in got] == [54, 54 + 6 + 3 + 3, 54 + 24, None, None]
+    assert got[0] == b"BM" + struct.pack("<IIIIiiHHII", 78, 0, 54, 40, 3, -2, 1, 24, 0, 24) + bytes(16)
+    assert got[1][54:] == b"aaabbb" + bytes(6) and got[2][54:] == bytes(range(9)) + bytes(3) + bytes(range(9, 18)) + bytes(3)
+
+
 def test_manifest_index_names_every_id_once(spark, tmp_path):
     path = str(tmp_path / "manifest")
     ids = spark.range(1_000).select(F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("report_id"))
