@@ -12,19 +12,20 @@ the hash of their last two bytes.
   itself, the others share those of ``BUCKETS`` hash values in their class, so that all of them depend on the word before. The sum
   over a class is exact: words that share a feature add up to the smoothed count of their bucket.
 
-Scoring joins counts to the distinct rare words of a block of documents, then works on arrays of indices.
+Tasks split texts into words with Arrow, a few megabytes at once, look each distinct word up once and then work on arrays of
+numbers. Scoring joins counts to the distinct rare words of a block of documents.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,36 +43,70 @@ HISTORY = 128
 WORD_HISTORY = 32
 UPDATES = 12
 WORD_UPDATES = 20
-#: Bytes of text in a scoring block, and distinct words that a task holds back.
+#: Bytes of text in a scoring block, of words that a task holds back, and of text that it works on at once.
 BLOCK_BYTES = 24_000_000
-HELD = 400_000
+HELD_BYTES = 24_000_000
+PIECE_BYTES = 4_000_000
 #: Pull towards the word frequencies, in observations.
 PRIOR = 8.0
 FIXED_POINT = float(1 << 20)
 END = ""
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a text lower-cased in A-Z; the end that follows them is not listed."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in their order, ``PIECE_BYTES`` and one text more at most."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // PIECE_BYTES)) + 1).tolist(), len(texts)]
+    return (texts.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i)
+
+
+def _split(texts: pa.Array) -> pa.Array:
+    """The words of each text lower-cased in A-Z; blanks at its edges leave empty ones."""
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts))
+
+
+def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words with the end as the last one, the number of every token's word, and the tokens of each text, the end included."""
+    lists = _split(texts)
+    found = lists.flatten().dictionary_encode()
+    numbers, words = found.indices.to_numpy(), found.dictionary
+    real = numbers != pc.index(words, END).as_py()
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    sizes = np.bincount(text[real], minlength=len(texts)) + 1
+    inner = np.ones(sizes.sum(), dtype=bool)
+    inner[np.cumsum(sizes) - 1] = False
+    token = np.full(len(inner), len(words))
+    token[inner] = numbers[real]
+    return pa.concat_arrays([words, pa.array([END], words.type)]), token, sizes
+
+
+def _before(values: np.ndarray, sizes: np.ndarray, first: int) -> np.ndarray:
+    """The values one token before in texts of the given sizes; ``first`` stands before a text."""
+    moved = np.r_[first, values[:-1]]
+    moved[np.cumsum(sizes) - sizes] = first
+    return moved
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and their counts, once per task or per ``HELD`` words; the end is the empty word."""
-    def out(seen: Counter) -> pa.RecordBatch:
-        words = pa.array(list(seen), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+    """Words and their counts, once per task or per ``HELD_BYTES`` of words; the end is the empty word."""
+    def out(words: list[pa.Array]) -> pa.RecordBatch:
+        counts = pa.chunked_array(words).value_counts()
+        counts = counts.filter(pc.not_equal(counts.field("values"), END))
+        return pa.RecordBatch.from_arrays([counts.field("values").cast(pa.string()), counts.field("counts")], ["word", "n"])
 
-    seen: Counter = Counter()
+    words, size, texts = [], 0, 0
     for batch in batches:
-        for text in batch.column("text"):
-            seen.update(tokens(text.as_py()))
-        seen[b""] += len(batch)
-        if len(seen) >= HELD:
-            yield out(seen)
-            seen = Counter()
-    if seen:
-        yield out(seen)
+        texts += len(batch)
+        for piece in _pieces(batch.column("text")):
+            words.append(_split(piece).flatten())
+            size += words[-1].nbytes
+            if size >= HELD_BYTES:
+                yield out(words)
+                words, size = [], 0
+    if words:
+        yield out(words)
+    if texts:
+        yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([texts])], ["word", "n"])
 
 
 @dataclass
@@ -105,32 +140,23 @@ class Layout:
         return _Reader(self)
 
 
-class _Reader(dict):
-    """word -> unit * 2**16 + hash; of words that are not frequent the unit is their bucket, and the ending is hashed."""
+class _Reader:
+    """Looks up units and hashes; of words that are not frequent the unit is their bucket, and the ending is hashed."""
 
     def __init__(self, layout: Layout):
-        super().__init__({w: i << 16 | zlib.crc32(w) & 0xFFFF for i, w in enumerate(layout.words)})
-        self.width = len(layout.words)
-        self.end = self[b""]
-
-    def __missing__(self, word: bytes) -> int:
-        ending = zlib.crc32(word[-ENDING:])
-        return self.width + ending % RARE_CLASSES * BUCKETS + zlib.crc32(word) % BUCKETS << 16 | ending & 0xFFFF
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Units of the tokens with the end, and the hashes of the words one and two before.
-
-        Before the text stands the value ``2**16``.
-        """
-        codes = np.fromiter((self[w] for w in words), np.int64, len(words))
-        codes = np.r_[codes, self.end]
-        hashes = np.r_[1 << 16, 1 << 16, codes[:-1] & 0xFFFF]
-        return codes >> 16, hashes[1:], hashes[:-1]
-
+        self.words = pa.array(layout.words, pa.binary()).cast(pa.string())
+        self.hashes = np.fromiter(map(zlib.crc32, layout.words), np.int64, len(layout.words)) & 0xFFFF
 
-def _slot(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Feature number of a hash; the last one stands for the place before the text."""
-    return np.where(hashes == 1 << 16, size, hashes % size)
+    def read(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        unit = pc.index_in(words, value_set=self.words.cast(words.type)).fill_null(-1).to_numpy().astype(np.int64)
+        often, rare = np.flatnonzero(unit >= 0), np.flatnonzero(unit < 0)
+        others = words.take(pa.array(rare)).cast(pa.binary()).to_pylist()
+        whole = np.fromiter(map(zlib.crc32, others), np.int64, len(others))
+        ending = np.fromiter((zlib.crc32(w[-ENDING:]) for w in others), np.int64, len(others))
+        hashes = np.empty_like(unit)
+        hashes[often], hashes[rare] = self.hashes[unit[often]], ending & 0xFFFF
+        unit[rare] = len(self.words) + ending % RARE_CLASSES * BUCKETS + whole % BUCKETS
+        return unit, hashes
 
 
 def _count_histories(layout: Layout):
@@ -141,11 +167,14 @@ def _count_histories(layout: Layout):
         classes = np.zeros((HISTORY + 1) ** 2 * CLASSES, dtype=np.int64)
         words = np.zeros((WORD_HISTORY + 1) * width, dtype=np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                unit, one, two = reader.read(tokens(text.as_py()))
-                cell = (_slot(two, HISTORY) * (HISTORY + 1) + _slot(one, HISTORY)) * CLASSES + class_of[unit]
-                np.add.at(classes, cell, 1)
-                np.add.at(words, _slot(one, WORD_HISTORY) * width + unit, 1)
+            for piece in _pieces(batch.column("text")):
+                distinct, token, sizes = _tokens(piece)
+                unit, hashes = reader.read(distinct)
+                one = _before((hashes % HISTORY)[token], sizes, HISTORY)
+                two = _before(one, sizes, HISTORY)
+                np.add.at(classes, (two * (HISTORY + 1) + one) * CLASSES + class_of[unit][token], 1)
+                one = _before((hashes % WORD_HISTORY)[token], sizes, WORD_HISTORY)
+                np.add.at(words, one * width + unit[token], 1)
         for kind, cells in ((0, classes), (1, words)):
             found = np.flatnonzero(cells)
             columns = [pa.array(np.full(len(found), kind, np.int32)), pa.array(found), pa.array(cells[found])]
@@ -304,22 +333,26 @@ def _rare_words(layout: Layout):
     """Distinct words of a task's blocks that are not frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = set(layout.words)
+        frequent = pa.array([*layout.words, END.encode()], pa.binary()).cast(pa.string())
 
-        def out(block: int, words: set[bytes]) -> pa.RecordBatch:
-            found = pa.array(list(words - frequent), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int32()), found], ["block", "word"])
+        def out(held: dict[int, list[pa.Array]]) -> Iterator[pa.RecordBatch]:
+            for block, words in held.items():
+                found = pa.chunked_array(words).unique().cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block, np.int32)), found], ["block", "word"])
 
-        held: dict[int, set[bytes]] = {}
+        held, size = {}, 0
         for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-                held.setdefault(block, set()).update(tokens(text.as_py()))
-            if sum(map(len, held.values())) >= HELD:
-                for block, words in held.items():
-                    yield out(block, words)
-                held = {}
-        for block, words in held.items():
-            yield out(block, words)
+            blocks = batch.column("block").to_numpy()
+            for block in np.unique(blocks).tolist():
+                for piece in _pieces(batch.column("text").filter(pa.array(blocks == block))):
+                    words = _split(piece).flatten().unique()
+                    words = words.filter(pc.invert(pc.is_in(words, value_set=frequent.cast(words.type))))
+                    held.setdefault(block, []).append(words)
+                    size += words.nbytes
+            if size >= HELD_BYTES:
+                yield from out(held)
+                held, size = {}, 0
+        yield from out(held)
 
     return run
 
@@ -328,27 +361,35 @@ def _score_block(model: MaxEntModel):
     def run(docs: pa.Table, rare: pa.Table) -> pa.Table:
         layout, reader = model.layout, model.layout.reader()
         norm, word_logp = model.tables()
-        known = dict(zip(rare["word"].cast(pa.binary()).to_pylist(), rare["n"].to_pylist()))
-        base_of = np.log10(layout.counts + 1.0)
+        weights = model.weights
+        # log10 of the class factor, of every word two before, word before and class.
+        class_logp = ((weights.bias + weights.one + weights.two[:, None] - norm[..., None]) / math.log(10)).ravel()
+        known, count = rare["word"].combine_chunks(), np.r_[rare["n"].to_numpy(), 0]
         base_rest = math.log10(layout.train_tokens + layout.vocabulary + 1)
         inside = np.log10(np.maximum(layout.rare_tokens + layout.rare_words, 1.0))
-        width, weights, rows = len(layout.words), model.weights, []
-        for text in docs["text"]:
-            words = tokens(text.as_py())
-            unit, one, two = reader.read(words)
-            cls, b1, b2 = layout.class_of[unit], _slot(one, HISTORY), _slot(two, HISTORY)
-            chosen = weights.bias[cls] + weights.one[b1, cls] + weights.two[b2, cls] - norm[b2, b1]
-            ids, rare = unit[unit < width], np.flatnonzero(unit >= width)
-            seen = np.array([known.get(words[i], 0) if i < len(words) else 0 for i in rare], dtype=float)
-            gained = np.log10(seen + 1)
-            base = base_of[ids].sum() + gained.sum() - len(unit) * base_rest
+        width, columns = len(layout.words), [[], [], [], []]
+        for piece in (p for chunk in docs["text"].chunks for p in _pieces(chunk)):
+            words, token, sizes = _tokens(piece)
+            unit, hashes = reader.read(words)
+            others = np.flatnonzero(unit >= width)
+            seen = np.r_[layout.counts, np.zeros(len(word_logp[0]) - width, np.int64)][unit]
+            seen[others] = count[pc.index_in(words.take(pa.array(others)), value_set=known.cast(words.type)).fill_null(len(known)).to_numpy()]
+            gained, cls, within = np.log10(seen + 1.0), layout.class_of[unit], np.zeros(len(unit))
             # A word's share of its bucket; a word that was never seen is a unit of its own.
-            within = np.where(seen > 0, gained - inside[unit[rare] - width], 0.0)
-            unit[rare] = np.where(seen > 0, unit[rare], layout.unseen(unit[rare]))
-            score = chosen.sum() / math.log(10) + word_logp[_slot(one, WORD_HISTORY), unit].sum() + within.sum()
-            rows.append((len(unit), len(ids) + int((seen > 0).sum()), float(base), float(score)))
+            within[others] = np.where(seen[others] > 0, gained[others] - inside[unit[others] - width], 0.0)
+            unit[others] = np.where(seen[others] > 0, unit[others], layout.unseen(unit[others]))
+            one = _before((hashes % HISTORY)[token], sizes, HISTORY)
+            two = _before(one, sizes, HISTORY)
+            score = class_logp[(two * (HISTORY + 1) + one) * CLASSES + cls[token]]
+            one = _before((hashes % WORD_HISTORY)[token], sizes, WORD_HISTORY)
+            score += word_logp[one, unit[token]] + within[token]
+            starts = np.cumsum(sizes) - sizes
+            columns[0].append(sizes)
+            columns[1].append(np.add.reduceat((seen > 0).astype(np.int64)[token], starts))
+            columns[2].append(np.add.reduceat(gained[token], starts) - sizes * base_rest)
+            columns[3].append(np.add.reduceat(score, starts))
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((),) * 4, kinds)]
+        columns = [pa.chunked_array([pa.array(part, k) for part in c], k) for c, k in zip(columns, kinds)]
         names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
         return pa.table([docs["doc_id"], *columns], names=names)
 

@@ -3,7 +3,9 @@
 import base64
 import itertools
 import math
+import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -361,6 +363,74 @@ def test_language_model_learns_what_stands_before_rare_words(spark, monkeypatch)
         assert np.allclose(total[np.unique(model.layout.class_of)], 1)
 
 
+@pytest.mark.parametrize("piece", [16, 4_000_000])
+def test_language_model_looks_a_word_up_once_for_all_its_places(monkeypatch, piece):
+    monkeypatch.setattr(maxent, "PIECE_BYTES", piece, raising=False)
+    crc, looked = zlib.crc32, []
+    monkeypatch.setattr(maxent, "zlib", SimpleNamespace(crc32=lambda word: looked.append(word) or crc(word)))
+    frequent, side = [b"the", b"", b"a"], maxent.HISTORY + 1
+    rare = {b"rare": 7000, b"\xc3\xa9\x1cx\xc2\xa0y\xc2\x85": 2, b"so": 4}
+    buckets = np.zeros((2, maxent.RARE_CLASSES * maxent.BUCKETS), dtype=np.int64)
+
+    def bucket(word):
+        return crc(word[-2:]) % maxent.RARE_CLASSES * maxent.BUCKETS + crc(word) % maxent.BUCKETS
+
+    for word, n in rare.items():
+        buckets[:, bucket(word)] += n, 1
+    layout = maxent.Layout(frequent, np.array([50, 30, 20]), 7106, 6, *buckets)
+    texts = ["", "  \x0b\r\n", " The RARE\x0c a\tso\x1f ", "\u00e9\x1cx\u00a0y\u0085 a \u00c9 the", "rare " * 7000 + "the", "so"]
+    read = [t.encode().lower().split() + [b""] for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([5, 2, 5, 2, 2, 5], pa.int32())], ["text", "block"])
+
+    def word(w):
+        return (frequent.index(w), crc(w) & 0xFFFF) if w in frequent else (3 + bucket(w), crc(w[-2:]) & 0xFFFF)
+
+    def slot(tokens, i, size):
+        return size if i < 0 else word(tokens[i])[1] % size
+
+    # Counts of words and of histories.
+    counted = Counter()
+    for part in maxent._count_words(iter([batch, batch])):
+        counted.update(dict(zip(part["word"].to_pylist(), part["n"].to_pylist())))
+    assert counted == Counter(w.decode() for tokens in read * 2 for w in tokens)
+    cells = Counter()
+    for tokens in read:
+        for i, w in enumerate(tokens):
+            history = slot(tokens, i - 2, maxent.HISTORY) * side + slot(tokens, i - 1, maxent.HISTORY)
+            cells[0, history * maxent.CLASSES + layout.class_of[word(w)[0]]] += 1
+            cells[1, slot(tokens, i - 1, maxent.WORD_HISTORY) * len(layout.class_of) + word(w)[0]] += 1
+    parts = list(maxent._count_histories(layout)(iter([batch])))
+    assert cells == {(k, c): n for part in parts for k, c, n in zip(*(part[name].to_pylist() for name in ("kind", "cell", "n")))}
+
+    # Distinct rare words of each block.
+    found = {(b, w) for part in maxent._rare_words(layout)(iter([batch])) for b, w in zip(part["block"].to_pylist(), part["word"].to_pylist())}
+    assert found == {(b, w.decode()) for b, tokens in zip([5, 2, 5, 2, 2, 5], read) for w in tokens if w not in frequent}
+
+    # Scores beside the sum over the tokens, one after another.
+    made = np.random.default_rng(3)
+    weights = maxent.ClassWeights(made.normal(size=maxent.CLASSES), *made.normal(size=(2, side, maxent.CLASSES)))
+    model = maxent.MaxEntModel(layout, weights, -made.random((maxent.WORD_HISTORY + 1, len(layout.class_of))))
+    known = pa.table({"word": [w.decode() for w in rare] * 2, "n": list(rare.values()) * 2})
+    docs = pa.table({"doc_id": pa.chunked_array([[5, 4], [3, 2, 1, 0]]), "text": pa.chunked_array([texts[:2], texts[2:]])})
+    got = maxent._score_block(model)(docs, known)
+    norm, words = model.tables()
+    assert got["doc_id"].to_pylist() == [5, 4, 3, 2, 1, 0]
+    for row, tokens in zip(got.to_pylist(), read):
+        base = score = 0.0
+        for i, w in enumerate(tokens):
+            unit, n = word(w)[0], int(layout.counts[frequent.index(w)]) if w in frequent else rare.get(w, 0)
+            two, one, cls = slot(tokens, i - 2, maxent.HISTORY), slot(tokens, i - 1, maxent.HISTORY), layout.class_of[unit]
+            base += math.log10((n + 1) / (7106 + 6 + 1))
+            score += (weights.bias[cls] + weights.one[one, cls] + weights.two[two, cls] - norm[two, one]) / math.log(10)
+            score += words[slot(tokens, i - 1, maxent.WORD_HISTORY), unit if n else layout.unseen(unit)]
+            if w in rare:
+                score += math.log10((n + 1) / buckets[:, bucket(w)].sum())
+        assert (row["n_tokens"], row["n_known"]) == (len(tokens), sum(w in frequent or w in rare for w in tokens))
+        assert math.isclose(row["base_score"], base, rel_tol=1e-9) and math.isclose(row["score"], score, rel_tol=1e-9)
+    # The word that comes 7,000 times.
+    assert looked.count(b"rare") < 20
+
+
 def test_pipeline_stages(spark, sf, empty):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = docs
