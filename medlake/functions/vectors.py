@@ -34,14 +34,15 @@ class RunningTopK:
     """The k best (score, id) of each query among the vectors seen so far.
 
     Scores are rounded before ranking so that equal vectors tie exactly, whatever batch
-    they arrive in; ties go to the smaller id.
+    they arrive in; ties go to the smaller id. ``floor`` has scores that a hit must reach; with
+    ``distinct``, vectors alike in id and score are one hit.
     """
 
-    def __init__(self, queries: np.ndarray, k: int, digits: int = SCORE_DIGITS):
-        self.queries, self.k, self.digits = queries, k, digits
+    def __init__(self, queries: np.ndarray, k: int, digits: int = SCORE_DIGITS, floor: np.ndarray | None = None, distinct: bool = False):
+        self.queries, self.k, self.digits, self.distinct = queries, k, digits, distinct
         self.scores = [np.empty(0)] * len(queries)
         self.ids = [np.empty(0, dtype=object)] * len(queries)
-        self.floor = np.full(len(queries), -np.inf)
+        self.floor = np.full(len(queries), -np.inf) if floor is None else floor.copy()
 
     def add(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None) -> None:
         """Offer vectors to all queries, or only to the query rows given."""
@@ -63,6 +64,11 @@ class RunningTopK:
     def _merge(self, row: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores = np.concatenate([self.scores[row], scores])
         ids = np.concatenate([self.ids[row], ids])
+        if self.distinct and len(scores) > 1:
+            order = np.lexsort((np.argsort(np.argsort(ids, kind="stable")), scores))
+            scores, ids = scores[order], ids[order]
+            new = np.r_[True, (scores[1:] != scores[:-1]) | (ids[1:] != ids[:-1])]
+            scores, ids = scores[new], ids[new]
         if len(scores) > self.k:
             kth = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
             near = scores >= kth

@@ -9,6 +9,9 @@ For a query, a leaf's products lie around that with its mean and cannot exceed i
 the radius. A search probes the ``first`` leaves by mean, and the k-th best score found there tells for each other leaf
 how many better ones to expect in it: leaves are added until at most ``1 - target`` of the k hits are expected in those left out. With a
 target of 1, every leaf within reach of the radius is searched, and the result is exact.
+
+Vectors are written twice, as rows and in order of leaves; between, only the centers of a level are kept. A search whose queries and
+leaves can be shipped stores a bit for each query and leaf and scores the vectors where they lie: neither pairs nor vectors are shuffled.
 """
 
 from __future__ import annotations
@@ -19,15 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, leaf_scores, matrix, object_ids
-from medlake.operators.search import MEASURES, TOP_K, _hit_schema, _prepared, best_k, conforming
+from medlake.functions.vectors import SCORE_DIGITS, RunningTopK, _runs, leaf_scores, matrix, object_ids
+from medlake.operators.search import MEASURES, SEARCH_ROWS, TOP_K, _hit_schema, _prepared, best_k, conforming
 from medlake.operators.vector_index import MAX_LEAF_FILTER, VECTORS_PER_LEAF
-from medlake.plans.bounded import MAX_BROADCAST_BYTES, broadcast_if_small
-from medlake.plans.durable import cut
+from medlake.plans.batches import SLICE, slices, tidy
+from medlake.plans.bounded import MAX_BROADCAST_BYTES, broadcast_if_small, fetch_if_small
+from medlake.plans.durable import cut, remove, work_path
 
 FAN = 32
 #: Levels that leaf numbers have room for, and the level from which nodes that k-means could not make small are dealt by row number.
@@ -48,6 +53,11 @@ QUERY_BLOCK = 4_096
 LEAF_BLOCK = 4_096
 #: Queries that a task routes at once; it holds some matrices of these by its leaves.
 ROUTED = 128
+#: Where leaves are shipped: query rows that a task routes, and products of queries and leaves that it holds at once.
+ROUTE_BLOCK = 512
+ROUTE_CELLS = 1_000_000
+#: Bytes of masks that are shipped to a scan.
+MASK_BYTES = MAX_BROADCAST_BYTES
 
 
 @dataclass
@@ -119,33 +129,47 @@ def _by_node(centers: pa.Table, dim: int) -> dict[int, tuple[np.ndarray, np.ndar
     return {int(n): (children[nodes == n], places[nodes == n]) for n in np.unique(nodes)}
 
 
-def _descend(big: DataFrame, centers: DataFrame, dim: int, measure: str, spill: float | None) -> DataFrame:
-    """``big(row, node, second, n, id, embedding)`` with each row's child as its ``node``, and ``second``."""
-    types = T.StructType([f for f in big.schema if f.name != "n"])
-    names = types.names
+def _place(rows: np.ndarray, nodes: np.ndarray, second: np.ndarray, vectors: np.ndarray, known: dict, spill: float | None) -> None:
+    """Moves every row down to its child, in ``nodes`` and ``second``, while ``known`` has the centers of its node."""
+    live = np.arange(len(rows))
+    while len(live):
+        order = live[np.argsort(nodes[live], kind="stable")]
+        moved = [(node, order[start:end]) for node, start, end in _runs(nodes[order]) if node in known]
+        for node, at in moved:
+            nodes[at], second[at] = _nearest(rows[at], vectors[at], *known[node], spill)
+        live = np.concatenate([at for _, at in moved]) if moved else live[:0]
+
+
+def _placing(types: T.StructType, dim: int, measure: str, spill: float | None):
+    """``place(batch, known)``: the rows of a batch of ``types`` with their ``node`` and ``second`` as far down as ``known`` goes."""
+
+    def place(batch: pa.RecordBatch | pa.Table, known: dict) -> pa.Table:
+        new = {c: np.array(batch.column(c).to_numpy()) for c in ("node", "second")}
+        _place(batch.column("row").to_numpy(), *new.values(), _prepared(batch.column("embedding"), dim, measure), known, spill)
+        return pa.table([pa.array(new[c]) if c in new else batch.column(c) for c in types.names], names=types.names)
+
+    return place
 
-    def assign(batch: pa.RecordBatch | pa.Table, known: dict) -> pa.Table:
-        rows, nodes = batch.column("row").to_numpy(), batch.column("node").to_numpy()
-        child, second = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
-        vectors = _prepared(batch.column("embedding"), dim, measure)
-        for node in np.unique(nodes):
-            at = nodes == node
-            child[at], second[at] = _nearest(rows[at], vectors[at], *known[int(node)], spill)
-        new = {"node": pa.array(child), "second": pa.array(second)}
-        return pa.table([new[c] if c in new else batch.column(c) for c in names], names=names)
 
-    small = MAX_BROADCAST_BYTES // (8 * dim)
-    if centers.limit(small + 1).count() <= small:
-        shipped = big.sparkSession.sparkContext.broadcast(_by_node(centers.toArrow(), dim))
+def _descend(placed: DataFrame, known: dict, dim: int, measure: str, spill: float | None) -> DataFrame:
+    """``placed(row, node, second, id, embedding)`` after the levels whose centers are in ``known``. Narrow: nothing is written."""
+    place = _placing(placed.schema, dim, measure, spill)
+    shipped = placed.sparkSession.sparkContext.broadcast(known)
 
-        def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield from assign(batch, shipped.value).to_batches()
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from place(batch, shipped.value).to_batches()
 
-        return big.mapInArrow(narrow, types)
+    return placed.mapInArrow(narrow, placed.schema)
+
+
+def _descend_cells(big: DataFrame, centers: DataFrame, dim: int, measure: str, spill: float | None) -> DataFrame:
+    """One level down where the centers are too many to be shipped: ``big`` has the size ``n`` of each row's node as well."""
+    types = T.StructType([f for f in big.schema if f.name != "n"])
+    place = _placing(types, dim, measure, spill)
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        return assign(left.combine_chunks(), _by_node(right, dim) if len(left) else {})
+        return place(left.combine_chunks(), _by_node(right, dim) if len(left) else {})
 
     chunks = F.ceil(F.col("n") / CHUNK)
     dealt = big.withColumn("chunk", F.pmod("row", chunks))
@@ -182,43 +206,58 @@ def build_tree(
     """
     if measure not in MEASURES:
         raise ValueError(f"measure must be one of {MEASURES}")
-    none = F.lit(-1).cast("long").alias("second")
+    spark, none = corpus.sparkSession, F.lit(-1).cast("long").alias("second")
     rows = conforming(corpus.select("id", "embedding"), dim).select(
         F.monotonically_increasing_id().alias("row"), F.lit(1).cast("long").alias("node"), none, "id", "embedding"
     )
-    settled = []
-    for level in range(DEPTH):
-        placed = cut(rows, f"tree-level{level}")
-        sizes = cut(placed.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "tree-sizes")
-        counted = placed.join(_small(sizes), "node")
-        settled.append(counted.where(F.col("n") <= per_leaf).select(*placed.columns))
-        if sizes.where(F.col("n") > per_leaf).isEmpty():
+    path, stored = _written(rows)
+    placed, known, held, small = stored, {}, 0, MAX_BROADCAST_BYTES // (8 * dim)
+    for level in range(DEPTH + 1):
+        # The least row of a node is always in its sample, which is never empty then.
+        sizes = cut(placed.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("least")), "tree-sizes")
+        large = F.col("n") > per_leaf
+        if level == DEPTH or sizes.where(large).isEmpty():
             break
-        big = counted.where(F.col("n") > per_leaf).select(*placed.columns, "n")
+        big = placed.join(_small(sizes.where(large)), "node")
         draw = F.pmod(F.xxhash64("row", F.lit(level)), F.lit(1 << 20)) / float(1 << 20)
-        # The least row of a node is always in its sample, which is never empty then.
-        least = big.groupBy("node").agg(F.min("row").alias("least"))
-        drawn = big.join(_small(cut(least, "tree-least")), "node").where((draw < F.lit(float(sample)) / F.col("n")) | (F.col("row") == F.col("least")))
+        drawn = big.where((draw < F.lit(float(sample)) / F.col("n")) | (F.col("row") == F.col("least")))
         shape = "node long, child long, center array<double>"
         split = _split(dim, measure, per_leaf, level >= DEAL_FROM)
         centers = cut(drawn.select("node", "n", "embedding").groupBy("node").applyInArrow(split, shape), "tree-centers")
-        rows = _descend(big, centers, dim, measure, spill)
-    else:
-        settled.append(rows)
-    homes = settled[0]
-    for more in settled[1:]:
-        homes = homes.unionByName(more)
-    leaves = _small(cut(homes.select("node").distinct(), "tree-leaves"))
-    copies = homes.where("second >= 0").drop("node").withColumnRenamed("second", "node").join(leaves, "node", "left_semi")
-    vectors = homes.select("id", "embedding", F.col("node").alias("leaf"), F.lit(True).alias("home")).unionByName(
-        copies.select("id", "embedding", F.col("node").alias("leaf"), F.lit(False).alias("home"))
-    )
+        more = centers.limit(small + 1).count()
+        if known and held + more > small:  # the centers so far make way for others
+            old, (path, stored) = path, _written(placed)
+            remove(spark, old)
+            placed, known, held = stored, {}, 0
+            big = placed.join(_small(sizes.where(large)), "node")
+        if more <= small:
+            known, held = known | _by_node(centers.toArrow(), dim), held + more
+            placed = _descend(stored, known, dim, measure, spill)
+        else:
+            done = placed.join(_small(sizes.where(~large)), "node").select(*stored.columns)
+            lower = _descend_cells(big.select(*stored.columns, "n"), centers, dim, measure, spill)
+            old, (path, stored) = path, _written(done.unionByName(lower))
+            remove(spark, old)
+            placed = stored
+    places = F.array(*[F.struct(F.col(c).alias("leaf"), F.lit(c == "node").alias("home")) for c in ("node", "second")])
+    homes = placed.select("id", "embedding", F.inline(places)).where("leaf >= 0")
+    # A copy has no leaf to lie in where its second best node was split.
+    leaves = _small(sizes.select("node")).select(F.col("node").alias("leaf"), F.lit(True).alias("held"))
+    vectors = homes.join(leaves, "leaf", "left").where("home OR held").select("id", "embedding", "leaf", "home")
     vectors = cut(vectors.repartitionByRange("leaf").sortWithinPartitions("leaf"), "tree-vectors")
+    remove(spark, path)
     run, shape = _summaries(dim, measure)
     summaries = vectors.select("leaf", "embedding").groupBy("leaf").applyInArrow(run, shape)
     return TreeIndex(vectors, cut(summaries, "tree-summaries"), dim, measure)
 
 
+def _written(rows: DataFrame) -> tuple[str, DataFrame]:
+    """Like ``cut``, with the path, for a table that is removed once nothing reads it."""
+    path = work_path(rows.sparkSession, "tree-rows")
+    rows.write.parquet(path)
+    return path, rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _small(nodes: DataFrame) -> DataFrame:
     return broadcast_if_small(nodes, "node")
 
@@ -238,6 +277,15 @@ def _tail(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.vectorize(math.erfc, otypes=[float])(np.clip(x, -30, 30) / math.sqrt(2))
 
 
+def _outlook(vectors: np.ndarray, floor: np.ndarray, leaves: pa.Table, means: np.ndarray, variances: np.ndarray):
+    """What ``choose`` of ``_meetings`` is told of each query and leaf."""
+    length = np.sqrt((vectors**2).sum(axis=1))[:, None]
+    middle = vectors @ means.T
+    reach = np.minimum(middle + length * leaves["radius"].to_numpy(), length * leaves["longest"].to_numpy())
+    spread = np.sqrt(np.maximum((vectors**2) @ variances.T, 1e-24))
+    return floor[:, None], middle, reach + np.abs(reach) * 1e-9 + 1e-12, spread, leaves["n"].to_numpy()
+
+
 def _meetings(queries: DataFrame, m: int, index: TreeIndex, leaves: int, choose) -> DataFrame:
     """``(query_id, leaf, weight)`` chosen where every block of the ``m`` queries meets every block of leaves.
 
@@ -250,13 +298,9 @@ def _meetings(queries: DataFrame, m: int, index: TreeIndex, leaves: int, choose)
 
     def route(asked: pa.Table, leaves: pa.Table, means: np.ndarray, variances: np.ndarray) -> pa.Table:
         vectors = _prepared(asked["embedding"], dim, measure)
-        length = np.sqrt((vectors**2).sum(axis=1))[:, None]
-        middle = vectors @ means.T
-        reach = np.minimum(middle + length * leaves["radius"].to_numpy(), length * leaves["longest"].to_numpy())
-        spread = np.sqrt(np.maximum((vectors**2) @ variances.T, 1e-24))
         floor = asked["floor"].to_numpy(zero_copy_only=False).astype(float)
-        floor = np.where(np.isnan(floor), -np.inf, floor)[:, None]
-        take, weight = choose(floor, middle, reach + np.abs(reach) * 1e-9 + 1e-12, spread, leaves["n"].to_numpy())
+        floor = np.where(np.isnan(floor), -np.inf, floor)
+        take, weight = choose(*_outlook(vectors, floor, leaves, means, variances))
         q, leaf = np.nonzero(take)
         columns = [asked["query_id"].combine_chunks().take(pa.array(q)), leaves["leaf"].combine_chunks().take(pa.array(leaf)), weight[q, leaf]]
         return pa.table(columns, names=["query_id", "leaf", "weight"])
@@ -326,8 +370,191 @@ def _floors(queries: DataFrame, hits: DataFrame | None, k: int) -> DataFrame:
     """``queries`` with ``floor``, the k-th best score among ``hits``, null where there are fewer."""
     if hits is None:
         return queries.withColumn("floor", F.lit(None).cast("double"))
-    floors = best_k(hits, k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("distance")).alias("floor"))
-    return queries.join(floors, "query_id", "left")
+    return queries.join(_kth_best(hits, k), "query_id", "left")
+
+
+def _kth_best(hits: DataFrame, k: int) -> DataFrame:
+    return best_k(hits, k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("distance")).alias("floor"))
+
+
+@dataclass
+class _Shipped:
+    """Queries and leaves that every task gets: rows of queries in order of their ids, leaves in order of their numbers.
+
+    ``starts`` has the first row of each id and, at the end, the number of rows; ``blocks`` the first row and the end of what a task
+    routes at once, whole ids; ``floor`` the k-th best score known of each row.
+    """
+
+    ids: pa.Array
+    vectors: np.ndarray
+    starts: np.ndarray
+    blocks: list[tuple[int, int]]
+    floor: np.ndarray
+    leaves: pa.Table
+    means: np.ndarray
+    variances: np.ndarray
+
+    @classmethod
+    def of(cls, queries: DataFrame, index: TreeIndex) -> _Shipped | None:
+        """``None`` where there are too many of either, or of the rows of one id."""
+        dim = index.dim
+        packed = fetch_if_small(queries, MAX_BROADCAST_BYTES // (8 * dim))
+        leaves = None if packed is None else fetch_if_small(index.leaves, MAX_BROADCAST_BYTES // (16 * dim))
+        if leaves is None:
+            return None
+        numbers: dict[str, int] = {}
+        group = np.array([numbers.setdefault(repr(one), len(numbers)) for one in packed["query_id"].to_pylist()], dtype=np.int64)
+        order = np.argsort(group, kind="stable")
+        starts = np.append(np.flatnonzero(np.diff(group[order], prepend=-1)), len(group))
+        if len(group) and np.diff(starts).max() > ROUTED:
+            return None
+        packed, leaves = packed.take(pa.array(order)), leaves.sort_by("leaf")
+        means, variances = (matrix(leaves[c], dim) for c in ("mean", "variance"))
+        vectors, ids = _prepared(packed["embedding"], dim, index.measure), packed["query_id"].combine_chunks()
+        # Two blocks for each core at least.
+        rows = min(ROUTE_BLOCK, -(-len(ids) // (2 * index.vectors.sparkSession.sparkContext.defaultParallelism)))
+        blocks, begin = [], 0
+        while begin < len(ids):
+            end = int(starts[np.searchsorted(starts, min(begin + rows, len(ids)))])
+            blocks.append((begin, end))
+            begin = end
+        leaves, floor = leaves.drop_columns(["mean", "variance"]).combine_chunks(), np.full(len(ids), -np.inf)
+        return cls(ids, vectors, starts, blocks, floor, leaves, means, variances)
+
+    def learn(self, floors: pa.Table) -> None:
+        known = dict(zip(map(repr, floors["query_id"].to_pylist()), floors["floor"].to_pylist()))
+        found = [known.get(repr(one)) for one in self.ids.to_pylist()]
+        self.floor = np.array([-np.inf if x is None else x for x in found], dtype=float)
+
+
+#: A row for each block and leaf that is chosen for a query of the block: bit i stands for the query row ``first + i``.
+_MASKS = "first long, leaf long, rows binary"
+
+
+def _bits(masks: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """The masks of one block, a row of booleans for each."""
+    data = np.frombuffer(b"".join(masks.column("rows").to_pylist()), dtype=np.uint8).reshape(len(masks), -1)
+    return np.unpackbits(data, axis=1, bitorder="little").astype(bool)
+
+
+def _routes(index: TreeIndex, shipped: _Shipped, choose, count, without: DataFrame | None = None) -> DataFrame:
+    """The leaves of each query as masks: of what ``choose`` takes, the ``count(weights)`` of the highest weights.
+
+    Rows of one query id have one list. Leaves that ``without`` has for an id are left out first.
+    """
+    spark, blocks = index.vectors.sparkSession, shipped.blocks
+    # A few leaves for each query.
+    past = None if without is None else without.toArrow()
+    known = (shipped.ids, shipped.vectors, shipped.starts, shipped.floor, shipped.leaves, shipped.means, shipped.variances, past)
+    sent = spark.sparkContext.broadcast(known)
+
+    def route(begin: int, end: int) -> np.ndarray:
+        ids, vectors, starts, floor, leaves, means, variances, past = sent.value
+        seen, out = np.zeros((2, end - begin, len(leaves)), dtype=bool)
+        if past is not None and len(past := past.filter(pc.equal(past["first"], begin))):
+            seen[:, np.searchsorted(leaves["leaf"].to_numpy(), past["leaf"].to_numpy())] = _bits(past)[:, : end - begin].T
+            seen[ids.slice(begin, end - begin).is_null().to_numpy(zero_copy_only=False)] = False  # null ids never meet
+        starts = starts[(starts >= begin) & (starts <= end)]
+        step = max(1, ROUTE_CELLS // max(1, len(leaves) * int(np.diff(starts).max())))
+        for i in range(0, len(starts) - 1, step):
+            groups = starts[i : i + step + 1]
+            zero, part = groups[0], slice(groups[0], groups[-1])
+            take, weight = choose(*_outlook(vectors[part], floor[part], leaves, means, variances))
+            for a, b in zip(groups[:-1], groups[1:]):
+                leaf, row = np.nonzero((take[a - zero : b - zero] & ~seen[a - begin : b - begin].any(axis=0)).T)
+                weights = weight[a - zero + row, leaf]
+                order = np.argsort(-weights, kind="stable")
+                order = order[: count(weights[order])]
+                out[a - begin + row[order], leaf[order]] = True
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = sent.value[4]["leaf"].combine_chunks()
+        for batch in batches:
+            for begin, end in (blocks[i] for i in batch.column("id").to_pylist()):
+                taken = route(begin, end)
+                some = np.flatnonzero(taken.any(axis=0))
+                rows = [mask.tobytes() for mask in np.packbits(taken[:, some].T, axis=1, bitorder="little")]
+                columns = [pa.array(np.full(len(some), begin, dtype=np.int64)), numbers.take(pa.array(some)), pa.array(rows, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["first", "leaf", "rows"])
+
+    tasks = spark.range(0, len(blocks), 1, max(1, len(blocks)))
+    return tasks.mapInArrow(tidy(run), _MASKS)
+
+
+def _scored_in_place(queries: DataFrame, index: TreeIndex, shipped: _Shipped, masks: DataFrame, k: int, digits: int) -> DataFrame:
+    """Partial hits that reach the scores known, found where the vectors lie: a task keeps the k best of every query.
+
+    Masks beyond the bound of what is shipped at once make another scan for each further lot of queries.
+    """
+    blocks, parts = shipped.blocks, []
+    lot = max(1, 8 * MASK_BYTES // max(1, len(shipped.leaves) * max((b - a for a, b in blocks), default=1)))
+    for i in range(0, len(blocks), lot):
+        begin, end = blocks[i][0], blocks[min(i + lot, len(blocks)) - 1][1]
+        table = masks.where(F.col("first").between(begin, end - 1)).toArrow().sort_by("leaf").combine_chunks()
+        if len(table):
+            parts.append(_scan(queries, index, shipped, table, begin, end, k, digits))
+    found = parts[0] if parts else index.vectors.sparkSession.createDataFrame([], _hit_schema(queries, index.vectors)[0])
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def _scan(
+    queries: DataFrame, index: TreeIndex, shipped: _Shipped, masks: pa.Table, begin: int, end: int, k: int, digits: int
+) -> DataFrame:
+    """``_scored_in_place`` for the query rows from ``begin`` to ``end``, with their ``masks`` in order of leaves."""
+    spark_schema, arrow = _hit_schema(queries, index.vectors)
+    dim, measure, vectors = index.dim, index.measure, index.vectors.select("id", "embedding", "leaf")
+    listed = masks["leaf"].unique().to_pylist()
+    if len(listed) <= min(MAX_LEAF_FILTER, len(shipped.leaves) // 2):
+        vectors = vectors.where(F.col("leaf").isin(listed))
+    ids = shipped.ids.slice(begin, end - begin)
+    # Rows of one id are asked for together; null ids never meet.
+    sizes = np.diff(shipped.starts)
+    group, named = np.repeat(np.arange(len(sizes)), sizes)[begin:end], ids.is_valid().to_numpy(zero_copy_only=False)
+    alone = not len(group) or len(np.unique(group)) == len(group) and named.all()
+    sent = index.vectors.sparkSession.sparkContext.broadcast(
+        (ids, shipped.vectors[begin:end], shipped.floor[begin:end], None if alone else (group, named), masks)
+    )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, asked, floor, several, masks = sent.value
+        leaves, firsts, bits = masks["leaf"].to_numpy(), masks["first"].to_numpy() - begin, masks["rows"].combine_chunks()
+        best = RunningTopK(asked, k, digits, floor, distinct=True)
+
+        def wanted(leaf: int) -> np.ndarray:
+            rows = [np.empty(0, dtype=np.int64)]
+            for at in range(*np.searchsorted(leaves, [leaf, leaf + 1])):
+                mask = np.unpackbits(np.frombuffer(bits[at].as_py(), dtype=np.uint8), bitorder="little")
+                rows.append(firsts[at] + np.flatnonzero(mask))
+            rows = np.concatenate(rows)
+            return rows if several is None else np.flatnonzero(np.isin(several[0], several[0][rows]) & several[1])
+
+        for batch in slices(batches, SEARCH_ROWS):
+            leaf = batch.column("leaf").to_numpy()
+            names, rows = object_ids(batch.column("id")), _prepared(batch.column("embedding"), dim, measure)
+            order = np.argsort(leaf, kind="stable")
+            for one, a, b in _runs(leaf[order]):
+                best.add(names[order[a:b]], rows[order[a:b]], wanted(one))
+        yield best.to_batch(ids, arrow)
+
+    return vectors.mapInArrow(tidy(search), spark_schema)
+
+
+def _named(masks: DataFrame, shipped: _Shipped, queries: DataFrame) -> DataFrame:
+    """The masks as rows ``(query_id, leaf)``, made where they are read."""
+    types = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField("leaf", T.LongType())])
+    sent = masks.sparkSession.sparkContext.broadcast(shipped.ids)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, SLICE):
+            for first, a, b in _runs(batch.column("first").to_numpy()):
+                at, row = np.nonzero(_bits(batch.slice(a, b - a)))
+                leaf = batch.column("leaf").slice(a, b - a).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([sent.value.take(pa.array(first + row)), leaf], names=["query_id", "leaf"])
+
+    return masks.mapInArrow(name, types)
 
 
 def search_tree(
@@ -341,26 +568,40 @@ def search_tree(
     if target >= 1:
         return exact_search(queries, index, k, first, digits)
     queries = cut(conforming(queries.select("query_id", "embedding"), index.dim), "tree-queries")
-    m, leaves = queries.count(), index.leaves.count()
+    shipped = _Shipped.of(queries, index)
+    m, leaves = (queries.count(), index.leaves.count()) if shipped is None else (len(shipped.ids), len(shipped.leaves))
+    allowed, ignored, slack = (1 - target) * k * KEPT, (1 - target) * k * (1 - KEPT) / max(1, leaves), 10.0**-digits
 
     def best_means(floor, middle, reach, spread, n):
         return _highest(middle, np.ones_like(middle, dtype=bool), first), middle
 
-    by_weight = Window.partitionBy("query_id").orderBy(F.desc("weight"), "leaf")
-    begun = _meetings(_floors(queries, None, k), m, index, leaves, best_means).withColumn("nth", F.row_number().over(by_weight))
-    begun = cut(begun.where(F.col("nth") <= first).select("query_id", "leaf"), "tree-begun")
-    hits = cut(_scored(queries, begun, index, k, digits).dropDuplicates(["query_id", "id", "distance"]), "tree-hits")
-    ignored, slack = (1 - target) * k * (1 - KEPT) / max(1, leaves), 10.0**-digits
-
     def expected_hits(floor, middle, reach, spread, n):
         expected = n * _tail((floor - middle) / spread)
         return (reach >= floor - slack) & (expected >= ignored), expected
 
+    if shipped is not None:
+        begun = cut(_routes(index, shipped, best_means, lambda weights: first), "tree-begun")
+        hits = cut(_scored_in_place(queries, index, shipped, begun, k, digits).dropDuplicates(["query_id", "id", "distance"]), "tree-hits")
+        shipped.learn(_kth_best(hits, k).toArrow())
+
+        def within(weights):
+            # Leaves of the highest expectation first, until what is left out is within the allowance.
+            before = np.cumsum(weights) - weights
+            return int((weights.sum() - before > allowed).sum())
+
+        more = cut(_routes(index, shipped, expected_hits, within, begun), "tree-more")
+        rest = _scored_in_place(queries, index, shipped, more, k, digits)
+        found = best_k(hits.unionByName(rest).dropDuplicates(["query_id", "id", "distance"]), k)
+        return found, _named(begun.unionByName(more), shipped, queries)
+    by_weight = Window.partitionBy("query_id").orderBy(F.desc("weight"), "leaf")
+    begun = _meetings(_floors(queries, None, k), m, index, leaves, best_means).withColumn("nth", F.row_number().over(by_weight))
+    begun = cut(begun.where(F.col("nth") <= first).select("query_id", "leaf"), "tree-begun")
+    hits = cut(_scored(queries, begun, index, k, digits).dropDuplicates(["query_id", "id", "distance"]), "tree-hits")
     more = _meetings(_floors(queries, hits, k), m, index, leaves, expected_hits).join(begun, ["query_id", "leaf"], "left_anti")
     # Leaves of the highest expectation first, until what is left out is within the allowance.
     before = F.sum("weight").over(by_weight.rowsBetween(Window.unboundedPreceding, -1))
     left_out = F.sum("weight").over(Window.partitionBy("query_id")) - F.coalesce(before, F.lit(0.0))
-    more = more.withColumn("left_out", left_out).where(F.col("left_out") > (1 - target) * k * KEPT)
+    more = more.withColumn("left_out", left_out).where(F.col("left_out") > allowed)
     more = cut(more.select("query_id", "leaf"), "tree-more")
     rest = _scored(queries, more, index, k, digits)
     found = best_k(hits.unionByName(rest).dropDuplicates(["query_id", "id", "distance"]), k)
